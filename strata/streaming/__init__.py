@@ -1,0 +1,6 @@
+"""Streaming.
+
+The layered pipeline this library rebuilds has no streaming operator: new
+raw files are picked up by re-running the batch steps (a full refresh).
+Nothing is registered here on purpose; see README.md, "Scope".
+"""
