@@ -22,16 +22,21 @@ WORSENING = "en recul"
 # ---------------------------------------------------------------------------
 
 
+def _format(x, pattern: str) -> Column:
+    # The SQL form of format_number takes a DecimalFormat pattern.
+    return F.call_function("format_number", as_col(x), F.lit(pattern))
+
+
 def grouped(x, digits: int = 2) -> Column:
     """``1234.5 -> "1,234.50"`` (Python ``{x:,.2f}``)."""
     pattern = "#,##0" + ("." + "0" * digits if digits > 0 else "")
-    return F.format_number(as_col(x), pattern)
+    return _format(x, pattern)
 
 
 def plain(x, digits: int = 2) -> Column:
     """``1234.5 -> "1234.50"`` (Python ``{x:.2f}``)."""
     pattern = "0" + ("." + "0" * digits if digits > 0 else "")
-    return F.format_number(as_col(x), pattern)
+    return _format(x, pattern)
 
 
 def percent_text(x, digits: int = 2) -> Column:

@@ -98,6 +98,10 @@ def sessions_by_device(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    return _base_queries() | _insight_queries()
+
+
+def _base_queries() -> dict[str, Query]:
     return {
         "monthly_trend": monthly_trend,
         "monthly_sessions": monthly_sessions,
@@ -114,3 +118,54 @@ def queries() -> dict[str, Query]:
         "channel_performance": channel_performance,
         "sessions_by_device": sessions_by_device,
     }
+
+
+# -- report figures over the gold tables --------------------------------------
+
+def _gold(spark, sf_dir):
+    return monthly_trend(spark, sf_dir), channel_performance(spark, sf_dir)
+
+
+def _on_monthly(fn):
+    def q(spark, sf_dir):
+        return fn(monthly_trend(spark, sf_dir))
+
+    q.__name__ = fn.__name__
+    return q
+
+
+def _on_channels(fn):
+    def q(spark, sf_dir):
+        return fn(channel_performance(spark, sf_dir))
+
+    q.__name__ = fn.__name__
+    return q
+
+
+def insight_summary(spark, sf_dir):
+    from strata.operators.insights import insight_summary as summary
+
+    return summary(*_gold(spark, sf_dir))
+
+
+def _insight_queries() -> dict[str, Query]:
+    from strata.operators import insights as ins
+
+    return {
+        "trend_series": _on_monthly(ins.trend_series),
+        "kpi_totals": _on_monthly(ins.kpi_totals),
+        "trend_windows": _on_monthly(ins.trend_windows),
+        "trend_growth": _on_monthly(ins.trend_growth),
+        "trend_direction": _on_monthly(ins.trend_direction),
+        "best_month": _on_monthly(ins.best_period),
+        "top_channel": _on_channels(ins.top_channel),
+        "significant_channels": _on_channels(ins.significant_channels),
+        "best_worst_channel": _on_channels(ins.best_worst_channel),
+        "channel_type_mix": _on_channels(ins.channel_type_mix),
+        "paid_free_share": _on_channels(ins.paid_free_share),
+        "channel_revenue_series": _on_channels(ins.channel_revenue_series),
+        "channel_conversion_series": _on_channels(ins.channel_conversion_series),
+        "channel_table": _on_channels(ins.channel_table),
+        "type_table": _on_channels(ins.type_table),
+        "insight_summary": insight_summary,
+    }

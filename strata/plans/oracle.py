@@ -128,22 +128,34 @@ SELECT {out}, sessions, orders, revenue,
 FROM counts"""
 
 
+def _monthly_cte() -> str:
+    return f"\n  monthly AS ({_trend_select('year_month')})"
+
+
 def monthly() -> str:
     """CTE ``monthly``: the gold monthly trend on B1."""
-    return with_(
-        _b1_sessions(),
-        B1_CONV,
-        _period_counts("%Y-%m", "year_month"),
-        f"\n  monthly AS ({_trend_select('year_month')})",
-    )
+    return with_(_b1_sessions(), B1_CONV, _period_counts("%Y-%m", "year_month"), _monthly_cte())
 
 
 def channels() -> str:
     """CTE ``channels``: the gold channel performance on B1."""
+    return with_(_b1_sessions(), B1_CONV, _labeled(), _channels_cte())
+
+
+def gold() -> str:
+    """CTEs ``monthly`` and ``channels`` together."""
     return with_(
         _b1_sessions(),
         B1_CONV,
         _labeled(),
+        _period_counts("%Y-%m", "year_month"),
+        _monthly_cte(),
+        _channels_cte(),
+    )
+
+
+def _channels_cte() -> str:
+    return (
         """
   cs AS (SELECT channel, channel_type, count(*) AS sessions FROM labeled GROUP BY 1, 2),
   co AS (SELECT l.channel, count(*) AS orders, """
@@ -161,7 +173,7 @@ def channels() -> str:
            """
         + R("coalesce(co.revenue, 0.0) / cs.sessions")
         + """ AS revenue_per_session_usd
-    FROM cs LEFT JOIN co ON cs.channel = co.channel)""",
+    FROM cs LEFT JOIN co ON cs.channel = co.channel)"""
     )
 
 
@@ -215,4 +227,125 @@ def oracle_sql() -> dict[str, str]:
         "SELECT device_type, count(*) AS sessions FROM sessions GROUP BY device_type "
         "ORDER BY sessions DESC"
     )
+    q.update(insight_sql())
+    return q
+
+
+def _insight_ctes() -> str:
+    from strata.functions.channels import CHANNEL_TYPES
+
+    types = ", ".join(f"('{t}', {i})" for i, t in enumerate(CHANNEL_TYPES))
+    return f"""
+  first_w AS (SELECT * FROM monthly ORDER BY year_month ASC NULLS LAST LIMIT 3),
+  last_w AS (SELECT * FROM monthly ORDER BY year_month DESC NULLS FIRST LIMIT 3),
+  windows AS (
+    SELECT f.*, l.* FROM
+      (SELECT avg(sessions) AS sessions_first, avg(orders) AS orders_first,
+              avg(conversion_rate_pct) AS conversion_first, avg(aov_usd) AS aov_first
+       FROM first_w) f,
+      (SELECT avg(sessions) AS sessions_last, avg(orders) AS orders_last,
+              avg(conversion_rate_pct) AS conversion_last, avg(aov_usd) AS aov_last
+       FROM last_w) l),
+  growth AS (
+    SELECT *,
+      (sessions_last / nullif(sessions_first, 0) - 1) * 100 AS sessions_growth_pct,
+      (orders_last / nullif(orders_first, 0) - 1) * 100 AS orders_growth_pct,
+      abs(conversion_last - conversion_first) AS conversion_change,
+      abs(aov_last - aov_first) AS aov_change
+    FROM windows),
+  directions AS (
+    SELECT *,
+      CASE WHEN sessions_growth_pct >= 0 THEN 'en hausse' ELSE 'en baisse' END AS sessions_direction,
+      CASE WHEN orders_growth_pct >= 0 THEN 'en hausse' ELSE 'en baisse' END AS orders_direction,
+      CASE WHEN conversion_last - conversion_first >= 0 THEN 'en progression' ELSE 'en recul' END
+        AS conversion_direction,
+      CASE WHEN aov_last - aov_first >= 0 THEN 'en hausse' ELSE 'en baisse' END AS aov_direction
+    FROM growth),
+  totals AS (
+    SELECT CAST(sum(sessions) AS BIGINT) AS total_sessions,
+           CAST(sum(orders) AS BIGINT) AS total_orders,
+           {MONEY_SUM('revenue')} AS total_revenue,
+           {R('sum(orders) / nullif(sum(sessions), 0) * 100')} AS overall_conversion_pct
+    FROM monthly),
+  best_m AS (SELECT * FROM monthly ORDER BY orders DESC, year_month ASC NULLS LAST LIMIT 1),
+  top_c AS (SELECT * FROM channels
+            ORDER BY revenue DESC, channel ASC NULLS LAST, channel_type ASC LIMIT 1),
+  sig AS (SELECT * FROM channels WHERE sessions >= 100),
+  best_c AS (SELECT * FROM sig
+             ORDER BY conversion_rate_pct DESC, channel ASC NULLS LAST, channel_type ASC LIMIT 1),
+  worst_c AS (SELECT * FROM sig
+              ORDER BY conversion_rate_pct ASC, channel DESC NULLS FIRST, channel_type DESC LIMIT 1),
+  bw AS (
+    SELECT (SELECT channel FROM best_c) AS best_channel,
+           (SELECT conversion_rate_pct FROM best_c) AS best_conversion_pct,
+           (SELECT channel FROM worst_c) AS worst_channel,
+           (SELECT conversion_rate_pct FROM worst_c) AS worst_conversion_pct,
+           (SELECT revenue_per_session_usd FROM worst_c) AS worst_revenue_per_session_usd,
+           {R('(SELECT conversion_rate_pct FROM best_c) / nullif((SELECT conversion_rate_pct FROM top_c), 0)', 1)}
+             AS best_vs_top_ratio),
+  type_order(t, pos) AS (VALUES {types}),
+  kept AS (SELECT c.* , o.pos FROM channels c JOIN type_order o ON c.channel_type = o.t),
+  mix AS (
+    SELECT channel_type, CAST(sum(sessions) AS BIGINT) AS sessions,
+           CAST(sum(orders) AS BIGINT) AS orders,
+           {MONEY_SUM('revenue')} AS revenue,
+           {MONEY_SUM('revenue')} / (SELECT {MONEY_SUM('revenue')} FROM kept) * 100
+             AS share_revenue_pct,
+           sum(orders) / nullif(sum(sessions), 0) * 100 AS conversion_rate_pct,
+           min(pos) AS pos
+    FROM kept GROUP BY channel_type),
+  shares AS (
+    SELECT coalesce((SELECT share_revenue_pct FROM mix WHERE channel_type = 'Payant'), 0.0)
+             AS paid_share_pct,
+           100.0 - coalesce((SELECT share_revenue_pct FROM mix WHERE channel_type = 'Payant'), 0.0)
+             AS free_share_pct)"""
+
+
+def insight_sql() -> dict[str, str]:
+    g = gold()[:-1] + "," + _insight_ctes() + "\n"
+    q = {}
+    q["kpi_totals"] = g + "SELECT * FROM totals"
+    q["trend_windows"] = g + "SELECT * FROM windows"
+    q["trend_growth"] = g + "SELECT * FROM growth"
+    q["trend_direction"] = g + (
+        "SELECT sessions_direction, orders_direction, conversion_direction, aov_direction "
+        "FROM directions"
+    )
+    q["best_month"] = g + "SELECT * FROM best_m"
+    q["top_channel"] = g + "SELECT * FROM top_c"
+    q["significant_channels"] = g + "SELECT * FROM sig"
+    q["best_worst_channel"] = g + "SELECT * FROM bw"
+    q["channel_type_mix"] = g + (
+        "SELECT channel_type, sessions, orders, revenue, share_revenue_pct, conversion_rate_pct "
+        "FROM mix ORDER BY pos"
+    )
+    q["paid_free_share"] = g + "SELECT * FROM shares"
+    q["channel_revenue_series"] = g + (
+        "SELECT channel, channel_type, revenue, "
+        "'$' || format('{:,.0f}', revenue / 1000) || 'k' AS revenue_label FROM channels"
+    )
+    q["channel_conversion_series"] = g + (
+        "SELECT channel, channel_type, conversion_rate_pct, "
+        "format('{:.2f}', conversion_rate_pct) || '%' AS conversion_label FROM sig"
+    )
+    q["channel_table"] = g + """
+SELECT channel AS "Canal", channel_type AS "Type", sessions AS "Sessions",
+       orders AS "Commandes", format('{:,.2f}', conversion_rate_pct) AS "Conv. %",
+       format('{:,.2f}', revenue) AS "CA ($)",
+       format('{:,.2f}', revenue_per_session_usd) AS "CA / session ($)"
+FROM channels ORDER BY revenue DESC, channel ASC NULLS LAST, channel_type ASC LIMIT 20"""
+    q["type_table"] = g + """
+SELECT channel_type AS "Type", sessions AS "Sessions", orders AS "Commandes",
+       format('{:,.2f}', conversion_rate_pct) AS "Conv. %",
+       format('{:,.2f}', revenue) AS "CA ($)",
+       format('{:,.2f}', share_revenue_pct) AS "Part du CA (%)"
+FROM mix ORDER BY pos LIMIT 5"""
+    q["insight_summary"] = g + """
+SELECT t.*, w.*, b.year_month AS best_month, b.orders AS best_month_orders,
+       b.sessions AS best_month_sessions,
+       tc.channel AS top_channel, tc.revenue AS top_channel_revenue,
+       tc.orders AS top_channel_orders, tc.conversion_rate_pct AS top_channel_conversion_pct,
+       bw.*, s.*
+FROM totals t, directions w, bw, shares s
+LEFT JOIN best_m b ON true LEFT JOIN top_c tc ON true"""
     return q
