@@ -98,7 +98,7 @@ def sessions_by_device(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return _base_queries() | _insight_queries()
+    return _base_queries() | _insight_queries() | _file_queries()
 
 
 def _base_queries() -> dict[str, Query]:
@@ -169,3 +169,261 @@ def _insight_queries() -> dict[str, Query]:
         "type_table": _on_channels(ins.type_table),
         "insight_summary": insight_summary,
     }
+
+
+# -- silver, sources and sinks: queries over CSV / Parquet that Spark writes
+# from the test tables into a fresh folder under spark.checkpoint.dir -------
+
+ORDERS_SPEC = {
+    "primary_key": "o_orderkey",
+    "columns": {
+        "o_orderkey": "long",
+        "o_custkey": "long",
+        "o_orderstatus": "string",
+        "o_totalprice": "double",
+        "o_orderdate": "string",
+        "o_orderpriority": "string",
+    },
+}
+VISITS_SPEC = {
+    "primary_key": "website_session_id",
+    "columns": {
+        "website_session_id": "long",
+        "created_at": "string",
+        "utm_source": "string",
+        "utm_campaign": "string",
+        "http_referer": "string",
+        "device_type": "string",
+    },
+}
+CONVERSIONS_SPEC = {
+    "primary_key": "website_session_id",
+    "columns": {
+        "website_session_id": "long",
+        "line_number": "int",
+        "created_at": "string",
+        "price_usd": "double",
+    },
+}
+
+
+def _config(**tables):
+    from strata.config import Config
+
+    return Config.from_dict({"tables": tables})
+
+
+def _raw_folder(spark, sf_dir, tables: dict) -> str:
+    """Write test-derived frames as raw CSV tables ``<name>.csv`` into a new
+    scratch folder; return the folder."""
+    from strata.session import scratch_path
+    from strata.sources.csv import write_csv
+
+    raw = scratch_path(spark, "raw")
+    for name, make in tables.items():
+        write_csv(make(spark, sf_dir), f"{raw}/{name}.csv")
+    return raw
+
+
+def _orders(spark, sf_dir):
+    return b.table(spark, sf_dir, "orders")
+
+
+def _pipeline_conversions(spark, sf_dir):
+    li = b.table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("website_session_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_shipdate").alias("created_at"),
+        F.col("l_extendedprice").alias("price_usd"),
+    )
+
+
+def _customers(spark, sf_dir):
+    return b.table(spark, sf_dir, "customer")
+
+
+def csv_scan_declared(spark, sf_dir):
+    from strata.config import TableSpec
+    from strata.sources.csv import read_declared
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _orders})
+    return read_declared(spark, f"{raw}/orders.csv", TableSpec.from_dict(ORDERS_SPEC))
+
+
+def csv_scan_inferred(spark, sf_dir):
+    from strata.sources.csv import read_inferred
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _orders})
+    return read_inferred(spark, f"{raw}/orders.csv")
+
+
+def null_sentinel(spark, sf_dir):
+    from strata.config import TableSpec
+    from strata.sources.csv import read_declared
+
+    raw = _raw_folder(spark, sf_dir, {"website_sessions": b.b1_visits})
+    return read_declared(
+        spark, f"{raw}/website_sessions.csv", TableSpec.from_dict(VISITS_SPEC)
+    )
+
+
+def timestamp_cast(spark, sf_dir):
+    from strata.operators.silver import cast_timestamps
+
+    return cast_timestamps(csv_scan_declared(spark, sf_dir), ["o_orderdate"]).select(
+        "o_orderkey", "o_orderdate"
+    )
+
+
+def dedup_rows(spark, sf_dir):
+    from strata.operators.silver import drop_exact_duplicates
+
+    profiles = b.b1_visits(spark, sf_dir).drop("website_session_id")
+    return drop_exact_duplicates(profiles)
+
+
+def pk_not_null(spark, sf_dir):
+    from strata.config import TableSpec
+    from strata.operators.silver import require_key, resolve_key
+
+    v = b.b1_visits(spark, sf_dir)
+    return require_key(v, resolve_key(v, TableSpec(primary_key="utm_source")))
+
+
+def silver_clean(spark, sf_dir):
+    from strata.config import Defaults, TableSpec
+    from strata.operators.silver import clean
+
+    defaults = Defaults(timestamp_columns=("o_orderdate",))
+    return clean(csv_scan_declared(spark, sf_dir), TableSpec.from_dict(ORDERS_SPEC), defaults)[0]
+
+
+def parquet_scan(spark, sf_dir):
+    from strata.sources.lake import read_table
+
+    return read_table(spark, sf_dir, "lineitem.parquet")
+
+
+def warehouse_sql(spark, sf_dir):
+    from strata.sources.lake import warehouse_sql as run_sql
+
+    monthly, channels = _gold(spark, sf_dir)
+    return run_sql(
+        spark,
+        """SELECT channel, channel_type, sessions, orders,
+                  conversion_rate_pct, revenue, revenue_per_session_usd
+           FROM gold_channel_performance ORDER BY revenue DESC""",
+        {"gold_monthly_trend": monthly, "gold_channel_performance": channels},
+    )
+
+
+def silver_roundtrip(spark, sf_dir):
+    from strata.session import scratch_path
+    from strata.sinks.parquet import write_table
+
+    path = scratch_path(spark, "silver")
+    write_table(b.b1_visits(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def gold_roundtrip(spark, sf_dir):
+    from strata.session import scratch_path
+    from strata.sinks.parquet import write_table
+
+    path = scratch_path(spark, "gold")
+    write_table(monthly_trend(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def raw_manifest(spark, sf_dir):
+    from strata.sources.files import csv_manifest
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
+    return csv_manifest(spark, raw).select("table", "files", "bytes", "size_mb")
+
+
+def bronze_landing(spark, sf_dir):
+    from strata.session import scratch_path
+    from strata.sinks.landing import land_files
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
+    return land_files(spark, raw, scratch_path(spark, "bronze")).select("bytes", "sha256", "landed")
+
+
+def bronze_manifest(spark, sf_dir):
+    from strata.session import scratch_path
+    from strata.sinks.landing import land_files
+    from strata.sources.files import csv_manifest
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
+    bronze = scratch_path(spark, "bronze")
+    land_files(spark, raw, bronze)
+    return csv_manifest(spark, bronze).select("table", "files", "bytes", "size_mb")
+
+
+def _silver_layer(spark, sf_dir):
+    from strata.plans.pipeline import Layers, bronze_step, silver_step
+    from strata.session import scratch_path
+
+    raw = _raw_folder(
+        spark, sf_dir, {"orders": _orders, "customers": _customers}
+    )
+    layers = Layers.under(scratch_path(spark, "lake"))
+    audit = silver_step(
+        spark, bronze_step(spark, raw, layers), layers, _config(orders=ORDERS_SPEC)
+    )
+    return layers, audit
+
+
+def lake_tables(spark, sf_dir):
+    from strata.sources.files import lake_tables_frame
+
+    layers, _ = _silver_layer(spark, sf_dir)
+    return lake_tables_frame(spark, layers.silver)
+
+
+def load_audit(spark, sf_dir):
+    from strata.plans.pipeline import AUDIT_SCHEMA
+
+    _, audit = _silver_layer(spark, sf_dir)
+    return spark.createDataFrame(audit, AUDIT_SCHEMA)
+
+
+def pipeline_audit(spark, sf_dir):
+    from strata.plans.pipeline import Layers, run_pipeline
+    from strata.session import scratch_path
+
+    raw = _raw_folder(
+        spark,
+        sf_dir,
+        {
+            "website_sessions": b.b1_visits,
+            "orders": _pipeline_conversions,
+            "customers": _customers,
+        },
+    )
+    config = _config(website_sessions=VISITS_SPEC, orders=CONVERSIONS_SPEC)
+    return run_pipeline(spark, raw, Layers.under(scratch_path(spark, "lake")), config)
+
+
+def _file_queries() -> dict[str, Query]:
+    return {
+        "csv_scan_declared": csv_scan_declared,
+        "csv_scan_inferred": csv_scan_inferred,
+        "null_sentinel": null_sentinel,
+        "timestamp_cast": timestamp_cast,
+        "dedup_rows": dedup_rows,
+        "pk_not_null": pk_not_null,
+        "silver_clean": silver_clean,
+        "parquet_scan": parquet_scan,
+        "warehouse_sql": warehouse_sql,
+        "silver_roundtrip": silver_roundtrip,
+        "gold_roundtrip": gold_roundtrip,
+        "raw_manifest": raw_manifest,
+        "bronze_landing": bronze_landing,
+        "bronze_manifest": bronze_manifest,
+        "lake_tables": lake_tables,
+        "load_audit": load_audit,
+        "pipeline_audit": pipeline_audit,
+    }

@@ -228,6 +228,76 @@ def oracle_sql() -> dict[str, str]:
         "ORDER BY sessions DESC"
     )
     q.update(insight_sql())
+    q.update(file_sql())
+    return q
+
+
+def _count_distinct(sql: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT DISTINCT * FROM ({sql})))"
+
+
+def file_sql() -> dict[str, str]:
+    ts_text = "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+    q = {}
+    q["csv_scan_declared"] = (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+        + ts_text.format(c="o_orderdate")
+        + ", o_orderpriority FROM orders"
+    )
+    q["csv_scan_inferred"] = (
+        "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
+        "o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
+    )
+    q["null_sentinel"] = with_(_b1_sessions()) + (
+        "SELECT website_session_id, "
+        + ts_text.format(c="created_at")
+        + ", utm_source, utm_campaign, http_referer, device_type FROM sessions"
+    )
+    q["timestamp_cast"] = "SELECT o_orderkey, o_orderdate FROM orders"
+    q["dedup_rows"] = with_(_b1_sessions()) + (
+        "SELECT DISTINCT created_at, utm_source, utm_campaign, http_referer, device_type "
+        "FROM sessions"
+    )
+    q["pk_not_null"] = with_(_b1_sessions()) + "SELECT * FROM sessions WHERE utm_source IS NOT NULL"
+    q["silver_clean"] = "SELECT DISTINCT * FROM orders WHERE o_orderkey IS NOT NULL"
+    q["parquet_scan"] = "SELECT * FROM lineitem"
+    q["warehouse_sql"] = channels() + "SELECT * FROM channels"
+    q["silver_roundtrip"] = with_(_b1_sessions()) + "SELECT * FROM sessions"
+    q["gold_roundtrip"] = monthly() + "SELECT * FROM monthly"
+    silver = (
+        "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "
+        f"{_count_distinct('SELECT * FROM customer')} AS rows, "
+        "'infere' AS origin, 'c_custkey' AS key\n"
+    )
+    q["load_audit"] = silver + (
+        "UNION ALL SELECT 2, 'silver', 'orders', "
+        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey'"
+    )
+    g = gold()[:-1] + "," + _insight_ctes() + "\n"
+    conv = "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM lineitem"
+    rows = {
+        ("silver", "orders"): (_count_distinct(conv), "'declare'", "'website_session_id'"),
+        ("silver", "website_sessions"): (
+            _count_distinct("SELECT * FROM sessions"), "'declare'", "'website_session_id'"
+        ),
+        ("gold", "gold_monthly_trend"): ("(SELECT count(*) FROM monthly)", None, None),
+        ("gold", "gold_channel_performance"): ("(SELECT count(*) FROM channels)", None, None),
+        ("report", "insight_summary"): ("1", None, None),
+        ("report", "trend_series"): ("(SELECT count(*) FROM monthly)", None, None),
+        ("report", "channel_revenue_series"): ("(SELECT count(*) FROM channels)", None, None),
+        ("report", "channel_conversion_series"): ("(SELECT count(*) FROM sig)", None, None),
+        ("report", "channel_type_mix"): ("(SELECT count(*) FROM mix)", None, None),
+        ("report", "channel_table"): ("(SELECT least(count(*), 20) FROM channels)", None, None),
+        ("report", "type_table"): ("(SELECT least(count(*), 5) FROM mix)", None, None),
+    }
+    steps = {"silver": 2, "gold": 3, "report": 5}
+    union = [silver]
+    for (layer, table), (n, origin, key) in rows.items():
+        union.append(
+            f"UNION ALL SELECT {steps[layer]}, '{layer}', '{table}', CAST({n} AS BIGINT), "
+            f"CAST({origin or 'NULL'} AS VARCHAR), CAST({key or 'NULL'} AS VARCHAR)\n"
+        )
+    q["pipeline_audit"] = g + "".join(union)
     return q
 
 
