@@ -11,7 +11,8 @@ from strata.functions.periods import period_key, period_label, period_text  # no
 from strata.functions.ratios import (  # noqa: F401
     abs_change,
     growth_pct,
-    money,
+    cents,
+    from_cents,
     money_sum,
     pct,
     ratio,

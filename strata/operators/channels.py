@@ -13,11 +13,11 @@ partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.channels import acquisition_type, channel_label
-from strata.functions.ratios import money, pct, ratio
+from strata.functions.channels import CHANNEL_TYPES, acquisition_type, channel_label
+from strata.functions.ratios import cents, from_cents, pct, ratio
 
 PERFORMANCE_COLUMNS = (
     "channel",
@@ -55,9 +55,9 @@ def channel_sessions(labeled: DataFrame) -> DataFrame:
 def conversions_per_visit(
     conversions: DataFrame, *, visit_id="website_session_id", amount="price_usd"
 ) -> DataFrame:
-    """Conversions and exact revenue (decimal) per visit id."""
+    """Conversions and exact revenue (in cents) per visit id."""
     return conversions.groupBy(visit_id).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(money(amount)).alias("_revenue")
+        F.count(F.lit(1)).alias("orders"), F.sum(cents(amount)).alias("_cents")
     )
 
 
@@ -80,7 +80,7 @@ def channel_orders(
         .groupBy("channel")
         .agg(
             F.sum("orders").alias("orders"),
-            F.sum("_revenue").cast("double").alias("revenue"),
+            from_cents(F.sum("_cents")).alias("revenue"),
         )
     )
 
@@ -123,32 +123,43 @@ def channel_performance(
     """O2: one row per (channel, channel_type), sorted by revenue.
 
     Same result as ``join_channel_totals(channel_sessions(...),
-    channel_orders(...))`` but in one pass over the visits: each visit is
-    labelled once and left-joined to its per-visit conversions, then grouped
-    by (channel, channel_type). Conversions are then totalled per channel
-    over its types (the J3 join is on the channel alone), and a NULL channel
-    gets 0, as the NULL key of that join would give.
+    channel_orders(...))`` but in one pass over the visits and one
+    aggregate: each visit is labelled once and left-joined to its per-visit
+    conversions, then grouped by channel alone, counting visits per
+    acquisition type (a closed set of three) with conditional counts. Each
+    channel then yields one row per type it has visits of, all carrying the
+    channel's conversions (the J3 join is on the channel alone); a NULL
+    channel gets 0, as the NULL key of that join would give.
     """
     labeled = label_visits(
         visits, source=source, campaign=campaign, referer=referer, unknown_label=unknown_label
     ).select(visit_id, "channel", "channel_type")
     per_visit = conversions_per_visit(conversions, visit_id=visit_id, amount=amount)
-    by_type = (
+    kind = F.col("channel_type")
+    per_channel = (
         labeled.join(per_visit, on=visit_id, how="left")
-        .groupBy("channel", "channel_type")
+        .groupBy("channel")
         .agg(
-            F.count(F.lit(1)).alias("sessions"),
+            *[F.count(F.when(kind == t, F.lit(1))).alias(f"_v{i}")
+              for i, t in enumerate(CHANNEL_TYPES)],
             F.sum("orders").alias("_orders"),
-            F.sum("_revenue").alias("_revenue"),
+            F.sum("_cents").alias("_cents"),
         )
     )
-    per_channel = Window.partitionBy("channel")
+    per_type = F.array(
+        *[F.struct(F.lit(t).alias("channel_type"), F.col(f"_v{i}").alias("sessions"))
+          for i, t in enumerate(CHANNEL_TYPES)]
+    )
     known = F.col("channel").isNotNull()
-    totals = by_type.select(
-        "channel",
-        "channel_type",
-        "sessions",
-        F.when(known, F.sum("_orders").over(per_channel)).alias("orders"),
-        F.when(known, F.sum("_revenue").over(per_channel)).cast("double").alias("revenue"),
+    rows = (
+        per_channel.select("channel", "_orders", "_cents", F.inline(per_type))
+        .where(F.col("sessions") > 0)
+        .select(
+            "channel",
+            "channel_type",
+            "sessions",
+            F.when(known, F.col("_orders")).alias("orders"),
+            from_cents(F.when(known, F.col("_cents"))).alias("revenue"),
+        )
     )
-    return _finish(totals)
+    return _finish(rows)

@@ -8,7 +8,8 @@ Spark side is checked against the plain definition.
 Two engine differences are bridged here and nowhere else:
 * rounding: DuckDB's ``round`` on a double works on the binary value, Spark
   rounds the decimal form half-up, so ``R(x)`` rounds via the decimal text;
-* money sums: both sides sum exact ``decimal(28, 2)`` values.
+* money sums: Spark sums whole cents, the SQL exact ``decimal(28, 2)``
+  values; both are exact, so they agree.
 """
 
 from __future__ import annotations
