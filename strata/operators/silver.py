@@ -27,6 +27,19 @@ def cast_timestamps(df: DataFrame, columns, fmt: str = Defaults.timestamp_format
     return df.withColumns(todo) if todo else df
 
 
+def unparsed_timestamps(df: DataFrame, columns, fmt: str = Defaults.timestamp_format):
+    """Aggregate expression: how many values of the listed text columns are
+    set but do not parse with ``fmt`` (they become NULL in silver)."""
+    types = dict(df.dtypes)
+    todo = [c for c in columns if types.get(c) == "string"]
+    bad = [
+        (F.col(c).isNotNull() & F.try_to_timestamp(F.col(c), F.lit(fmt)).isNull()).cast("long")
+        for c in todo
+    ]
+    total = sum(bad[1:], bad[0]) if bad else F.lit(0).cast("long")
+    return F.coalesce(F.sum(total), F.lit(0).cast("long"))
+
+
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """A5: keep one copy of rows equal in every column (NULLs equal)."""
     return df.dropDuplicates()

@@ -91,6 +91,13 @@ def channel_performance(spark, sf_dir):
     return chan.channel_performance(b.b1_visits(spark, sf_dir), b.b1_conversions(spark, sf_dir))
 
 
+def channel_join(spark, sf_dir):
+    labeled = chan.label_visits(b.b1_visits(spark, sf_dir))
+    return chan.join_channel_totals(
+        chan.channel_sessions(labeled), chan.channel_orders(labeled, b.b1_conversions(spark, sf_dir))
+    )
+
+
 def sessions_by_device(spark, sf_dir):
     from strata.operators.insights import count_by
 
@@ -116,6 +123,7 @@ def _base_queries() -> dict[str, Query]:
         "channel_sessions": channel_sessions,
         "channel_orders": channel_orders,
         "channel_performance": channel_performance,
+        "channel_join": channel_join,
         "sessions_by_device": sessions_by_device,
     }
 

@@ -224,6 +224,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM conv c JOIN labeled l ON c.website_session_id = l.website_session_id GROUP BY 1"
     )
     q["channel_performance"] = channels() + "SELECT * FROM channels"
+    q["channel_join"] = q["channel_performance"]
     q["sessions_by_device"] = with_(_b1_sessions()) + (
         "SELECT device_type, count(*) AS sessions FROM sessions GROUP BY device_type "
         "ORDER BY sessions DESC"
@@ -268,11 +269,11 @@ def file_sql() -> dict[str, str]:
     silver = (
         "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "
         f"{_count_distinct('SELECT * FROM customer')} AS rows, "
-        "'infere' AS origin, 'c_custkey' AS key\n"
+        "'infere' AS origin, 'c_custkey' AS key, CAST(0 AS BIGINT) AS unparsed\n"
     )
     q["load_audit"] = silver + (
         "UNION ALL SELECT 2, 'silver', 'orders', "
-        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey'"
+        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey', 0"
     )
     g = gold()[:-1] + "," + _insight_ctes() + "\n"
     conv = "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM lineitem"
@@ -296,7 +297,8 @@ def file_sql() -> dict[str, str]:
     for (layer, table), (n, origin, key) in rows.items():
         union.append(
             f"UNION ALL SELECT {steps[layer]}, '{layer}', '{table}', CAST({n} AS BIGINT), "
-            f"CAST({origin or 'NULL'} AS VARCHAR), CAST({key or 'NULL'} AS VARCHAR)\n"
+            f"CAST({origin or 'NULL'} AS VARCHAR), CAST({key or 'NULL'} AS VARCHAR), "
+            f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT)\n"
         )
     q["pipeline_audit"] = g + "".join(union)
     return q

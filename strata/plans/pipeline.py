@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import Config
 from strata.operators import insights as ins
 from strata.operators.channels import channel_performance
-from strata.operators.silver import clean
+from strata.operators.silver import clean, unparsed_timestamps
 from strata.operators.trend import period_trend
 from strata.sinks.jdbc import load_layer
 from strata.sinks.landing import land_files
@@ -32,7 +32,11 @@ from strata.sources.csv import read_table as read_csv_table
 from strata.sources.files import csv_manifest, lake_tables, qualified
 from strata.sources.lake import read_table
 
-AUDIT_SCHEMA = "step int, layer string, table string, rows long, origin string, key string"
+AUDIT_SCHEMA = (
+    "step int, layer string, table string, rows long, origin string, key string, "
+    "unparsed long"
+)
+STALE = "stale"
 
 # Gold and report table names (fixed values of the reference's lake layout).
 GOLD_MONTHLY = "gold_monthly_trend"
@@ -89,14 +93,26 @@ def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, list
 def silver_step(
     spark: SparkSession, sources: dict[str, list[str]], layers: Layers, config: Config
 ) -> list[tuple]:
-    """Step 2: CSV -> typed, de-duplicated, keyed Parquet."""
+    """Step 2: CSV -> typed, de-duplicated, keyed Parquet.
+
+    Besides the rows written, the audit counts timestamp texts that did not
+    parse (observed during the same write). Silver tables left from earlier
+    runs whose raw file is gone are listed as ``stale``; they are kept.
+    """
+    d = config.defaults
     audit = []
     for table, paths in sources.items():
         spec = config.spec(table)
-        df, origin = read_csv_table(spark, paths, spec, config.defaults)
-        cleaned, key = clean(df, spec, config.defaults)
+        df, origin = read_csv_table(spark, paths, spec, d)
+        obs = Observation(f"unparsed_{table}")
+        df = df.observe(obs, unparsed_timestamps(df, d.timestamp_columns, d.timestamp_format)
+                        .alias("unparsed"))
+        cleaned, key = clean(df, spec, d)
         rows = write_table(cleaned, f"{layers.silver}/{table}")
-        audit.append((2, "silver", table, rows, origin, key))
+        audit.append((2, "silver", table, rows, origin, key, int(obs.get["unparsed"])))
+    for table in lake_tables(spark, layers.silver):
+        if table not in sources:
+            audit.append((2, "silver", table, None, STALE, None, None))
     return audit
 
 
@@ -119,7 +135,7 @@ def gold_step(
         (GOLD_MONTHLY, period_trend(v, c, **trend_kw)),
         (GOLD_CHANNELS, channel_performance(v, c, **chan_kw)),
     ):
-        audit.append((3, "gold", name, write_table(df, f"{layers.gold}/{name}"), None, None))
+        audit.append((3, "gold", name, write_table(df, f"{layers.gold}/{name}"), None, None, None))
     return audit
 
 
@@ -129,7 +145,7 @@ def warehouse_step(spark: SparkSession, layers: Layers, url: str, properties=Non
     audit = []
     for layer, schema in ((layers.silver, "silver"), (layers.gold, "gold")):
         for name, rows in load_layer(spark, layer, schema, url, properties):
-            audit.append((4, "warehouse", f"{schema}.{name}", rows, None, None))
+            audit.append((4, "warehouse", f"{schema}.{name}", rows, None, None, None))
     return audit
 
 
@@ -148,7 +164,8 @@ def report_step(spark: SparkSession, layers: Layers) -> list[tuple]:
     }
     audit = []
     for name, df in outputs.items():
-        audit.append((5, "report", name, write_table(df, f"{layers.report}/{name}"), None, None))
+        rows = write_table(df, f"{layers.report}/{name}")
+        audit.append((5, "report", name, rows, None, None, None))
     return audit
 
 
@@ -165,7 +182,7 @@ def run_pipeline(
     **columns,
 ) -> DataFrame:
     """Run the five steps; return the audit (``step, layer, table, rows,
-    origin, key``), one row per table written."""
+    origin, key, unparsed``), one row per table written."""
     sources = bronze_step(spark, raw, layers)
     audit = silver_step(spark, sources, layers, config)
     if {visits, conversions} <= set(lake_tables(spark, layers.silver)):

@@ -24,3 +24,16 @@ def warehouse_sql(spark: SparkSession, sql: str, views: Mapping[str, DataFrame]
     if views:
         register_views(views)
     return spark.sql(sql)
+
+
+def read_sql_jdbc(
+    spark: SparkSession, url: str, sql: str, properties: Mapping[str, str] | None = None,
+    **options,
+) -> DataFrame:
+    """S10 against a SQL database: one query text run by the database over
+    JDBC, returned as a DataFrame (``partitionColumn`` / ``lowerBound`` /
+    ``upperBound`` / ``numPartitions`` in ``options`` split large reads)."""
+    r = spark.read.format("jdbc").option("url", url).option("query", sql)
+    for k, v in {**dict(properties or {}), **options}.items():
+        r = r.option(k, str(v))
+    return r.load()

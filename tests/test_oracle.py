@@ -23,7 +23,9 @@ def con():
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    import pandas as pd
+
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "isoformat"):
         return str(v)

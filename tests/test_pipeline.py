@@ -78,3 +78,22 @@ def test_pipeline_rejects_duplicate_stems(spark, raw_dir, tmp_path):
     (tmp_path / "raw" / "orders.CSV").write_text("a\n1\n")
     with pytest.raises(ValueError, match="two raw entries"):
         run_pipeline(spark, raw_dir, Layers.under(str(tmp_path / "lake")))
+
+
+def test_audit_counts_unparsed_and_stale(spark, raw_dir, tmp_path):
+    from conftest import ORDERS_CSV, SESSIONS_CSV
+
+    extra = tmp_path / "raw2"
+    extra.mkdir()
+    (extra / "website_sessions.csv").write_text(SESSIONS_CSV)
+    (extra / "orders.csv").write_text(ORDERS_CSV)
+    (extra / "spend.csv").write_text(
+        "id,created_at,amount\n1,2012-03-19 08:04:16,1.5\n2,not a date,2\n3,,3\n4,2012-3-1 1:2:3,4\n"
+    )
+    layers = Layers.under(str(tmp_path / "lake"))
+    cfg = Config.from_dict(GOLDEN_CONFIG)
+    first = {r.table: r for r in run_pipeline(spark, str(extra), layers, cfg).collect()}
+    assert first["spend"].origin == "infere" and first["spend"].unparsed == 2
+    assert first["website_sessions"].unparsed == 0
+    second = {r.table: r for r in run_pipeline(spark, raw_dir, layers, cfg).collect()}
+    assert second["spend"].origin == "stale" and second["spend"].rows is None
