@@ -15,29 +15,26 @@ from pyspark.sql import functions as F
 from strata.config import Defaults, TableSpec
 
 
-def cast_timestamps(df: DataFrame, columns, fmt: str = Defaults.timestamp_format) -> DataFrame:
+UNPARSED = "_unparsed"
+
+
+def cast_timestamps(
+    df: DataFrame, columns, fmt: str = Defaults.timestamp_format, *, mark: str | None = None
+) -> DataFrame:
     """Parse the listed columns that exist and are still text.
 
     A value that does not match ``fmt`` becomes NULL (``try_to_timestamp``)
     rather than failing the job; a column already read as a timestamp or
-    date is left alone.
+    date is left alone. With ``mark``, a column of that name counts, per
+    row, the values that were set but did not parse.
     """
     types = dict(df.dtypes)
-    todo = {c: F.try_to_timestamp(F.col(c), F.lit(fmt)) for c in columns if types.get(c) == "string"}
-    return df.withColumns(todo) if todo else df
-
-
-def unparsed_timestamps(df: DataFrame, columns, fmt: str = Defaults.timestamp_format):
-    """Aggregate expression: how many values of the listed text columns are
-    set but do not parse with ``fmt`` (they become NULL in silver)."""
-    types = dict(df.dtypes)
     todo = [c for c in columns if types.get(c) == "string"]
-    bad = [
-        (F.col(c).isNotNull() & F.try_to_timestamp(F.col(c), F.lit(fmt)).isNull()).cast("long")
-        for c in todo
-    ]
-    total = sum(bad[1:], bad[0]) if bad else F.lit(0).cast("long")
-    return F.coalesce(F.sum(total), F.lit(0).cast("long"))
+    parsed = {c: F.try_to_timestamp(F.col(c), F.lit(fmt)) for c in todo}
+    if mark is not None:
+        bad = [(F.col(c).isNotNull() & parsed[c].isNull()).cast("int") for c in todo]
+        parsed[mark] = sum(bad[1:], bad[0]) if bad else F.lit(0)
+    return df.withColumns(parsed) if parsed else df
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -57,10 +54,19 @@ def require_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def clean(
-    df: DataFrame, spec: TableSpec | None = None, defaults: Defaults = Defaults()
+    df: DataFrame,
+    spec: TableSpec | None = None,
+    defaults: Defaults = Defaults(),
+    *,
+    mark: str | None = None,
 ) -> tuple[DataFrame, str]:
-    """O3: the silver table of a raw frame; returns it and its key."""
-    out = cast_timestamps(df, defaults.timestamp_columns, defaults.timestamp_format)
+    """O3: the silver table of a raw frame; returns it and its key.
+
+    With ``mark``, the frame carries a column of that name counting each
+    row's unparsed timestamps (see ``cast_timestamps``); the column is a
+    function of the row, so it does not change which rows are duplicates.
+    """
+    out = cast_timestamps(df, defaults.timestamp_columns, defaults.timestamp_format, mark=mark)
     if defaults.drop_duplicates:
         out = drop_exact_duplicates(out)
     key = resolve_key(out, spec)

@@ -17,17 +17,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import Config
 from strata.operators import insights as ins
 from strata.operators.channels import channel_performance
-from strata.operators.silver import clean, unparsed_timestamps
+from strata.operators.silver import UNPARSED, clean
 from strata.operators.trend import period_trend
 from strata.sinks.jdbc import load_layer
 from strata.sinks.landing import land_files
-from strata.sinks.parquet import write_table
+from strata.sinks.parquet import write_observed, write_table
 from strata.sources.csv import read_table as read_csv_table
 from strata.sources.files import csv_manifest, lake_tables, qualified
 from strata.sources.lake import read_table
@@ -95,21 +95,24 @@ def silver_step(
 ) -> list[tuple]:
     """Step 2: CSV -> typed, de-duplicated, keyed Parquet.
 
-    Besides the rows written, the audit counts timestamp texts that did not
-    parse (observed during the same write). Silver tables left from earlier
-    runs whose raw file is gone are listed as ``stale``; they are kept.
+    Besides the rows written, the audit counts the timestamps set in the
+    CSV that did not parse and are NULL in silver (observed by the same
+    write). Silver tables left from earlier runs whose raw file is gone are
+    listed as ``stale``; they are kept.
     """
     d = config.defaults
     audit = []
     for table, paths in sources.items():
         spec = config.spec(table)
         df, origin = read_csv_table(spark, paths, spec, d)
-        obs = Observation(f"unparsed_{table}")
-        df = df.observe(obs, unparsed_timestamps(df, d.timestamp_columns, d.timestamp_format)
-                        .alias("unparsed"))
-        cleaned, key = clean(df, spec, d)
-        rows = write_table(cleaned, f"{layers.silver}/{table}")
-        audit.append((2, "silver", table, rows, origin, key, int(obs.get["unparsed"])))
+        cleaned, key = clean(df, spec, d, mark=UNPARSED)
+        m = write_observed(
+            cleaned,
+            f"{layers.silver}/{table}",
+            drop=[UNPARSED],
+            unparsed=F.coalesce(F.sum(UNPARSED), F.lit(0)).cast("long"),
+        )
+        audit.append((2, "silver", table, int(m["rows"]), origin, key, int(m["unparsed"])))
     for table in lake_tables(spark, layers.silver):
         if table not in sources:
             audit.append((2, "silver", table, None, STALE, None, None))
