@@ -72,7 +72,8 @@ def read_table(
     spec = spec or TableSpec()
     if spec.declared:
         return read_declared(spark, path, spec, defaults, options), DECLARED
-    return read_inferred(spark, path, defaults, options), INFERRED
+    ratio = defaults.infer_sampling_ratio
+    return read_inferred(spark, path, defaults, options, None if ratio >= 1 else ratio), INFERRED
 
 
 def write_csv(df: DataFrame, path: str, *, null_value: str = "NULL",
