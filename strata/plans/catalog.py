@@ -356,7 +356,7 @@ def bronze_landing(spark, sf_dir):
     from strata.sinks.landing import land_files
 
     raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
-    return land_files(spark, raw, scratch_path(spark, "bronze")).select("bytes", "sha256", "landed")
+    return land_files(spark, raw, scratch_path(spark, "bronze")).select("bytes", "sha256")
 
 
 def bronze_manifest(spark, sf_dir):

@@ -69,29 +69,16 @@ def _raw_tables(spark: SparkSession, raw: str) -> list[tuple[str, str]]:
     return sorted(seen.items())
 
 
-def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, list[str]]:
-    """Step 1: land the raw files; return, per table, the paths silver
-    reads (the bronze copy, plus any file too large to copy, in place)."""
+def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, str]:
+    """Step 1: land the raw files; return, per table, the bronze entry
+    (file or folder) that silver reads."""
     raw_q, bronze_q = qualified(spark, raw), qualified(spark, layers.bronze)
-    landed = land_files(spark, raw_q, bronze_q)
-    # Files too large to copy (normally none) and the entries that have at
-    # least one copied file: both bounded by the number of such files and
-    # tables, not by data size.
-    in_place = [r["source"] for r in landed.where(~F.col("landed")).select("source").collect()]
-    first = F.split(F.substring("source", len(raw_q) + 2, 1 << 30), "/").getItem(0)
-    copied = {
-        f"{raw_q}/{r['e']}"
-        for r in landed.where(F.col("landed")).select(first.alias("e")).distinct().collect()
-    }
-    paths: dict[str, list[str]] = {}
-    for table, entry in _raw_tables(spark, raw_q):
-        own = [p for p in in_place if p == entry or p.startswith(entry + "/")]
-        paths[table] = ([bronze_q + entry[len(raw_q):]] if entry in copied else []) + own
-    return paths
+    land_files(spark, raw_q, bronze_q)
+    return {table: bronze_q + entry[len(raw_q):] for table, entry in _raw_tables(spark, raw_q)}
 
 
 def silver_step(
-    spark: SparkSession, sources: dict[str, list[str]], layers: Layers, config: Config
+    spark: SparkSession, sources: dict[str, str], layers: Layers, config: Config
 ) -> list[tuple]:
     """Step 2: CSV -> typed, de-duplicated, keyed Parquet.
 
@@ -102,9 +89,9 @@ def silver_step(
     """
     d = config.defaults
     audit = []
-    for table, paths in sources.items():
+    for table, path in sources.items():
         spec = config.spec(table)
-        df, origin = read_csv_table(spark, paths, spec, d)
+        df, origin = read_csv_table(spark, path, spec, d)
         cleaned, key = clean(df, spec, d, mark=UNPARSED)
         m = write_observed(
             cleaned,

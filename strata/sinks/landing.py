@@ -1,17 +1,18 @@
 """Bronze landing: byte-for-byte copy of raw files (K1).
 
-The copy is a Spark job: the raw files are listed with ``binaryFile``,
-each task writes the contents of its files to the bronze folder through
-Arrow's filesystem layer, and returns one row per file (size and SHA-256),
-so the copy is spread over the executors instead of passing through the
-driver. A file is written under a temporary name and then moved into
-place, so a task retried after a lost executor rewrites the same target
-and never leaves a half-written file under the final name.
-
-``binaryFile`` holds a whole file in memory and cannot read one above
-2 GiB; files above ``max_file_bytes`` are therefore not copied and are
-recorded as ``in_place`` (their source path is the one to read). The filter
-on ``length`` is applied by the file source before any content is read.
+The copy is a Spark job. The raw files are listed with ``binaryFile``
+selecting only ``path`` and ``length`` (no content is read by the scan);
+Spark splits that listing into tasks by file size, like any file scan
+(``spark.sql.files.maxPartitionBytes`` per task, a large file on its own).
+Each task then streams its files to the bronze folder in fixed-size chunks
+through Arrow's filesystem layer, hashing as it goes, and returns one row
+per file (size and SHA-256). Memory per task is one chunk, whatever the file
+size, and no byte passes through the driver.
+
+A file is written under a temporary name and then moved into place, so a
+task retried after a lost executor rewrites the same target and never
+leaves a half-written file under the final name. Same targets are
+overwritten; nothing is deleted.
 """
 
 from __future__ import annotations
@@ -21,13 +22,12 @@ import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.sinks.parquet import write_table
-from strata.sources.files import CSV_GLOB, qualified
+from strata.sources.files import CSV_GLOB, list_files, qualified
 
-MAX_FILE_BYTES = 1 << 30
-LANDING_SCHEMA = "source string, target string, bytes long, sha256 string, landed boolean"
+CHUNK_BYTES = 8 << 20
+LANDING_SCHEMA = "source string, target string, bytes long, sha256 string"
 
 
 def _fs_and_path(uri: str):
@@ -38,28 +38,41 @@ def _fs_and_path(uri: str):
         while path.startswith("//"):
             path = path[1:]
         return pafs.LocalFileSystem(), path
-    if uri.startswith("s3a://") or uri.startswith("s3n://"):
+    if uri.startswith(("s3a://", "s3n://")):
         uri = "s3://" + uri.split("://", 1)[1]
     return pafs.FileSystem.from_uri(uri)
 
 
-def _writer(raw_root: str, bronze_root: str):
-    def write(batches):
+def _copy(source: str, target: str, chunk: int) -> tuple[int, str]:
+    src_fs, src_path = _fs_and_path(source)
+    dst_fs, dst_path = _fs_and_path(target)
+    parent = dst_path.rsplit("/", 1)[0]
+    dst_fs.create_dir(parent, recursive=True)
+    tmp = f"{parent}/.landing-{uuid.uuid4().hex}"
+    digest, size = hashlib.sha256(), 0
+    with src_fs.open_input_stream(src_path) as fin, dst_fs.open_output_stream(tmp) as fout:
+        while True:
+            block = fin.read(chunk)
+            if not block:
+                break
+            digest.update(block)
+            fout.write(block)
+            size += len(block)
+    dst_fs.move(tmp, dst_path)
+    return size, digest.hexdigest()
+
+
+def _copier(raw_root: str, bronze_root: str, chunk: int):
+    def copy_all(batches):
         for pdf in batches:
             out = []
-            for src, content in zip(pdf["path"], pdf["content"]):
+            for src in pdf["path"]:
                 target = bronze_root + src[len(raw_root):]
-                fs, path = _fs_and_path(target)
-                parent = path.rsplit("/", 1)[0]
-                fs.create_dir(parent, recursive=True)
-                tmp = f"{parent}/.landing-{uuid.uuid4().hex}"
-                with fs.open_output_stream(tmp) as fh:
-                    fh.write(content)
-                fs.move(tmp, path)
-                out.append((src, target, len(content), hashlib.sha256(content).hexdigest(), True))
-            yield pd.DataFrame(out, columns=["source", "target", "bytes", "sha256", "landed"])
+                size, sha = _copy(src, target, chunk)
+                out.append((src, target, size, sha))
+            yield pd.DataFrame(out, columns=["source", "target", "bytes", "sha256"])
 
-    return write
+    return copy_all
 
 
 def land_files(
@@ -68,33 +81,19 @@ def land_files(
     bronze_root: str,
     *,
     glob: str = CSV_GLOB,
-    max_file_bytes: int = MAX_FILE_BYTES,
+    chunk_bytes: int = CHUNK_BYTES,
     manifest_path: str | None = None,
 ) -> DataFrame:
-    """Copy every raw file matching ``glob`` under ``raw_root`` to the same
-    relative path under ``bronze_root``; same targets are overwritten,
-    nothing is deleted.
+    """Copy every file matching ``glob`` under ``raw_root`` to the same
+    relative path under ``bronze_root``.
 
-    The per-file result (``source, target, bytes, sha256, landed``) is
-    written as a Parquet table (default ``<bronze_root>/_landing``, hidden
-    from table discovery) and returned from there, so the copy runs once.
+    The per-file result (``source, target, bytes, sha256``) is written as a
+    Parquet table (default ``<bronze_root>/_landing``, hidden from table
+    discovery) and returned from there, so the copy runs exactly once.
     """
     raw_q, bronze_q = qualified(spark, raw_root), qualified(spark, bronze_root)
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(raw_q)
-    )
-    small = files.where(F.col("length") <= max_file_bytes).select("path", "content")
-    copied = small.mapInPandas(_writer(raw_q, bronze_q), LANDING_SCHEMA)
-    left = files.where(F.col("length") > max_file_bytes).select(
-        F.col("path").alias("source"),
-        F.col("path").alias("target"),
-        F.col("length").alias("bytes"),
-        F.lit(None).cast("string").alias("sha256"),
-        F.lit(False).alias("landed"),
-    )
+    files = list_files(spark, raw_q, glob).select("path")
+    copied = files.mapInPandas(_copier(raw_q, bronze_q, chunk_bytes), LANDING_SCHEMA)
     out = manifest_path or f"{bronze_q}/_landing"
-    write_table(copied.unionByName(left), out)
+    write_table(copied, out)
     return spark.read.parquet(out)
