@@ -31,7 +31,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# The closed list of type names a declaration may use.
+# The closed list of type names a declaration may use.
 TYPE_NAMES = {
     "int": IntegerType(),
     "long": LongType(),
