@@ -18,9 +18,11 @@ overwritten; nothing is deleted.
 from __future__ import annotations
 
 import hashlib
+import sys
 import uuid
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.sinks.parquet import write_table
@@ -29,6 +31,10 @@ from strata.sources.files import CSV_GLOB, list_files, qualified
 CHUNK_BYTES = 8 << 20
 LANDING_SCHEMA = "source string, target string, bytes long, sha256 string"
 
+# The copy functions run in Python workers. Ship them by value so workers
+# need only pandas and pyarrow, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _fs_and_path(uri: str):
     import pyarrow.fs as pafs
