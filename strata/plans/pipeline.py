@@ -9,12 +9,15 @@
 Steps hand over through storage only: each step reads what the previous
 one wrote, which also cuts the lineage between steps. Every write returns
 its row count from the write job itself. A failing step stops the run.
-The driver loops over tables (a handful of metadata entries); each table
+Within a step, the tables are independent jobs submitted from a few driver
+threads at once, so small tables do not leave the cluster idle; each table
 is one distributed job.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +32,7 @@ from strata.sinks.jdbc import load_layer
 from strata.sinks.landing import land_files
 from strata.sinks.parquet import write_observed, write_table
 from strata.sources.csv import read_table as read_csv_table
-from strata.sources.files import csv_manifest, lake_tables, qualified
+from strata.sources.files import lake_tables, qualified, with_table
 from strata.sources.lake import read_table
 
 AUDIT_SCHEMA = (
@@ -56,29 +59,40 @@ class Layers:
         return cls(f"{r}/bronze", f"{r}/silver", f"{r}/gold", f"{r}/report")
 
 
-def _raw_tables(spark: SparkSession, raw: str) -> list[tuple[str, str]]:
-    """(table, entry) per raw CSV table; two entries with one name fail."""
-    rows = csv_manifest(spark, raw).select("table", "entry").collect()
+def _concurrently(jobs: dict[str, Callable], workers: int) -> dict:
+    """Run independent Spark jobs from ``workers`` driver threads; results
+    in the order of ``jobs``; the first failure (in that order) is raised."""
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, str]:
+    """Step 1: land the raw files; return, per table, the bronze entry
+    (file or folder) that silver reads.
+
+    Tables come from the landing's own manifest (no second listing); two
+    raw entries with one table name (``a.csv`` and ``a.CSV``) fail.
+    """
+    raw_q, bronze_q = qualified(spark, raw), qualified(spark, layers.bronze)
+    landed = land_files(spark, raw_q, bronze_q)
+    entries = (
+        with_table(landed, bronze_q, "target").select("table", "entry").distinct().collect()
+    )
+    if not entries:
+        raise FileNotFoundError(f"no CSV found in {raw}")
     seen: dict[str, str] = {}
-    for r in rows:
+    for r in sorted(entries, key=lambda r: (r["table"], r["entry"])):
         if r["table"] in seen:
             raise ValueError(
                 f"table {r['table']!r} has two raw entries: {seen[r['table']]} and {r['entry']}"
             )
         seen[r["table"]] = r["entry"]
-    return sorted(seen.items())
-
-
-def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, str]:
-    """Step 1: land the raw files; return, per table, the bronze entry
-    (file or folder) that silver reads."""
-    raw_q, bronze_q = qualified(spark, raw), qualified(spark, layers.bronze)
-    land_files(spark, raw_q, bronze_q)
-    return {table: bronze_q + entry[len(raw_q):] for table, entry in _raw_tables(spark, raw_q)}
+    return seen
 
 
 def silver_step(
-    spark: SparkSession, sources: dict[str, str], layers: Layers, config: Config
+    spark: SparkSession, sources: dict[str, str], layers: Layers, config: Config, workers: int = 4
 ) -> list[tuple]:
     """Step 2: CSV -> typed, de-duplicated, keyed Parquet.
 
@@ -88,8 +102,8 @@ def silver_step(
     listed as ``stale``; they are kept.
     """
     d = config.defaults
-    audit = []
-    for table, path in sources.items():
+
+    def one(table: str, path: str) -> tuple:
         spec = config.spec(table)
         df, origin = read_csv_table(spark, path, spec, d)
         cleaned, key = clean(df, spec, d, mark=UNPARSED)
@@ -99,7 +113,10 @@ def silver_step(
             drop=[UNPARSED],
             unparsed=F.coalesce(F.sum(UNPARSED), F.lit(0)).cast("long"),
         )
-        audit.append((2, "silver", table, int(m["rows"]), origin, key, int(m["unparsed"])))
+        return (2, "silver", table, int(m["rows"]), origin, key, int(m["unparsed"]))
+
+    jobs = {t: (lambda t=t, p=p: one(t, p)) for t, p in sources.items()}
+    audit = list(_concurrently(jobs, workers).values())
     for table in lake_tables(spark, layers.silver):
         if table not in sources:
             audit.append((2, "silver", table, None, STALE, None, None))
@@ -112,6 +129,7 @@ def gold_step(
     *,
     visits: str = "website_sessions",
     conversions: str = "orders",
+    workers: int = 4,
     **columns,
 ) -> list[tuple]:
     """Step 3: the two gold tables from the visit and conversion tables."""
@@ -120,13 +138,21 @@ def gold_step(
     trend_kw = {k: columns[k] for k in ("visit_time", "conversion_time", "amount") if k in columns}
     chan_kw = {k: columns[k] for k in ("visit_id", "amount", "source", "campaign", "referer")
                if k in columns}
-    audit = []
-    for name, df in (
-        (GOLD_MONTHLY, period_trend(v, c, **trend_kw)),
-        (GOLD_CHANNELS, channel_performance(v, c, **chan_kw)),
-    ):
-        audit.append((3, "gold", name, write_table(df, f"{layers.gold}/{name}"), None, None, None))
-    return audit
+    outputs = {
+        GOLD_MONTHLY: period_trend(v, c, **trend_kw),
+        GOLD_CHANNELS: channel_performance(v, c, **chan_kw),
+    }
+    return _write_all(outputs, layers.gold, 3, "gold", workers)
+
+
+def _write_all(outputs: dict[str, DataFrame], folder: str, step: int, layer: str,
+               workers: int) -> list[tuple]:
+    jobs = {
+        name: (lambda name=name, df=df: write_table(df, f"{folder}/{name}"))
+        for name, df in outputs.items()
+    }
+    rows = _concurrently(jobs, workers)
+    return [(step, layer, name, n, None, None, None) for name, n in rows.items()]
 
 
 def warehouse_step(spark: SparkSession, layers: Layers, url: str, properties=None) -> list[tuple]:
@@ -139,7 +165,7 @@ def warehouse_step(spark: SparkSession, layers: Layers, url: str, properties=Non
     return audit
 
 
-def report_step(spark: SparkSession, layers: Layers) -> list[tuple]:
+def report_step(spark: SparkSession, layers: Layers, workers: int = 4) -> list[tuple]:
     """Step 5: report figures, chart series and tables from gold."""
     monthly = read_table(spark, layers.gold, GOLD_MONTHLY)
     channels = read_table(spark, layers.gold, GOLD_CHANNELS)
@@ -152,11 +178,7 @@ def report_step(spark: SparkSession, layers: Layers) -> list[tuple]:
         "channel_table": ins.channel_table(channels),
         "type_table": ins.type_table(channels),
     }
-    audit = []
-    for name, df in outputs.items():
-        rows = write_table(df, f"{layers.report}/{name}")
-        audit.append((5, "report", name, rows, None, None, None))
-    return audit
+    return _write_all(outputs, layers.report, 5, "report", workers)
 
 
 def run_pipeline(
@@ -169,15 +191,18 @@ def run_pipeline(
     conversions: str = "orders",
     jdbc_url: str | None = None,
     jdbc_properties=None,
+    workers: int = 4,
     **columns,
 ) -> DataFrame:
     """Run the five steps; return the audit (``step, layer, table, rows,
     origin, key, unparsed``), one row per table written."""
     sources = bronze_step(spark, raw, layers)
-    audit = silver_step(spark, sources, layers, config)
+    audit = silver_step(spark, sources, layers, config, workers)
     if {visits, conversions} <= set(lake_tables(spark, layers.silver)):
-        audit += gold_step(spark, layers, visits=visits, conversions=conversions, **columns)
+        audit += gold_step(
+            spark, layers, visits=visits, conversions=conversions, workers=workers, **columns
+        )
         if jdbc_url:
             audit += warehouse_step(spark, layers, jdbc_url, jdbc_properties)
-        audit += report_step(spark, layers)
+        audit += report_step(spark, layers, workers)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

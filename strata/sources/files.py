@@ -40,6 +40,18 @@ def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFram
     )
 
 
+def with_table(files: DataFrame, root_q: str, path_col: str = "path") -> DataFrame:
+    """Add ``entry`` (the file or folder directly under ``root_q`` that
+    holds the file) and ``table`` (that entry's name without ``.csv``);
+    files outside a ``*.csv`` entry are dropped."""
+    first = F.split(F.substring(F.col(path_col), len(root_q) + 2, 1 << 30), "/").getItem(0)
+    return (
+        files.withColumn("entry", F.concat(F.lit(root_q + "/"), first))
+        .withColumn("table", F.regexp_extract(first, r"^(.+)\.[cC][sS][vV]$", 1))
+        .where(F.col("table") != "")
+    )
+
+
 def csv_manifest(spark: SparkSession, root: str) -> DataFrame:
     """One row per CSV table under ``root``: ``table, entry, files,
     bytes, size_mb``, sorted by table name.
@@ -48,12 +60,8 @@ def csv_manifest(spark: SparkSession, root: str) -> DataFrame:
     ``root``. Raises ``FileNotFoundError`` when there is no CSV.
     """
     root_q = qualified(spark, root)
-    files = list_files(spark, root_q)
-    first = F.split(F.substring(F.col("path"), len(root_q) + 2, 1 << 30), "/").getItem(0)
     manifest = (
-        files.withColumn("entry", F.concat(F.lit(root_q + "/"), first))
-        .withColumn("table", F.regexp_extract(first, r"^(.+)\.[cC][sS][vV]$", 1))
-        .where(F.col("table") != "")
+        with_table(list_files(spark, root_q), root_q)
         .groupBy("table", "entry")
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
         .withColumn("size_mb", F.round(F.col("bytes") / F.lit(1e6), 2))
