@@ -265,6 +265,8 @@ def file_sql() -> dict[str, str]:
     q["parquet_scan"] = "SELECT * FROM lineitem"
     q["warehouse_sql"] = channels() + "SELECT * FROM channels"
     q["silver_roundtrip"] = with_(_b1_sessions()) + "SELECT * FROM sessions"
+    # the silver step of that query writes these two tables
+    q["lake_tables"] = "SELECT * FROM (VALUES ('customers'), ('orders')) AS t(\"table\")"
     q["gold_roundtrip"] = monthly() + "SELECT * FROM monthly"
     silver = (
         "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "
