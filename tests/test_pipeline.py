@@ -102,3 +102,13 @@ def test_audit_counts_unparsed_and_stale(spark, raw_dir, tmp_path):
     assert first["website_sessions"].unparsed == 0
     second = {r.table: r for r in run_pipeline(spark, raw_dir, layers, cfg).collect()}
     assert second["spend"].origin == "stale" and second["spend"].rows is None
+
+
+def test_landing_again_is_idempotent(spark, raw_dir, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    first = sorted((r.target, r.sha256) for r in land_files(spark, raw_dir, bronze).collect())
+    again = sorted((r.target, r.sha256) for r in land_files(spark, raw_dir, bronze).collect())
+    assert first == again
+    names = os.listdir(bronze)
+    assert sorted(n for n in names if not n.startswith("_")) == ["orders.csv", "website_sessions.csv"]
+    assert not [n for n in names if n.startswith(".landing-")]
