@@ -112,3 +112,15 @@ def test_landing_again_is_idempotent(spark, raw_dir, tmp_path):
     names = os.listdir(bronze)
     assert sorted(n for n in names if not n.startswith("_")) == ["orders.csv", "website_sessions.csv"]
     assert not [n for n in names if n.startswith(".landing-")]
+
+
+def test_command_line(spark, raw_dir, tmp_path, capsys):
+    import json
+
+    from strata.__main__ import main
+
+    cfg = tmp_path / "tables.json"
+    cfg.write_text(json.dumps(GOLDEN_CONFIG))
+    main(["--raw", raw_dir, "--lake", str(tmp_path / "lake"), "--config", str(cfg)])
+    out = capsys.readouterr().out
+    assert "gold_channel_performance" in out and "website_sessions" in out
