@@ -1,6 +1,6 @@
 """Run the five-step pipeline from the command line.
 
-    spark-submit --py-files strata.zip -m strata \\
+    spark-submit --py-files strata.zip strata/__main__.py \\
         --raw s3a://raw/shop --lake s3a://lake/shop --config tables.json
 
 (or ``python -m strata ...`` with PySpark installed). The session comes from
