@@ -16,7 +16,7 @@ import os
 
 
 def main(argv=None) -> None:
-    parser = argparse.ArgumentParser(prog="strata", description=__doc__.split("\n")[1])
+    parser = argparse.ArgumentParser(prog="strata", description=__doc__.split("\n")[0])
     parser.add_argument("--raw", required=True, help="folder of raw CSV tables")
     parser.add_argument("--lake", required=True, help="root of the bronze/silver/gold/report layers")
     parser.add_argument("--config", help="tables.json with defaults and table declarations")
