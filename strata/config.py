@@ -7,7 +7,11 @@ The configuration has the JSON shape::
                   "timestamp_columns": ["created_at"],
                   "drop_duplicates": true},
      "tables": {"orders": {"primary_key": "order_id",
-                           "columns": {"order_id": "int", "created_at": "string"}}}}
+                           "columns": {"order_id": "int", "created_at": "string"},
+                           "options": {"multiLine": "true"}}}}
+
+``csv_options`` in ``defaults`` and ``options`` per table are passed to
+Spark's CSV reader (per-table values win).
 
 A table that is not declared (or declares no columns) gets an inferred
 schema; a table without a declared key uses its first column as the key.
@@ -54,12 +58,17 @@ class Defaults:
     # smaller value makes the extra pass cheaper on very large tables at the
     # risk of a type that does not fit every row (such cells become NULL).
     infer_sampling_ratio: float = 1.0
+    # Extra CSV reader options for every table (e.g. multiLine, escape);
+    # Spark's CSV defaults otherwise.
+    csv_options: tuple[tuple[str, str], ...] = ()
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> Defaults:
         d = dict(d or {})
         if "timestamp_columns" in d:
             d["timestamp_columns"] = tuple(d["timestamp_columns"])
+        if "csv_options" in d:
+            d["csv_options"] = tuple((d["csv_options"] or {}).items())
         return cls(**{k: v for k, v in d.items() if k in cls.__dataclass_fields__})
 
 
@@ -70,11 +79,17 @@ class TableSpec:
 
     columns: tuple[tuple[str, str], ...] = ()
     primary_key: str | None = None
+    # CSV reader options for this table, over the defaults' ones.
+    options: tuple[tuple[str, str], ...] = ()
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> TableSpec:
         d = d or {}
-        return cls(tuple((d.get("columns") or {}).items()), d.get("primary_key"))
+        return cls(
+            tuple((d.get("columns") or {}).items()),
+            d.get("primary_key"),
+            tuple((d.get("options") or {}).items()),
+        )
 
     @property
     def declared(self) -> bool:

@@ -70,6 +70,7 @@ def read_table(
     """Declared schema when the table declares columns, else inferred;
     returns the frame and its origin tag."""
     spec = spec or TableSpec()
+    options = {**dict(defaults.csv_options), **dict(spec.options), **dict(options or {})}
     if spec.declared:
         return read_declared(spark, path, spec, defaults, options), DECLARED
     ratio = defaults.infer_sampling_ratio

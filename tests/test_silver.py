@@ -100,3 +100,15 @@ def test_config_roundtrip(tmp_path):
     assert cfg.defaults == Defaults()
     assert cfg.spec("orders").primary_key == "order_id"
     assert not cfg.spec("unknown").declared
+
+
+def test_csv_options_from_config(spark, tmp_path):
+    p = tmp_path / "notes.csv"
+    p.write_text('id,note\n1,"two\nlines"\n2,one\n')
+    plain, _ = read_table(spark, str(p))
+    assert plain.count() == 3  # Spark's default: a quoted newline splits the record
+    cfg = Config.from_dict({"tables": {"notes": {"options": {"multiLine": "true"}}}})
+    multi, _ = read_table(spark, str(p), cfg.spec("notes"))
+    assert rows(multi) == [(1, "two\nlines"), (2, "one")]
+    cfg2 = Config.from_dict({"defaults": {"csv_options": {"multiLine": "true"}}})
+    assert read_table(spark, str(p), defaults=cfg2.defaults)[0].count() == 2
