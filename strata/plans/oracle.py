@@ -271,11 +271,12 @@ def file_sql() -> dict[str, str]:
     silver = (
         "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "
         f"{_count_distinct('SELECT * FROM customer')} AS rows, "
-        "'infere' AS origin, 'c_custkey' AS key, CAST(0 AS BIGINT) AS unparsed\n"
+        "'infere' AS origin, 'c_custkey' AS key, CAST(0 AS BIGINT) AS unparsed, "
+        "CAST(NULL AS BIGINT) AS conversions\n"
     )
     q["load_audit"] = silver + (
         "UNION ALL SELECT 2, 'silver', 'orders', "
-        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey', 0"
+        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey', 0, NULL"
     )
     g = gold()[:-1] + "," + _insight_ctes() + "\n"
     conv = "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM lineitem"
@@ -284,8 +285,10 @@ def file_sql() -> dict[str, str]:
         ("silver", "website_sessions"): (
             _count_distinct("SELECT * FROM sessions"), "'declare'", "'website_session_id'"
         ),
-        ("gold", "gold_monthly_trend"): ("(SELECT count(*) FROM monthly)", None, None),
-        ("gold", "gold_channel_performance"): ("(SELECT count(*) FROM channels)", None, None),
+        ("gold", "gold_monthly_trend"): ("(SELECT count(*) FROM monthly)", None, None,
+                                          "(SELECT sum(orders) FROM monthly)"),
+        ("gold", "gold_channel_performance"): ("(SELECT count(*) FROM channels)", None, None,
+                                               "(SELECT sum(orders) FROM channels)"),
         ("report", "insight_summary"): ("1", None, None),
         ("report", "trend_series"): ("(SELECT count(*) FROM monthly)", None, None),
         ("report", "channel_revenue_series"): ("(SELECT count(*) FROM channels)", None, None),
@@ -296,11 +299,12 @@ def file_sql() -> dict[str, str]:
     }
     steps = {"silver": 2, "gold": 3, "report": 5}
     union = [silver]
-    for (layer, table), (n, origin, key) in rows.items():
+    for (layer, table), (n, origin, key, *conv) in rows.items():
         union.append(
             f"UNION ALL SELECT {steps[layer]}, '{layer}', '{table}', CAST({n} AS BIGINT), "
             f"CAST({origin or 'NULL'} AS VARCHAR), CAST({key or 'NULL'} AS VARCHAR), "
-            f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT)\n"
+            f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT), "
+            f"CAST({conv[0] if conv else 'NULL'} AS BIGINT)\n"
         )
     q["pipeline_audit"] = g + "".join(union)
     return q

@@ -37,8 +37,15 @@ from strata.sources.lake import read_table
 
 AUDIT_SCHEMA = (
     "step int, layer string, table string, rows long, origin string, key string, "
-    "unparsed long"
+    "unparsed long, conversions long"
 )
+
+
+def _row(step, layer, table, rows, origin=None, key=None, unparsed=None, conversions=None):
+    """One audit row: ``rows`` written; silver rows add the origin tag, key
+    and unparsed timestamps; gold rows add the conversions they account
+    for (silver conversions minus this is what the gold table dropped)."""
+    return (step, layer, table, rows, origin, key, unparsed, conversions)
 STALE = "stale"
 
 # Gold and report table names (fixed values of the reference's lake layout).
@@ -113,13 +120,13 @@ def silver_step(
             drop=[UNPARSED],
             unparsed=F.coalesce(F.sum(UNPARSED), F.lit(0)).cast("long"),
         )
-        return (2, "silver", table, int(m["rows"]), origin, key, int(m["unparsed"]))
+        return _row(2, "silver", table, int(m["rows"]), origin, key, int(m["unparsed"]))
 
     jobs = {t: (lambda t=t, p=p: one(t, p)) for t, p in sources.items()}
     audit = list(_concurrently(jobs, workers).values())
     for table in lake_tables(spark, layers.silver):
         if table not in sources:
-            audit.append((2, "silver", table, None, STALE, None, None))
+            audit.append(_row(2, "silver", table, None, STALE))
     return audit
 
 
@@ -142,17 +149,21 @@ def gold_step(
         GOLD_MONTHLY: period_trend(v, c, **trend_kw),
         GOLD_CHANNELS: channel_performance(v, c, **chan_kw),
     }
-    return _write_all(outputs, layers.gold, 3, "gold", workers)
+    conversions = F.coalesce(F.sum("orders"), F.lit(0)).cast("long")
+    return _write_all(outputs, layers.gold, 3, "gold", workers, conversions=conversions)
 
 
 def _write_all(outputs: dict[str, DataFrame], folder: str, step: int, layer: str,
-               workers: int) -> list[tuple]:
+               workers: int, **metrics) -> list[tuple]:
     jobs = {
-        name: (lambda name=name, df=df: write_table(df, f"{folder}/{name}"))
+        name: (lambda name=name, df=df: write_observed(df, f"{folder}/{name}", **metrics))
         for name, df in outputs.items()
     }
-    rows = _concurrently(jobs, workers)
-    return [(step, layer, name, n, None, None, None) for name, n in rows.items()]
+    done = _concurrently(jobs, workers)
+    return [
+        _row(step, layer, name, int(m["rows"]), conversions=m.get("conversions"))
+        for name, m in done.items()
+    ]
 
 
 def warehouse_step(spark: SparkSession, layers: Layers, url: str, properties=None) -> list[tuple]:
@@ -161,7 +172,7 @@ def warehouse_step(spark: SparkSession, layers: Layers, url: str, properties=Non
     audit = []
     for layer, schema in ((layers.silver, "silver"), (layers.gold, "gold")):
         for name, rows in load_layer(spark, layer, schema, url, properties):
-            audit.append((4, "warehouse", f"{schema}.{name}", rows, None, None, None))
+            audit.append(_row(4, "warehouse", f"{schema}.{name}", rows))
     return audit
 
 
@@ -195,7 +206,7 @@ def run_pipeline(
     **columns,
 ) -> DataFrame:
     """Run the five steps; return the audit (``step, layer, table, rows,
-    origin, key, unparsed``), one row per table written."""
+    origin, key, unparsed, conversions``), one row per table written."""
     sources = bronze_step(spark, raw, layers)
     audit = silver_step(spark, sources, layers, config, workers)
     if {visits, conversions} <= set(lake_tables(spark, layers.silver)):

@@ -61,6 +61,10 @@ def test_pipeline_golden(spark, raw_dir, tmp_path):
     assert got[("silver", "orders")] == (5, "declare", "order_id")
     assert got[("gold", "gold_monthly_trend")][0] == 3
     assert got[("gold", "gold_channel_performance")][0] == 6
+    conv = {r.table: r.conversions for r in audit.collect() if r.layer == "gold"}
+    # 5 silver orders: June has no visit (monthly drops 1); order 3 has a
+    # NULL channel and order 5 no visit (channels drop 2)
+    assert conv == {"gold_monthly_trend": 4, "gold_channel_performance": 3}
     assert got[("report", "insight_summary")][0] == 1
     monthly = spark.read.parquet(f"{layers.gold}/gold_monthly_trend")
     assert sorted(rows(monthly), key=str) == sorted(MONTHLY, key=str)
