@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 from strata.functions._cols import as_col
 
-# name -> (date_trunc unit, display format)
+# name -> (date_trunc unit, display format). Only units whose truncation
+# maps one-to-one onto the label in every time zone: an hour is not one of
+# them (the repeated hour at a daylight-saving change is two instants with
+# one label), so hours group on the text format "yyyy-MM-dd HH".
 PERIODS = {
     "year": ("year", "yyyy"),
     "month": ("month", "yyyy-MM"),
     "day": ("day", "yyyy-MM-dd"),
-    "hour": ("hour", "yyyy-MM-dd HH"),
 }
 MONTH_FORMAT = PERIODS["month"][1]
 

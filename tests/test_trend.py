@@ -43,3 +43,17 @@ def test_ntz_timestamps(spark):
         "created_at", F.lit("2024-05-31 23:30:00").cast("timestamp_ntz"))
     c = v.withColumn("price_usd", F.lit(2.5))
     assert rows(period_trend(v, c), "year_month", "orders") == [("2024-05", 1)]
+
+
+def test_hour_format_groups_on_text_across_dst(spark):
+    from strata.operators.trend import visits_per_period
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 05:30 and 06:30 UTC are both 01:30 local on 2024-11-03 (clocks go back)
+        v = spark.createDataFrame([("2024-11-03T05:30:00Z",), ("2024-11-03T06:30:00Z",)], "t string") \
+            .select(F.to_timestamp("t").alias("created_at"))
+        got = rows(visits_per_period(v, period="yyyy-MM-dd HH", out="h"))
+        assert got == [("2024-11-03 01", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
