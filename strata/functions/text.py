@@ -50,6 +50,8 @@ def thousands_usd(x) -> Column:
 
 
 def direction(x, up: str = UP, down: str = DOWN) -> Column:
-    """``up`` when ``x >= 0``, else ``down``; NULL takes ``down`` (as a NaN
-    comparison does in Python)."""
-    return F.when(as_col(x) >= 0, F.lit(up)).otherwise(F.lit(down))
+    """``up`` when ``x >= 0``, else ``down``. NULL and NaN take ``down``, as
+    a NaN comparison does in Python (Spark orders NaN above every number,
+    so it is tested first)."""
+    v = as_col(x)
+    return F.when(F.isnan(v), F.lit(down)).when(v >= 0, F.lit(up)).otherwise(F.lit(down))

@@ -82,7 +82,7 @@ def test_number_text_matches_python_format(spark, x, grouped, plain, k):
 
 
 def test_direction(spark):
-    df = spark.createDataFrame([(1.0,), (0.0,), (-1.0,), (None,)], "x double")
+    df = spark.createDataFrame([(1.0,), (0.0,), (-1.0,), (None,), (float("nan"),)], "x double")
     assert [r[0] for r in df.select(text.direction("x")).collect()] == [
-        "en hausse", "en hausse", "en baisse", "en baisse"
+        "en hausse", "en hausse", "en baisse", "en baisse", "en baisse"
     ]
