@@ -19,17 +19,6 @@ from pyspark.sql import functions as F
 from strata.functions.channels import CHANNEL_TYPES, acquisition_type, channel_label
 from strata.functions.ratios import cents, from_cents, pct, ratio
 
-PERFORMANCE_COLUMNS = (
-    "channel",
-    "channel_type",
-    "sessions",
-    "orders",
-    "conversion_rate_pct",
-    "revenue",
-    "revenue_per_session_usd",
-)
-
-
 def label_visits(
     visits: DataFrame,
     *,
