@@ -30,7 +30,7 @@ B1_DONE_REFERERS = ("https://www.gsearch.com/q", "http://bsearch.com", "https://
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(key: Column, values) -> Column:
