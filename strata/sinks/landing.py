@@ -13,6 +13,11 @@ A file is written under a temporary name and then moved into place, so a
 task retried after a lost executor rewrites the same target and never
 leaves a half-written file under the final name. Same targets are
 overwritten; nothing is deleted.
+
+Paths the executors' Arrow can open: local or shared mounts (``file:``),
+S3 (``s3://``, ``s3a://``; credentials from the executor environment, not
+from Hadoop's ``fs.s3a.*`` settings), GCS (``gs://``), and HDFS where
+libhdfs is installed.
 """
 
 from __future__ import annotations
