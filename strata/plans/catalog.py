@@ -221,15 +221,33 @@ def _config(**tables):
     return Config.from_dict({"tables": tables})
 
 
+# Raw CSV folders already written in this application, by (tables folder,
+# table set): the CSV is input set-up for the file-backed keys, written once
+# per application and read by every later call.
+_RAW_FOLDERS: dict[tuple, str] = {}
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _raw_folder(spark, sf_dir, tables: dict) -> str:
-    """Write test-derived frames as raw CSV tables ``<name>.csv`` into a new
-    scratch folder; return the folder."""
+    """A scratch folder holding test-derived frames as raw CSV tables
+    ``<name>.csv`` (written on first use in this application)."""
     from strata.session import scratch_path
     from strata.sources.csv import write_csv
 
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           tuple(sorted((n, f.__name__) for n, f in tables.items())))
+    raw = _RAW_FOLDERS.get(key)
+    if raw and all(_exists(spark, f"{raw}/{n}.csv/_SUCCESS") for n in tables):
+        return raw
     raw = scratch_path(spark, "raw")
     for name, make in tables.items():
         write_csv(make(spark, sf_dir), f"{raw}/{name}.csv")
+    _RAW_FOLDERS[key] = raw
     return raw
 
 
