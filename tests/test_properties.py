@@ -44,3 +44,35 @@ def test_channel_rules_match_model(spark, triples):
         ch.acquisition_type("s", "r"), ch.channel_label("s", "c", "r")
     ).collect()
     assert [tuple(r) for r in got] == [model(*t) for t in triples]
+
+
+visit = st.tuples(
+    st.integers(0, 6),                                   # visit id (duplicates likely)
+    st.sampled_from([None, "gsearch", "a", "x"]),        # source
+    st.sampled_from([None, "brand", "naturel", "y"]),    # campaign
+    st.sampled_from([None, "", "https://www.bsearch.com", "https://a Ads/x", "junk"]),
+)
+conversion = st.tuples(st.one_of(st.none(), st.integers(0, 8)),
+                       st.integers(0, 10_000).map(lambda c: c / 100))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(visit, min_size=1, max_size=25), st.lists(conversion, max_size=40))
+def test_one_pass_channel_table_equals_composition(spark, visits, conversions):
+    from strata.operators.channels import (
+        channel_orders,
+        channel_performance,
+        channel_sessions,
+        join_channel_totals,
+        label_visits,
+    )
+
+    v = spark.createDataFrame(
+        visits, "website_session_id long, utm_source string, utm_campaign string, "
+        "http_referer string")
+    c = spark.createDataFrame(conversions, "website_session_id long, price_usd double")
+    labeled = label_visits(v)
+    parts = join_channel_totals(channel_sessions(labeled), channel_orders(labeled, c))
+    fused = channel_performance(v, c)
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, fused.collect()), key=key) == sorted(map(tuple, parts.collect()), key=key)
