@@ -76,3 +76,43 @@ def test_one_pass_channel_table_equals_composition(spark, visits, conversions):
     fused = channel_performance(v, c)
     key = lambda r: tuple((x is None, str(x)) for x in r)
     assert sorted(map(tuple, fused.collect()), key=key) == sorted(map(tuple, parts.collect()), key=key)
+
+
+def _round_half_up(x, digits=2):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+day = st.one_of(st.none(), st.dates(min_value=__import__("datetime").date(2023, 11, 1),
+                                     max_value=__import__("datetime").date(2024, 2, 28)))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(day, min_size=1, max_size=30),
+       st.lists(st.tuples(day, st.integers(0, 99_999)), max_size=30))
+def test_period_trend_matches_model(spark, visit_days, conv):
+    from collections import Counter
+    from decimal import Decimal
+
+    from strata.operators.trend import period_trend
+
+    v = spark.createDataFrame([(d,) for d in visit_days], "d date").selectExpr(
+        "cast(d as timestamp_ntz) as created_at")
+    c = spark.createDataFrame([(d, cents / 100) for d, cents in conv], "d date, price_usd double") \
+        .selectExpr("cast(d as timestamp_ntz) as created_at", "price_usd")
+    month = lambda d: None if d is None else d.strftime("%Y-%m")
+    sessions = Counter(month(d) for d in visit_days)
+    orders = Counter(month(d) for d, _ in conv)
+    revenue = {}
+    for d, cents in conv:
+        revenue[month(d)] = revenue.get(month(d), Decimal(0)) + Decimal(cents) / 100
+    want = []
+    for m, n in sessions.items():
+        # NULL never matches in the join: its conversions are not counted
+        o = orders.get(m, 0) if m is not None else 0
+        r = float(revenue.get(m, Decimal(0))) if m is not None else 0.0
+        want.append((m, n, o, r, _round_half_up(o / n * 100), _round_half_up(r / o) if o else None))
+    got = [tuple(row) for row in period_trend(v, c).collect()]
+    key = lambda t: (t[0] is not None, t[0] or "")
+    assert sorted(got, key=key) == sorted(want, key=key)
