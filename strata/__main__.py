@@ -12,6 +12,7 @@ audit is printed at the end; a failing step stops the run with an error.
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 
 
@@ -30,6 +31,7 @@ def main(argv=None) -> None:
     parser.add_argument("--spark-conf", action="append", default=[], metavar="KEY=VALUE",
                         help="extra Spark setting for the session (repeatable)")
     args = parser.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     from pyspark.sql import SparkSession
 

@@ -16,6 +16,7 @@ is one distributed job.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -45,9 +46,17 @@ def _row(step, layer, table, rows, origin=None, key=None, unparsed=None, convers
     """One audit row: ``rows`` written; silver rows add the origin tag, key
     and unparsed timestamps; gold rows add the conversions they account
     for (silver conversions minus this is what the gold table dropped)."""
+    extra = ", ".join(
+        f"{k}={v}" for k, v in
+        (("schema", origin), ("key", key), ("unparsed", unparsed), ("conversions", conversions))
+        if v is not None
+    )
+    log.info("step %d %s/%s: %s rows%s", step, layer, table, rows, f" ({extra})" if extra else "")
     return (step, layer, table, rows, origin, key, unparsed, conversions)
 STALE = "stale"
 
+log = logging.getLogger("strata.pipeline")
+
 # Gold and report table names (fixed values of the reference's lake layout).
 GOLD_MONTHLY = "gold_monthly_trend"
 GOLD_CHANNELS = "gold_channel_performance"
@@ -83,6 +92,7 @@ def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, str]
     """
     raw_q, bronze_q = qualified(spark, raw), qualified(spark, layers.bronze)
     landed = land_files(spark, raw_q, bronze_q)
+    log.info("step 1 bronze: raw files of %s landed in %s", raw_q, bronze_q)
     entries = (
         with_table(landed, bronze_q, "target").select("table", "entry").distinct().collect()
     )
