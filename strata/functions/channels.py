@@ -71,8 +71,6 @@ def label_of(value, mapping: Mapping[str, str]) -> Column:
 
     NULL stays NULL. The mapping becomes one literal map expression, looked
     up per row (no join, no UDF). An empty mapping is the identity.
-    For mappings too large to inline (thousands of entries) join a
-    dimension table instead; see ``strata.operators.channels.label_with``.
     """
     col = as_col(value)
     if not mapping:
@@ -91,6 +89,7 @@ def channel_label(
     source_labels: Mapping[str, str] = SOURCE_LABELS,
     campaign_labels: Mapping[str, str] = CAMPAIGN_LABELS,
     unknown_label: str | None = None,
+    host=None,
 ) -> Column:
     """readable channel name.
 
@@ -101,11 +100,12 @@ def channel_label(
     ``concat`` is NULL when any part is NULL, so a paid visit without a
     campaign gets a NULL channel (and its conversions are not attributed,
     see ``channel_performance``). Pass ``unknown_label`` to put that text in
-    place of a missing part instead.
+    place of a missing part instead. ``host`` may name a column that already
+    holds ``referer_host(referer)``, so the pattern runs once per row.
     """
     src = label_of(source, source_labels)
     cmp = label_of(campaign, campaign_labels)
-    host = label_of(referer_host(referer), source_labels)
+    host = label_of(referer_host(referer) if host is None else as_col(host), source_labels)
     if unknown_label is not None:
         src = F.coalesce(src, F.lit(unknown_label))
         cmp = F.coalesce(cmp, F.lit(unknown_label))

@@ -16,7 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.channels import CHANNEL_TYPES, acquisition_type, channel_label
+from strata.functions.channels import (
+    CHANNEL_TYPES,
+    acquisition_type,
+    channel_label,
+    referer_host,
+)
 from strata.functions.ratios import cents, from_cents, pct, ratio
 
 def label_visits(
@@ -27,12 +32,27 @@ def label_visits(
     referer="http_referer",
     unknown_label: str | None = None,
 ) -> DataFrame:
-    """Add ``channel_type`` (F2) and ``channel`` (F5) to each visit."""
-    return visits.withColumns(
-        {
-            "channel_type": acquisition_type(source, referer),
-            "channel": channel_label(source, campaign, referer, unknown_label=unknown_label),
-        }
+    """Add ``channel_type`` (F2) and ``channel`` (F5) to each visit.
+
+    The referrer host (F3) is computed in a projection of its own first, so
+    the pattern is matched once per visit even though the label uses it
+    twice (Spark keeps a non-trivial expression in its own projection rather
+    than copying it into each use), and only for visits without a source
+    (paid visits never show their referrer).
+    """
+    host = "_referer_host"
+    unpaid = (F.col(source) if isinstance(source, str) else source).isNull()
+    return (
+        visits.withColumn(host, F.when(unpaid, referer_host(referer)))
+        .withColumns(
+            {
+                "channel_type": acquisition_type(source, referer),
+                "channel": channel_label(
+                    source, campaign, referer, unknown_label=unknown_label, host=host
+                ),
+            }
+        )
+        .drop(host)
     )
 
 
