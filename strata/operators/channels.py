@@ -3,20 +3,27 @@
 Attribution joins conversions to the visit they belong to. At scale that
 join is the expensive step, so the conversion side is first reduced to one
 row per visit id (count and exact revenue). The partial aggregate runs
-before the shuffle, which also defuses a hot visit id: a key holding a third
-of all conversions leaves each map task as a single row. The per-visit table
-comes out hash-partitioned on the visit id, which is the join key, so the
-join shuffles only the visit side. AQE may still switch to a broadcast join
-when the measured size of one side allows. The visit side is not
-pre-aggregated: its ids are meant to be unique, and a (id, channel, type)
-aggregate would cost a second full shuffle of the visits (about 2x the
-time, measured); a visit id repeated across many visits makes one join task
-stream those rows against a single per-visit row (linear, no memory
-growth).
+before the shuffle, which also defuses a hot visit id on that side: a key
+holding a third of all conversions leaves each map task as a single row.
+The per-visit table comes out hash-partitioned on the join key, so the join
+shuffles only the visit side; AQE may still switch to a broadcast join when
+the measured size of one side allows.
+
+A visit id repeated across a large share of the *visits* would send all of
+them to one join task. Such ids are found first with one bounded pass
+(``approx_top_k`` over the visit ids, a frequent-items sketch) and salted:
+their visits are spread over several buckets, and their conversions are
+copied into every bucket before the per-visit aggregate (where the map-side
+combine keeps the copies cheap), so each bucket carries the id's full
+totals and the result is exactly the same. With no hot id the plan is the
+plain one. Pre-aggregating all visits instead would cost a second full
+shuffle of them (about twice the time, measured).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +35,13 @@ from strata.functions.channels import (
 )
 from strata.functions.ratios import cents, from_cents, pct, ratio
 
+# A key is hot when it holds more rows than this many average shuffle
+# partitions; the sketch tracks this many most frequent keys.
+HOT_FACTOR = 2.0
+HOT_CANDIDATES = 64
+_SALT = "_salt"
+
+
 def label_visits(
     visits: DataFrame,
     *,
@@ -74,22 +88,90 @@ def conversions_per_visit(
     )
 
 
+def hot_keys(df: DataFrame, key: str, *, partitions: int | None = None,
+             factor: float = HOT_FACTOR, candidates: int = HOT_CANDIDATES) -> dict:
+    """Keys of ``df`` holding more than ``factor`` average shuffle
+    partitions' worth of rows, each with a number of buckets that brings it
+    down to about one partition.
+
+    One aggregate pass: a frequent-items sketch (``approx_top_k``, bounded
+    memory) and the row count. The sketch tracks ``max(1024, partitions)``
+    items, enough to be sure of every key above ``1 / partitions`` of the
+    rows; at most ``candidates`` keys come back to the driver.
+    """
+    spark = df.sparkSession
+    if partitions is None:
+        conf = spark.conf
+        partitions = int(
+            conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or conf.get("spark.sql.shuffle.partitions")
+        )
+    tracked = max(1024, partitions)
+    top = F.call_function("approx_top_k", F.col(key), F.lit(candidates), F.lit(tracked))
+    row = df.agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    if not row or not row["n"]:
+        return {}
+    per_partition = row["n"] / partitions
+    return {
+        t["item"]: min(partitions, math.ceil(t["count"] / per_partition))
+        for t in row["top"] or []
+        if t["item"] is not None and t["count"] > factor * per_partition
+    }
+
+
+def _attach_conversions(
+    labeled: DataFrame,
+    conversions: DataFrame,
+    *,
+    visit_id,
+    amount,
+    how: str,
+    hot: dict | None,
+) -> DataFrame:
+    """Visits joined to their per-visit ``orders`` and ``_cents`` (``how``
+    is ``left`` or ``inner``), salting the ``hot`` visit ids."""
+    if not hot:
+        per_visit = conversions_per_visit(conversions, visit_id=visit_id, amount=amount)
+        return labeled.join(per_visit, on=visit_id, how=how)
+    key_type = labeled.schema[visit_id].dataType
+    pairs = []
+    for k, n in hot.items():
+        pairs += [F.lit(k).cast(key_type), F.lit(n)]
+    buckets = F.coalesce(F.create_map(*pairs)[F.col(visit_id)], F.lit(1))
+    # Visits of a hot id are dealt round-robin over its buckets (the id is
+    # fixed per input split, so a retried task deals them the same way);
+    # every other visit is in bucket 0.
+    salted_visits = labeled.withColumn(
+        _SALT, F.pmod(F.monotonically_increasing_id(), buckets).cast("int")
+    )
+    # Each conversion of a hot id goes to all of its buckets.
+    salted_conversions = conversions.withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), (buckets - 1).cast("int")))
+    )
+    per_bucket = salted_conversions.groupBy(visit_id, _SALT).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(cents(amount)).alias("_cents")
+    )
+    return salted_visits.join(per_bucket, on=[visit_id, _SALT], how=how).drop(_SALT)
+
+
 def channel_orders(
     labeled: DataFrame,
     conversions: DataFrame,
     *,
     visit_id="website_session_id",
     amount="price_usd",
+    salt_hot_visits: bool = True,
 ) -> DataFrame:
     """P4 + J2 + A4: conversions and revenue per channel.
 
     Inner join on the visit id: conversions with an unknown or NULL visit are
     dropped; a visit id present twice counts its conversions twice.
     """
-    per_visit = conversions_per_visit(conversions, visit_id=visit_id, amount=amount)
+    visits = labeled.select(visit_id, "channel")
+    hot = hot_keys(visits, visit_id) if salt_hot_visits else None
     return (
-        labeled.select(visit_id, "channel")
-        .join(per_visit, on=visit_id, how="inner")
+        _attach_conversions(visits, conversions, visit_id=visit_id, amount=amount,
+                            how="inner", hot=hot)
         .groupBy("channel")
         .agg(
             F.sum("orders").alias("orders"),
@@ -132,6 +214,7 @@ def channel_performance(
     campaign="utm_campaign",
     referer="http_referer",
     unknown_label: str | None = None,
+    salt_hot_visits: bool = True,
 ) -> DataFrame:
     """O2: one row per (channel, channel_type), sorted by revenue.
 
@@ -143,14 +226,19 @@ def channel_performance(
     channel then yields one row per type it has visits of, all carrying the
     channel's conversions (the J3 join is on the channel alone); a NULL
     channel gets 0, as the NULL key of that join would give.
+
+    ``salt_hot_visits`` first looks for visit ids repeated across a large
+    share of the visits and spreads them over several join tasks (see the
+    module notes); the result does not depend on it.
     """
     labeled = label_visits(
         visits, source=source, campaign=campaign, referer=referer, unknown_label=unknown_label
     ).select(visit_id, "channel", "channel_type")
-    per_visit = conversions_per_visit(conversions, visit_id=visit_id, amount=amount)
+    hot = hot_keys(labeled.select(visit_id), visit_id) if salt_hot_visits else None
     kind = F.col("channel_type")
     per_channel = (
-        labeled.join(per_visit, on=visit_id, how="left")
+        _attach_conversions(labeled, conversions, visit_id=visit_id, amount=amount,
+                            how="left", hot=hot)
         .groupBy("channel")
         .agg(
             *[F.count(F.when(kind == t, F.lit(1))).alias(f"_v{i}")

@@ -71,3 +71,26 @@ def test_hot_visit_key_collapses_before_shuffle(spark):
     assert perf.first().orders == 20000
     plan = perf._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan or "HashAggregate" in plan
+
+
+def test_hot_visit_id_is_salted_with_the_same_result(spark):
+    from strata.operators.channels import channel_orders, hot_keys
+
+    rows = [(0, "gsearch", "brand", None)] * 40 + [
+        (0, None, None, "https://www.bsearch.com")] * 20 + [
+        (i, None, None, None) for i in range(1, 41)]
+    v = spark.createDataFrame(
+        rows, "website_session_id long, utm_source string, utm_campaign string, http_referer string")
+    c = spark.createDataFrame([(0, 1.5), (0, 2.25), (3, 4.0), (77, 9.0)],
+                              "website_session_id long, price_usd double")
+    hot = hot_keys(v, "website_session_id", partitions=4)
+    assert set(hot) == {0} and hot[0] >= 2
+    salted = sorted(map(tuple, channel_performance(v, c).collect()), key=str)
+    plain = sorted(map(tuple, channel_performance(v, c, salt_hot_visits=False).collect()), key=str)
+    assert salted == plain
+    by = {r[0]: r for r in salted}
+    assert by["Google Ads · marque"][2:4] == (40, 80)   # 40 visits x 2 conversions
+    labeled = label_visits(v)
+    assert sorted(map(tuple, channel_orders(labeled, c).collect()), key=str) == sorted(
+        map(tuple, channel_orders(labeled, c, salt_hot_visits=False).collect()), key=str)
+    assert hot_keys(spark.range(100).withColumnRenamed("id", "k"), "k", partitions=4) == {}
