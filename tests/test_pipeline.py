@@ -128,3 +128,19 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     main(["--raw", raw_dir, "--lake", str(tmp_path / "lake"), "--config", str(cfg)])
     out = capsys.readouterr().out
     assert "gold_channel_performance" in out and "website_sessions" in out
+
+
+def test_folder_of_parts_is_one_table(spark, tmp_path):
+    raw = tmp_path / "raw"
+    (raw / "big.csv").mkdir(parents=True)
+    (raw / "big.csv" / "part-0.csv").write_text("id,v\n1,a\n2,b\n")
+    (raw / "big.csv" / "part-1.csv").write_text("id,v\n3,c\n")
+    (raw / "big.csv" / "_SUCCESS").write_text("")
+    (raw / "small.csv").write_text("id,v\n9,z\n")
+    (raw / "notes").mkdir()
+    (raw / "notes" / "x.csv").write_text("id\n1\n")  # not a *.csv entry: not a table
+    m = rows(csv_manifest(spark, str(raw)), "table", "files")
+    assert m == [("big", 2), ("small", 1)]
+    layers = Layers.under(str(tmp_path / "lake"))
+    audit = {r.table: r.rows for r in run_pipeline(spark, str(raw), layers).collect()}
+    assert audit == {"big": 3, "small": 1}
