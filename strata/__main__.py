@@ -27,6 +27,8 @@ def main(argv=None) -> None:
     parser.add_argument("--jdbc-user", default=os.environ.get("STRATA_JDBC_USER"))
     parser.add_argument("--jdbc-password", default=os.environ.get("STRATA_JDBC_PASSWORD"))
     parser.add_argument("--jdbc-driver", default=os.environ.get("STRATA_JDBC_DRIVER"))
+    parser.add_argument("--jdbc-connections", type=int, default=8,
+                        help="database connections per table load")
     parser.add_argument("--workers", type=int, default=4, help="tables written at once")
     parser.add_argument("--spark-conf", action="append", default=[], metavar="KEY=VALUE",
                         help="extra Spark setting for the session (repeatable)")
@@ -62,6 +64,7 @@ def main(argv=None) -> None:
         conversions=args.conversions,
         jdbc_url=args.jdbc_url,
         jdbc_properties=props,
+        jdbc_connections=args.jdbc_connections,
         workers=args.workers,
     )
     audit.show(200, truncate=False)

@@ -176,12 +176,16 @@ def _write_all(outputs: dict[str, DataFrame], folder: str, step: int, layer: str
     ]
 
 
-def warehouse_step(spark: SparkSession, layers: Layers, url: str, properties=None) -> list[tuple]:
+def warehouse_step(
+    spark: SparkSession, layers: Layers, url: str, properties=None, connections: int = 8
+) -> list[tuple]:
     """Step 4: silver and gold layers into the database schemas of the same
-    names."""
+    names, each table written over at most ``connections`` connections."""
     audit = []
     for layer, schema in ((layers.silver, "silver"), (layers.gold, "gold")):
-        for name, rows in load_layer(spark, layer, schema, url, properties):
+        for name, rows in load_layer(
+            spark, layer, schema, url, properties, num_partitions=connections
+        ):
             audit.append(_row(4, "warehouse", f"{schema}.{name}", rows))
     return audit
 
@@ -212,6 +216,7 @@ def run_pipeline(
     conversions: str = "orders",
     jdbc_url: str | None = None,
     jdbc_properties=None,
+    jdbc_connections: int = 8,
     workers: int = 4,
     **columns,
 ) -> DataFrame:
@@ -224,6 +229,6 @@ def run_pipeline(
             spark, layers, visits=visits, conversions=conversions, workers=workers, **columns
         )
         if jdbc_url:
-            audit += warehouse_step(spark, layers, jdbc_url, jdbc_properties)
+            audit += warehouse_step(spark, layers, jdbc_url, jdbc_properties, jdbc_connections)
         audit += report_step(spark, layers, workers)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
