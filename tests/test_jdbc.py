@@ -13,3 +13,13 @@ def test_unknown_driver_fails_clearly(spark):
     df = spark.range(3)
     with pytest.raises(Exception, match="(?i)driver"):
         write_jdbc(df, "jdbc:nosuchdb://nowhere/db", "silver.t", {}, num_partitions=2)
+
+
+def test_pipeline_reaches_the_jdbc_writer(spark, raw_dir, tmp_path):
+    from conftest import GOLDEN_CONFIG
+    from strata.config import Config
+    from strata.plans.pipeline import Layers, run_pipeline
+
+    with pytest.raises(Exception, match="(?i)driver"):
+        run_pipeline(spark, raw_dir, Layers.under(str(tmp_path / "lake")),
+                     Config.from_dict(GOLDEN_CONFIG), jdbc_url="jdbc:nosuchdb://nowhere/db")
