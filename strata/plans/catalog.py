@@ -416,7 +416,7 @@ def load_audit(spark, sf_dir):
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
 
 
-def pipeline_audit(spark, sf_dir):
+def full_run_audit(spark, sf_dir):
     from strata.plans.pipeline import Layers, run_pipeline
     from strata.session import scratch_path
 
@@ -451,5 +451,5 @@ def _file_queries() -> dict[str, Query]:
         "bronze_manifest": bronze_manifest,
         "lake_tables": lake_tables,
         "load_audit": load_audit,
-        "pipeline_audit": pipeline_audit,
+        "full_run_audit": full_run_audit,
     }

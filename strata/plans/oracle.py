@@ -306,7 +306,7 @@ def file_sql() -> dict[str, str]:
             f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT), "
             f"CAST({conv[0] if conv else 'NULL'} AS BIGINT)\n"
         )
-    q["pipeline_audit"] = g + "".join(union)
+    q["full_run_audit"] = g + "".join(union)
     return q
 
 
