@@ -180,11 +180,11 @@ def channel_orders(
     )
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, sort: bool = True) -> DataFrame:
     """P5 + F6 + F8 + P3 + T2 on (channel, channel_type, sessions, orders,
     revenue)."""
     filled = df.fillna({"orders": 0, "revenue": 0.0})
-    return filled.select(
+    table = filled.select(
         "channel",
         "channel_type",
         "sessions",
@@ -192,7 +192,10 @@ def _finish(df: DataFrame) -> DataFrame:
         pct("orders", "sessions").alias("conversion_rate_pct"),
         "revenue",
         ratio("revenue", "sessions").alias("revenue_per_session_usd"),
-    ).orderBy(F.desc("revenue"), F.asc_nulls_last("channel"), F.asc("channel_type"))
+    )
+    if not sort:
+        return table
+    return table.orderBy(F.desc("revenue"), F.asc_nulls_last("channel"), F.asc("channel_type"))
 
 
 def join_channel_totals(sessions_by_channel: DataFrame, orders_by_channel: DataFrame) -> DataFrame:
@@ -215,8 +218,10 @@ def channel_performance(
     referer="http_referer",
     unknown_label: str | None = None,
     salt_hot_visits: bool = True,
+    sort: bool = True,
 ) -> DataFrame:
-    """O2: one row per (channel, channel_type), sorted by revenue.
+    """O2: one row per (channel, channel_type), sorted by revenue
+    (``sort=False`` leaves the order to the reader).
 
     Same result as ``join_channel_totals(channel_sessions(...),
     channel_orders(...))`` but in one pass over the visits and one
@@ -263,4 +268,4 @@ def channel_performance(
             from_cents(F.when(known, F.col("_cents"))).alias("revenue"),
         )
     )
-    return _finish(rows)
+    return _finish(rows, sort)

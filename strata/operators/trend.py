@@ -99,6 +99,7 @@ def period_trend(
     amount="price_usd",
     period: str = "month",
     out: str = "year_month",
+    sort: bool = True,
 ) -> DataFrame:
     """O1: one row per period that has at least one visit.
 
@@ -108,7 +109,8 @@ def period_trend(
     NULL first.
 
     ``period`` is ``"year"``, ``"month"`` or ``"day"``, or a
-    ``date_format`` pattern.
+    ``date_format`` pattern. ``sort=False`` leaves the order to the reader
+    (a table that is written and re-read has none).
     """
     counts = period_counts(
         visits,
@@ -119,11 +121,12 @@ def period_trend(
         period=period,
         out=out,
     )
-    return counts.select(
+    trend = counts.select(
         out,
         "sessions",
         "orders",
         "revenue",
         pct("orders", "sessions").alias("conversion_rate_pct"),
         ratio("revenue", "orders").alias("aov_usd"),
-    ).orderBy(out)
+    )
+    return trend.orderBy(out) if sort else trend

@@ -155,9 +155,11 @@ def gold_step(
     trend_kw = {k: columns[k] for k in ("visit_time", "conversion_time", "amount") if k in columns}
     chan_kw = {k: columns[k] for k in ("visit_id", "amount", "source", "campaign", "referer")
                if k in columns}
+    # Written unsorted: every reader orders them itself, so a sort here
+    # would only add a sampling job and a shuffle.
     outputs = {
-        GOLD_MONTHLY: period_trend(v, c, **trend_kw),
-        GOLD_CHANNELS: channel_performance(v, c, **chan_kw),
+        GOLD_MONTHLY: period_trend(v, c, sort=False, **trend_kw),
+        GOLD_CHANNELS: channel_performance(v, c, sort=False, **chan_kw),
     }
     conversions = F.coalesce(F.sum("orders"), F.lit(0)).cast("long")
     return _write_all(outputs, layers.gold, 3, "gold", workers, conversions=conversions)
