@@ -344,6 +344,24 @@ def warehouse_sql(spark, sf_dir):
     )
 
 
+def warehouse_catalog_sql(spark, sf_dir):
+    from strata.plans.pipeline import GOLD_CHANNELS, GOLD_MONTHLY
+    from strata.session import scratch_path
+    from strata.sinks.parquet import write_table
+    from strata.sources.lake import register_layer
+
+    gold = scratch_path(spark, "gold")
+    monthly, channels = _gold(spark, sf_dir)
+    write_table(monthly, f"{gold}/{GOLD_MONTHLY}")
+    write_table(channels, f"{gold}/{GOLD_CHANNELS}")
+    register_layer(spark, gold, "gold")
+    return spark.sql(
+        """SELECT channel, channel_type, sessions, orders,
+                  conversion_rate_pct, revenue, revenue_per_session_usd
+           FROM gold.gold_channel_performance ORDER BY revenue DESC"""
+    )
+
+
 def silver_roundtrip(spark, sf_dir):
     from strata.session import scratch_path
     from strata.sinks.parquet import write_table
@@ -444,6 +462,7 @@ def _file_queries() -> dict[str, Query]:
         "silver_clean": silver_clean,
         "parquet_scan": parquet_scan,
         "warehouse_sql": warehouse_sql,
+        "warehouse_catalog_sql": warehouse_catalog_sql,
         "silver_roundtrip": silver_roundtrip,
         "gold_roundtrip": gold_roundtrip,
         "raw_manifest": raw_manifest,

@@ -264,6 +264,7 @@ def file_sql() -> dict[str, str]:
     q["silver_clean"] = "SELECT DISTINCT * FROM orders WHERE o_orderkey IS NOT NULL"
     q["parquet_scan"] = "SELECT * FROM lineitem"
     q["warehouse_sql"] = channels() + "SELECT * FROM channels"
+    q["warehouse_catalog_sql"] = q["warehouse_sql"]
     q["silver_roundtrip"] = with_(_b1_sessions()) + "SELECT * FROM sessions"
     # the silver step of that query writes these two tables
     q["lake_tables"] = "SELECT * FROM (VALUES ('customers'), ('orders')) AS t(\"table\")"

@@ -3,7 +3,9 @@
 1. bronze     raw CSV files copied byte for byte (``land_files``)
 2. silver     each CSV table typed, cleaned and written as Parquet
 3. gold       period trend and channel performance from two silver tables
-4. warehouse  silver and gold tables loaded over JDBC (only with a URL)
+4. warehouse  silver and gold tables loaded over JDBC (only with a URL);
+              with ``register=True`` all layers are also registered in
+              Spark's catalog as ``silver.<t>``, ``gold.<t>``, ``report.<t>``
 5. report     report figures and tables computed from gold, as Parquet
 
 Steps hand over through storage only: each step reads what the previous
@@ -34,7 +36,7 @@ from strata.sinks.landing import land_files
 from strata.sinks.parquet import write_observed, write_table
 from strata.sources.csv import read_table as read_csv_table
 from strata.sources.files import lake_tables, qualified, with_table
-from strata.sources.lake import read_table
+from strata.sources.lake import read_table, register_layer
 
 AUDIT_SCHEMA = (
     "step int, layer string, table string, rows long, origin string, key string, "
@@ -178,6 +180,17 @@ def _write_all(outputs: dict[str, DataFrame], folder: str, step: int, layer: str
     ]
 
 
+def catalog_step(spark: SparkSession, layers: Layers) -> list[tuple]:
+    """Step 4 without a database: silver, gold and report tables registered
+    in Spark's catalog as ``silver.<t>``, ``gold.<t>``, ``report.<t>``."""
+    audit = []
+    for layer, database in ((layers.silver, "silver"), (layers.gold, "gold"),
+                            (layers.report, "report")):
+        for name in register_layer(spark, layer, database):
+            audit.append(_row(4, "catalog", f"{database}.{name}", None))
+    return audit
+
+
 def warehouse_step(
     spark: SparkSession, layers: Layers, url: str, properties=None, connections: int = 8
 ) -> list[tuple]:
@@ -220,10 +233,15 @@ def run_pipeline(
     jdbc_properties=None,
     jdbc_connections: int = 8,
     workers: int = 4,
+    register: bool = False,
     **columns,
 ) -> DataFrame:
     """Run the five steps; return the audit (``step, layer, table, rows,
-    origin, key, unparsed, conversions``), one row per table written."""
+    origin, key, unparsed, conversions``), one row per table written.
+
+    ``register=True`` also registers the silver, gold and report tables in
+    Spark's catalog (``silver.<t>``, ``gold.<t>``, ``report.<t>``).
+    """
     sources = bronze_step(spark, raw, layers)
     audit = silver_step(spark, sources, layers, config, workers)
     if {visits, conversions} <= set(lake_tables(spark, layers.silver)):
@@ -233,4 +251,6 @@ def run_pipeline(
         if jdbc_url:
             audit += warehouse_step(spark, layers, jdbc_url, jdbc_properties, jdbc_connections)
         audit += report_step(spark, layers, workers)
+        if register:
+            audit += catalog_step(spark, layers)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

@@ -27,6 +27,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, **conf)
     settings = dict(LOCAL_CONF)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cores)
     settings.setdefault("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
+    # The catalog's default database folder; a cluster configures its own.
+    settings.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-warehouse-"))
     settings.update(conf)
     for k, v in settings.items():
         builder = builder.config(k, v)

@@ -37,3 +37,22 @@ def read_sql_jdbc(
     for k, v in {**dict(properties or {}), **options}.items():
         r = r.option(k, str(v))
     return r.load()
+
+
+def register_layer(spark: SparkSession, layer: str, database: str) -> list[str]:
+    """Make every table folder of a layer queryable as ``<database>.<table>``
+    in Spark's catalog (external Parquet tables: the catalog holds only
+    their location, dropping one never touches its files).
+
+    The Spark-side counterpart of loading a layer into a SQL database: the
+    same ``SELECT ... FROM gold.<table>`` text then runs through Catalyst.
+    """
+    from strata.sources.files import lake_tables
+
+    root = layer.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
+    tables = lake_tables(spark, root)
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{root}/{name}'")
+    return tables

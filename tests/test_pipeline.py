@@ -144,3 +144,17 @@ def test_folder_of_parts_is_one_table(spark, tmp_path):
     layers = Layers.under(str(tmp_path / "lake"))
     audit = {r.table: r.rows for r in run_pipeline(spark, str(raw), layers).collect()}
     assert audit == {"big": 3, "small": 1}
+
+
+def test_layers_registered_in_the_catalog(spark, raw_dir, tmp_path):
+    layers = Layers.under(str(tmp_path / "lake"))
+    audit = run_pipeline(spark, raw_dir, layers, Config.from_dict(GOLDEN_CONFIG), register=True)
+    registered = {r.table for r in audit.collect() if r.layer == "catalog"}
+    assert {"silver.website_sessions", "gold.gold_monthly_trend", "report.channel_table"} <= registered
+    # the ad-hoc queries of the original warehouse, as written
+    by_device = spark.sql(
+        "SELECT device_type, count(*) AS sessions FROM silver.website_sessions "
+        "GROUP BY device_type ORDER BY sessions DESC").collect()
+    assert [tuple(r) for r in by_device] == [("desktop", 6), ("mobile", 1)]
+    top = spark.sql("SELECT * FROM gold.gold_channel_performance ORDER BY revenue DESC").first()
+    assert top.channel == "Google Ads · acquisition"
