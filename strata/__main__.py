@@ -30,6 +30,9 @@ def main(argv=None) -> None:
     parser.add_argument("--jdbc-connections", type=int, default=8,
                         help="database connections per table load")
     parser.add_argument("--workers", type=int, default=4, help="tables written at once")
+    parser.add_argument("--register", action="store_true",
+                        help="register the layers in the session's catalog (silver.<t>, gold.<t>,"
+                             " report.<t>); lasting only with a persistent metastore")
     parser.add_argument("--spark-conf", action="append", default=[], metavar="KEY=VALUE",
                         help="extra Spark setting for the session (repeatable)")
     args = parser.parse_args(argv)
@@ -66,6 +69,7 @@ def main(argv=None) -> None:
         jdbc_properties=props,
         jdbc_connections=args.jdbc_connections,
         workers=args.workers,
+        register=args.register,
     )
     audit.show(200, truncate=False)
 

@@ -49,10 +49,17 @@ def register_layer(spark: SparkSession, layer: str, database: str) -> list[str]:
     """
     from strata.sources.files import lake_tables
 
+    def text(v: str) -> str:  # a SQL string literal
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def ident(v: str) -> str:  # a quoted identifier
+        return "`" + v.replace("`", "``") + "`"
+
     root = layer.rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
+    db = ident(database)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION {text(root)}")
     tables = lake_tables(spark, root)
     for name in tables:
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{root}/{name}'")
+        spark.sql(f"DROP TABLE IF EXISTS {db}.{ident(name)}")
+        spark.sql(f"CREATE TABLE {db}.{ident(name)} USING parquet LOCATION {text(root + '/' + name)}")
     return tables
