@@ -112,3 +112,15 @@ def test_csv_options_from_config(spark, tmp_path):
     assert rows(multi) == [(1, "two\nlines"), (2, "one")]
     cfg2 = Config.from_dict({"defaults": {"csv_options": {"multiLine": "true"}}})
     assert read_table(spark, str(p), defaults=cfg2.defaults)[0].count() == 2
+
+
+def test_defaults_switches(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text("id,v\n1,N/A\n1,N/A\n2,x\n")
+    keep = Defaults(drop_duplicates=False, null_value="N/A")
+    df, _ = read_table(spark, str(p), defaults=keep)
+    cleaned, key = clean(df, defaults=keep)
+    assert key == "id" and cleaned.count() == 3          # duplicates kept
+    assert rows(cleaned.where("id = 1"), "v") == [(None,), (None,)]  # custom sentinel
+    cleaned2, _ = clean(df, defaults=Defaults(null_value="N/A"))
+    assert cleaned2.count() == 2
