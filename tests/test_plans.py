@@ -48,3 +48,14 @@ def test_rule_check_sees_unpartitioned_windows(spark):
         assert not _unpartitioned_windows(spark.range(5).withColumn("r", F.row_number().over(part)))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("key", ["monthly_trend", "daily_trend", "channel_performance",
+                                 "channel_orders", "insight_summary", "channel_table"])
+def test_gold_and_report_scans_read_few_columns(static_plans, key):
+    scans = [n for n in static_plans[key] if n["class"].endswith(".FileSourceScanExec")]
+    assert scans, key
+    for n in scans:
+        schema = json.loads(n["requiredSchema"]) if isinstance(n.get("requiredSchema"), str) \
+            else n["requiredSchema"]
+        assert len(schema["fields"]) <= 3, (key, [f["name"] for f in schema["fields"]])
