@@ -16,8 +16,10 @@ their visits are spread over several buckets, and their conversions are
 copied into every bucket before the per-visit aggregate (where the map-side
 combine keeps the copies cheap), so each bucket carries the id's full
 totals and the result is exactly the same. With no hot id the plan is the
-plain one. Pre-aggregating all visits instead would cost a second full
-shuffle of them (about twice the time, measured).
+plain one, and inputs under ``SMALL_INPUT_BYTES`` skip the detection pass
+(they are a couple of partitions at most). Pre-aggregating all visits
+instead would cost a second full shuffle of them (about twice the time,
+measured).
 """
 
 from __future__ import annotations
@@ -39,9 +41,35 @@ from strata.functions.ratios import cents, from_cents, pct, ratio
 # partitions; the sketch tracks this many most frequent keys.
 HOT_FACTOR = 2.0
 HOT_CANDIDATES = 64
+# Visit inputs whose files total less than this are a couple of partitions'
+# worth at most: no key in them can make a straggler, so no detection pass.
+SMALL_INPUT_BYTES = 128 << 20
 _SALT = "_salt"
 
 
+def _input_bytes_exceed(df: DataFrame, limit: int) -> bool:
+    """Whether the files ``df`` reads total more than ``limit`` bytes
+    (file metadata only, stopping as soon as the limit is passed). A frame
+    that reads no files (in-memory data) counts as small."""
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        path = sc._jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+        if total > limit:
+            return True
+    return False
+
+
+def _detect_hot(df: DataFrame, key: str, salt_hot_visits: bool | None) -> dict | None:
+    if salt_hot_visits is False:
+        return None
+    if salt_hot_visits is None and not _input_bytes_exceed(df, SMALL_INPUT_BYTES):
+        return None
+    return hot_keys(df, key)
+
+
 def label_visits(
     visits: DataFrame,
     *,
@@ -160,7 +188,7 @@ def channel_orders(
     *,
     visit_id="website_session_id",
     amount="price_usd",
-    salt_hot_visits: bool = True,
+    salt_hot_visits: bool | None = None,
 ) -> DataFrame:
     """P4 + J2 + A4: conversions and revenue per channel.
 
@@ -168,7 +196,7 @@ def channel_orders(
     dropped; a visit id present twice counts its conversions twice.
     """
     visits = labeled.select(visit_id, "channel")
-    hot = hot_keys(visits, visit_id) if salt_hot_visits else None
+    hot = _detect_hot(visits, visit_id, salt_hot_visits)
     return (
         _attach_conversions(visits, conversions, visit_id=visit_id, amount=amount,
                             how="inner", hot=hot)
@@ -217,7 +245,7 @@ def channel_performance(
     campaign="utm_campaign",
     referer="http_referer",
     unknown_label: str | None = None,
-    salt_hot_visits: bool = True,
+    salt_hot_visits: bool | None = None,
     sort: bool = True,
 ) -> DataFrame:
     """O2: one row per (channel, channel_type), sorted by revenue
@@ -232,14 +260,16 @@ def channel_performance(
     channel's conversions (the J3 join is on the channel alone); a NULL
     channel gets 0, as the NULL key of that join would give.
 
-    ``salt_hot_visits`` first looks for visit ids repeated across a large
-    share of the visits and spreads them over several join tasks (see the
-    module notes); the result does not depend on it.
+    ``salt_hot_visits`` looks for visit ids repeated across a large share of
+    the visits and spreads them over several join tasks (see the module
+    notes): ``None`` (default) when the visit input files exceed
+    ``SMALL_INPUT_BYTES``, ``True`` always, ``False`` never. The result does
+    not depend on it.
     """
     labeled = label_visits(
         visits, source=source, campaign=campaign, referer=referer, unknown_label=unknown_label
     ).select(visit_id, "channel", "channel_type")
-    hot = hot_keys(labeled.select(visit_id), visit_id) if salt_hot_visits else None
+    hot = _detect_hot(labeled.select(visit_id), visit_id, salt_hot_visits)
     kind = F.col("channel_type")
     per_channel = (
         _attach_conversions(labeled, conversions, visit_id=visit_id, amount=amount,

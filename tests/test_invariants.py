@@ -85,12 +85,22 @@ def test_hot_visit_id_is_salted_with_the_same_result(spark):
                               "website_session_id long, price_usd double")
     hot = hot_keys(v, "website_session_id", partitions=4)
     assert set(hot) == {0} and hot[0] >= 2
-    salted = sorted(map(tuple, channel_performance(v, c).collect()), key=str)
+    salted = sorted(map(tuple, channel_performance(v, c, salt_hot_visits=True).collect()), key=str)
     plain = sorted(map(tuple, channel_performance(v, c, salt_hot_visits=False).collect()), key=str)
     assert salted == plain
     by = {r[0]: r for r in salted}
     assert by["Google Ads · marque"][2:4] == (40, 80)   # 40 visits x 2 conversions
     labeled = label_visits(v)
-    assert sorted(map(tuple, channel_orders(labeled, c).collect()), key=str) == sorted(
+    assert sorted(map(tuple, channel_orders(labeled, c, salt_hot_visits=True).collect()),
+                  key=str) == sorted(
         map(tuple, channel_orders(labeled, c, salt_hot_visits=False).collect()), key=str)
     assert hot_keys(spark.range(100).withColumnRenamed("id", "k"), "k", partitions=4) == {}
+
+
+def test_detection_skipped_for_small_inputs(spark):
+    from strata.operators.channels import _input_bytes_exceed
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert not _input_bytes_exceed(orders, 128 << 20)
+    assert _input_bytes_exceed(orders, 0)
+    assert not _input_bytes_exceed(spark.range(10), 0)  # in-memory: no files
