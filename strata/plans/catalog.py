@@ -180,7 +180,8 @@ def _insight_queries() -> dict[str, Query]:
 
 
 # -- silver, sources and sinks: queries over CSV / Parquet that Spark writes
-# from the test tables into a fresh folder under spark.checkpoint.dir -------
+# from the test tables under spark.checkpoint.dir (raw CSV once per
+# application; landing, silver, gold and pipeline outputs on every call) ----
 
 ORDERS_SPEC = {
     "primary_key": "o_orderkey",
@@ -227,22 +228,17 @@ def _config(**tables):
 _RAW_FOLDERS: dict[tuple, str] = {}
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _raw_folder(spark, sf_dir, tables: dict) -> str:
     """A scratch folder holding test-derived frames as raw CSV tables
     ``<name>.csv`` (written on first use in this application)."""
     from strata.session import scratch_path
     from strata.sources.csv import write_csv
+    from strata.sources.files import path_exists
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
            tuple(sorted((n, f.__name__) for n, f in tables.items())))
     raw = _RAW_FOLDERS.get(key)
-    if raw and all(_exists(spark, f"{raw}/{n}.csv/_SUCCESS") for n in tables):
+    if raw and all(path_exists(spark, f"{raw}/{n}.csv/_SUCCESS") for n in tables):
         return raw
     raw = scratch_path(spark, "raw")
     for name, make in tables.items():

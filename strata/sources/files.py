@@ -28,6 +28,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return p.getFileSystem(conf).makeQualified(p).toString().rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its Hadoop FileSystem (a metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFrame:
     """All files matching ``glob`` under ``root`` (any depth): ``path,
     length, modificationTime``; no content is read."""
