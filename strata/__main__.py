@@ -17,6 +17,7 @@ import os
 
 
 def main(argv=None) -> None:
+    """Parse the arguments, run the pipeline, print the audit."""
     parser = argparse.ArgumentParser(prog="strata", description=__doc__.split("\n")[0])
     parser.add_argument("--raw", required=True, help="folder of raw CSV tables")
     parser.add_argument("--lake", required=True, help="root of the bronze/silver/gold/report layers")

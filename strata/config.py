@@ -49,6 +49,7 @@ TYPE_NAMES = {
 
 @dataclass(frozen=True)
 class Defaults:
+    """Settings shared by every table of the silver step."""
     null_value: str = "NULL"
     timestamp_format: str = "yyyy-MM-dd HH:mm:ss"
     timestamp_columns: tuple[str, ...] = ("created_at",)
@@ -101,6 +102,7 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class Config:
+    """Defaults plus the declared tables, by table name."""
     defaults: Defaults = field(default_factory=Defaults)
     tables: Mapping[str, TableSpec] = field(default_factory=dict)
 

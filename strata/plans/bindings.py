@@ -30,6 +30,7 @@ B1_DONE_REFERERS = ("https://www.gsearch.com/q", "http://bsearch.com", "https://
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table of ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -43,6 +44,7 @@ def _pick(key: Column, values) -> Column:
 
 
 def b1_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 visits: every ``orders`` row with derived acquisition fields."""
     o = table(spark, sf_dir, "orders")
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     is_open, is_done = status == "O", status == "F"
@@ -62,6 +64,7 @@ def b1_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b1_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 conversions: every ``lineitem`` row, linked by order key."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("website_session_id"),
@@ -71,6 +74,7 @@ def b1_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b2_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 visits: every ``events`` row."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id").alias("website_session_id"), F.col("ts").alias("created_at")
@@ -78,6 +82,7 @@ def b2_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b2_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 conversions: purchase events."""
     ev = table(spark, sf_dir, "events")
     return ev.where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("website_session_id"),
@@ -87,4 +92,5 @@ def b2_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page ids and URLs."""
     return table(spark, sf_dir, "pages").select("page_id", "url")

@@ -16,16 +16,19 @@ from __future__ import annotations
 
 
 def R(x: str, digits: int = 2) -> str:
+    """Spark's half-up rounding of a double, in DuckDB SQL."""
     return (
         f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
     )
 
 
 def MONEY_SUM(x: str) -> str:
+    """Exact sum of an amount, as a double."""
     return f"CAST(sum(CAST({x} AS DECIMAL(28,2))) AS DOUBLE)"
 
 
 def pick(key: str, values) -> str:
+    """``values[key mod len(values)]`` as a CASE expression."""
     whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
     return f"CASE ({key}) % {len(values)} {whens} END"
 
@@ -66,6 +69,7 @@ B2_CONV = """
 
 
 def label_sql(col: str, mapping: dict) -> str:
+    """Code-to-label lookup with passthrough."""
     whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
     return f"coalesce(CASE {col} {whens} END, {col})"
 
@@ -101,10 +105,12 @@ def _labeled() -> str:
 
 
 def with_(*ctes: str) -> str:
+    """A WITH clause from CTE texts."""
     return "WITH " + ",".join(ctes) + "\n"
 
 
 def b1() -> str:
+    """CTEs ``sessions``, ``conv`` and ``labeled`` of binding B1."""
     return with_(_b1_sessions(), B1_CONV, _labeled())
 
 
@@ -179,6 +185,7 @@ def _channels_cte() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL per catalog key."""
     q: dict[str, str] = {}
     q["monthly_trend"] = monthly() + "SELECT * FROM monthly"
     q["trend_series"] = q["monthly_trend"]

@@ -66,6 +66,7 @@ GOLD_CHANNELS = "gold_channel_performance"
 
 @dataclass(frozen=True)
 class Layers:
+    """Folders of the four layers (any Hadoop-FS URI)."""
     bronze: str
     silver: str
     gold: str

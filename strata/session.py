@@ -23,6 +23,7 @@ LOCAL_CONF = {
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, **conf) -> SparkSession:
+    """A local[cores] session with the library's settings (tests, benchmarks)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("strata")
     settings = dict(LOCAL_CONF)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cores)
