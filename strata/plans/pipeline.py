@@ -207,17 +207,27 @@ def warehouse_step(
 
 
 def report_step(spark: SparkSession, layers: Layers, workers: int = 4) -> list[tuple]:
-    """Step 5: report figures, chart series and tables from gold."""
+    """Step 5: report figures, chart series and tables from gold.
+
+    Ordered outputs get a ``position`` column so their order survives
+    storage: after the global sort, ``monotonically_increasing_id`` grows in
+    sort order (range partitions in order, rows in order within each), so no
+    window or extra shuffle is needed; positions increase but have gaps.
+    """
     monthly = read_table(spark, layers.gold, GOLD_MONTHLY)
     channels = read_table(spark, layers.gold, GOLD_CHANNELS)
+
+    def positioned(df: DataFrame) -> DataFrame:
+        return df.withColumn("position", F.monotonically_increasing_id())
+
     outputs = {
         "insight_summary": ins.insight_summary(monthly, channels),
-        "trend_series": ins.trend_series(monthly),
-        "channel_revenue_series": ins.channel_revenue_series(channels),
-        "channel_conversion_series": ins.channel_conversion_series(channels),
-        "channel_type_mix": ins.channel_type_mix(channels),
-        "channel_table": ins.channel_table(channels),
-        "type_table": ins.type_table(channels),
+        "trend_series": positioned(ins.trend_series(monthly)),
+        "channel_revenue_series": positioned(ins.channel_revenue_series(channels)),
+        "channel_conversion_series": positioned(ins.channel_conversion_series(channels)),
+        "channel_type_mix": positioned(ins.channel_type_mix(channels)),
+        "channel_table": positioned(ins.channel_table(channels)),
+        "type_table": positioned(ins.type_table(channels)),
     }
     return _write_all(outputs, layers.report, 5, "report", workers)
 

@@ -158,3 +158,26 @@ def test_layers_registered_in_the_catalog(spark, raw_dir, tmp_path):
     assert [tuple(r) for r in by_device] == [("desktop", 6), ("mobile", 1)]
     top = spark.sql("SELECT * FROM gold.gold_channel_performance ORDER BY revenue DESC").first()
     assert top.channel == "Google Ads · acquisition"
+
+
+def test_report_tables_keep_their_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from strata.operators.insights import channel_revenue_series
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    # many channels, so the sort spans several partitions
+    lines = ["website_session_id,created_at,utm_source,utm_campaign,http_referer,device_type"]
+    lines += [f"{i},2012-03-01 00:00:00,src{i % 37},c{i % 11},NULL,desktop" for i in range(2000)]
+    (raw / "website_sessions.csv").write_text("\n".join(lines) + "\n")
+    orders = ["order_id,created_at,website_session_id,price_usd"]
+    orders += [f"{i},2012-03-02 00:00:00,{i},{(i * 7) % 500}.25" for i in range(2000)]
+    (raw / "orders.csv").write_text("\n".join(orders) + "\n")
+    layers = Layers.under(str(tmp_path / "lake"))
+    run_pipeline(spark, str(raw), layers, Config.from_dict(GOLDEN_CONFIG))
+    stored = spark.read.parquet(f"{layers.report}/channel_revenue_series").orderBy("position")
+    gold = spark.read.parquet(f"{layers.gold}/gold_channel_performance")
+    want = [(r.channel, r.revenue) for r in channel_revenue_series(gold).collect()]
+    assert [(r.channel, r.revenue) for r in stored.collect()] == want
+    assert stored.agg(F.countDistinct("position")).first()[0] == len(want)
