@@ -116,3 +116,54 @@ def test_period_trend_matches_model(spark, visit_days, conv):
     got = [tuple(row) for row in period_trend(v, c).collect()]
     key = lambda t: (t[0] is not None, t[0] or "")
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+channel_row = st.tuples(
+    st.sampled_from(["A", "B", "C", "D", None]),
+    st.sampled_from(["Payant", "Naturel", "Direct", "Autre"]),
+    st.integers(1, 300),                       # sessions
+    st.integers(0, 900),                       # orders
+    st.integers(0, 500_000).map(lambda c: c / 100),  # revenue
+)
+
+
+@settings(max_examples=12, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(channel_row, min_size=1, max_size=12))
+def test_channel_figures_match_model(spark, table):
+    from decimal import Decimal
+
+    from strata.operators import insights as ins
+
+    rows = [(ch, t, s, o, r, _round_half_up(o / s * 100), _round_half_up(r / s))
+            for ch, t, s, o, r in table]
+    df = spark.createDataFrame(rows, "channel string, channel_type string, sessions long, "
+                               "orders long, revenue double, conversion_rate_pct double, "
+                               "revenue_per_session_usd double")
+    # type mix: the three types in order, absent ones dropped
+    kept = [t for t in ("Payant", "Naturel", "Direct") if any(r[1] == t for r in rows)]
+    total = sum(Decimal(str(r[4])) for r in rows if r[1] in kept)
+    want_mix = []
+    for t in kept:
+        sel = [r for r in rows if r[1] == t]
+        rev = float(sum(Decimal(str(r[4])) for r in sel))
+        s, o = sum(r[2] for r in sel), sum(r[3] for r in sel)
+        share = rev / float(total) * 100 if total else None
+        want_mix.append((t, s, o, rev, share, o / s * 100))
+    got_mix = [tuple(r) for r in ins.channel_type_mix(df).collect()]
+    assert got_mix == want_mix
+    paid = next((m[4] for m in want_mix if m[0] == "Payant"), None)
+    got_share = ins.paid_free_share(df).first()
+    assert got_share.paid_share_pct == (paid if paid is not None else 0.0)
+    # top channel: most revenue, ties by channel (NULL last) then type
+    order = sorted(rows, key=lambda r: (-r[4], r[0] is None, r[0] or "", r[1]))
+    assert tuple(ins.top_channel(df).first())[:2] == order[0][:2]
+    # best / worst converting among channels with >= 100 sessions
+    sig = [r for r in rows if r[2] >= 100]
+    bw = ins.best_worst_channel(df).first()
+    if not sig:
+        assert bw.best_channel is None and bw.worst_channel is None
+    else:
+        by_conv = sorted(sig, key=lambda r: (-r[5], r[0] is None, r[0] or "", r[1]))
+        assert (bw.best_channel, bw.best_conversion_pct) == (by_conv[0][0], by_conv[0][5])
+        assert (bw.worst_channel, bw.worst_conversion_pct) == (by_conv[-1][0], by_conv[-1][5])
