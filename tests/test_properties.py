@@ -3,6 +3,7 @@ rules, on random values (one Spark job per generated batch)."""
 
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -167,3 +168,43 @@ def test_channel_figures_match_model(spark, table):
         by_conv = sorted(sig, key=lambda r: (-r[5], r[0] is None, r[0] or "", r[1]))
         assert (bw.best_channel, bw.best_conversion_pct) == (by_conv[0][0], by_conv[0][5])
         assert (bw.worst_channel, bw.worst_conversion_pct) == (by_conv[-1][0], by_conv[-1][5])
+
+
+month_row = st.tuples(
+    st.one_of(st.none(), st.integers(0, 23).map(lambda i: f"{2020 + i // 12}-{i % 12 + 1:02d}")),
+    st.integers(1, 500),                      # sessions
+    st.integers(0, 50),                       # orders
+)
+
+
+@settings(max_examples=12, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(month_row, min_size=1, max_size=10, unique_by=lambda r: r[0]))
+def test_period_figures_match_model(spark, months):
+    from statistics import fmean
+
+    from strata.operators import insights as ins
+
+    rows = []
+    for ym, s, o in months:
+        rev = o * 12.5
+        rows.append((ym, s, o, rev, _round_half_up(o / s * 100),
+                     _round_half_up(rev / o) if o else None))
+    df = spark.createDataFrame(rows, "year_month string, sessions long, orders long, "
+                               "revenue double, conversion_rate_pct double, aov_usd double")
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))  # NULL month last
+    first, last = ordered[:3], ordered[-3:]
+
+    def mean(rs, i):
+        vals = [r[i] for r in rs if r[i] is not None]
+        return fmean(vals) if vals else None
+
+    w = ins.trend_windows(df).first()
+    assert w.sessions_first == pytest.approx(mean(first, 1))
+    assert w.sessions_last == pytest.approx(mean(last, 1))
+    assert w.aov_first == pytest.approx(mean(first, 5)) if mean(first, 5) is not None \
+        else w.aov_first is None
+    best = max(ordered, key=lambda r: r[2])  # first of the most orders, in month order
+    assert ins.best_period(df).first().year_month == best[0]
+    k = ins.kpi_totals(df).first()
+    assert (k.total_sessions, k.total_orders) == (sum(r[1] for r in rows), sum(r[2] for r in rows))
