@@ -208,3 +208,40 @@ def test_period_figures_match_model(spark, months):
     assert ins.best_period(df).first().year_month == best[0]
     k = ins.kpi_totals(df).first()
     assert (k.total_sessions, k.total_orders) == (sum(r[1] for r in rows), sum(r[2] for r in rows))
+
+
+csv_row = st.tuples(
+    st.one_of(st.just("NULL"), st.integers(0, 4).map(str)),                 # key
+    st.sampled_from(["2012-03-19 08:04:16", "2012-04-01 00:00:00", "not a date", "NULL"]),
+    st.sampled_from(["a", "b", "NULL"]),
+)
+
+
+@settings(max_examples=10, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(csv_row, min_size=1, max_size=20))
+def test_silver_clean_matches_model(spark, tmp_path_factory, raw_rows):
+    import datetime
+
+    from strata.config import TableSpec
+    from strata.operators.silver import clean
+    from strata.sources.csv import read_table
+
+    path = tmp_path_factory.mktemp("silver") / "t.csv"
+    path.write_text("id,created_at,v\n" + "".join(f"{a},{b},{c}\n" for a, b, c in raw_rows))
+    spec = TableSpec.from_dict({"primary_key": "id",
+                                "columns": {"id": "int", "created_at": "string", "v": "string"}})
+    from pyspark.sql import functions as F
+
+    df, _ = read_table(spark, str(path), spec)
+    cleaned = clean(df, spec)[0].select(
+        "id", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"), "v")
+    got = sorted((tuple(r) for r in cleaned.collect()), key=str)
+
+    def parse(t):  # the text a parsed timestamp formats back to, or NULL
+        if t in ("NULL", "not a date"):
+            return None
+        return datetime.datetime.strptime(t, "%Y-%m-%d %H:%M:%S").strftime("%Y-%m-%d %H:%M:%S")
+
+    model = {(int(a), parse(b), None if c == "NULL" else c) for a, b, c in raw_rows if a != "NULL"}
+    assert got == sorted(model, key=str)
