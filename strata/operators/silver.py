@@ -42,15 +42,16 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def resolve_key(df: DataFrame, spec: TableSpec | None = None) -> str:
-    """The declared key, else the first column."""
-    return (spec.primary_key if spec else None) or df.columns[0]
+def resolve_key(df: DataFrame, spec: TableSpec | None = None) -> str | None:
+    """The declared key, else the first column (None for a frame without
+    columns, such as an empty CSV read without a declaration)."""
+    return (spec.primary_key if spec else None) or (df.columns[0] if df.columns else None)
 
 
 def require_key(df: DataFrame, key: str) -> DataFrame:
     """Drop rows whose key is NULL. A key that is not a column (exact,
     case-sensitive name) leaves the frame as it is."""
-    return df.where(F.col(key).isNotNull()) if key in df.columns else df
+    return df.where(F.col(key).isNotNull()) if key and key in df.columns else df
 
 
 def clean(

@@ -118,7 +118,8 @@ def silver_step(
 
     Besides the rows written, the audit counts the timestamps set in the
     CSV that did not parse and are NULL in silver (observed by the same
-    write). Silver tables left from earlier runs whose raw file is gone are
+    write). An empty CSV without a declaration has no columns; it is
+    recorded with 0 rows and no table is written. Silver tables left from earlier runs whose raw file is gone are
     listed as ``stale``; they are kept.
     """
     d = config.defaults
@@ -126,6 +127,10 @@ def silver_step(
     def one(table: str, path: str) -> tuple:
         spec = config.spec(table)
         df, origin = read_csv_table(spark, path, spec, d)
+        if not df.columns:
+            # An empty file read without a declaration has no columns, and a
+            # table without columns cannot be written: recorded, not written.
+            return _row(2, "silver", table, 0, origin, None, 0)
         cleaned, key = clean(df, spec, d, mark=UNPARSED)
         m = write_observed(
             cleaned,

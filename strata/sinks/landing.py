@@ -1,9 +1,11 @@
 """Bronze landing: byte-for-byte copy of raw files (K1).
 
 The copy is a Spark job. The raw files are listed with ``binaryFile``
-selecting only ``path`` and ``length`` (no content is read by the scan);
-Spark splits that listing into tasks by file size, like any file scan
+selecting only metadata (no content is read by the scan); Spark splits that
+listing into tasks by file size, like any file scan
 (``spark.sql.files.maxPartitionBytes`` per task, a large file on its own).
+Empty files, which that scan skips, are added from Spark's file index (see
+``list_files``) and copied as empty files.
 Each task then streams its files to the bronze folder in fixed-size chunks
 through Arrow's filesystem layer, hashing as it goes, and returns one row
 per file (size and SHA-256). Memory per task is one chunk, whatever the file

@@ -37,14 +37,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFrame:
     """All files matching ``glob`` under ``root`` (any depth): ``path,
-    length, modificationTime``; no content is read."""
-    return (
+    length, modificationTime``; no content is read.
+
+    Spark's file scan plans no split for a zero-length file, so the
+    ``binaryFile`` scan has no row for one; its file index still lists it.
+    Empty files are therefore the indexed paths the scan did not return
+    (a left anti join on the path), added with length 0 and no time.
+    """
+    scan = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select("path", "length", "modificationTime")
     )
+    meta = scan.select("path", "length", "modificationTime")
+    # The index writes local paths as file:///x, the scan as file:/x.
+    indexed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
+        F.regexp_replace("path", "^file:///", "file:/").alias("path")
+    )
+    empty = indexed.join(meta.select("path"), "path", "left_anti").select(
+        "path",
+        F.lit(0).cast("long").alias("length"),
+        F.lit(None).cast("timestamp").alias("modificationTime"),
+    )
+    return meta.unionByName(empty)
 
 
 def with_table(files: DataFrame, root_q: str, path_col: str = "path") -> DataFrame:

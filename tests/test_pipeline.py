@@ -181,3 +181,15 @@ def test_report_tables_keep_their_order(spark, tmp_path):
     want = [(r.channel, r.revenue) for r in channel_revenue_series(gold).collect()]
     assert [(r.channel, r.revenue) for r in stored.collect()] == want
     assert stored.agg(F.countDistinct("position")).first()[0] == len(want)
+
+
+def test_empty_raw_files(spark, raw_dir, tmp_path):
+    import os
+
+    (tmp_path / "raw" / "nothing.csv").write_bytes(b"")
+    layers = Layers.under(str(tmp_path / "lake"))
+    audit = {r.table: r for r in run_pipeline(spark, raw_dir, layers,
+                                              Config.from_dict(GOLDEN_CONFIG)).collect()}
+    assert audit["nothing"].rows == 0 and audit["nothing"].key is None
+    assert os.path.getsize(os.path.join(layers.bronze, "nothing.csv")) == 0  # landed as is
+    assert audit["website_sessions"].rows == 7
