@@ -42,7 +42,9 @@ def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFram
     Spark's file scan plans no split for a zero-length file, so the
     ``binaryFile`` scan has no row for one; its file index still lists it.
     Empty files are therefore the indexed paths the scan did not return
-    (a left anti join on the path), added with length 0 and no time.
+    (a left anti join on the path), added with length 0 and no time. The
+    path list comes from the driver, where Spark's file index already keeps
+    it (metadata, one string per file); the join itself runs distributed.
     """
     scan = (
         spark.read.format("binaryFile")
