@@ -13,6 +13,9 @@ metadata call, independent of how many part files the tables have).
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +56,10 @@ def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFram
         .load(root)
     )
     meta = scan.select("path", "length", "modificationTime")
-    # The index writes local paths as file:///x, the scan as file:/x.
-    indexed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
-        F.regexp_replace("path", "^file:///", "file:/").alias("path")
+    # The index gives URI-encoded paths (file:///a%20b.csv), the scan decoded
+    # ones (file:/a b.csv); unquote leaves a literal "+" alone.
+    indexed = spark.createDataFrame(
+        [(re.sub("^file:///", "file:/", unquote(p)),) for p in scan.inputFiles()], "path string"
     )
     empty = indexed.join(meta.select("path"), "path", "left_anti").select(
         "path",

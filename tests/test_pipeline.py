@@ -193,3 +193,20 @@ def test_empty_raw_files(spark, raw_dir, tmp_path):
     assert audit["nothing"].rows == 0 and audit["nothing"].key is None
     assert os.path.getsize(os.path.join(layers.bronze, "nothing.csv")) == 0  # landed as is
     assert audit["website_sessions"].rows == 7
+
+
+def test_odd_file_names(spark, tmp_path):
+    import os
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    names = ["my table.csv", "a+b.csv", "pct%41.csv", "void.csv"]
+    for i, n in enumerate(names):
+        (raw / n).write_text("" if n == "void.csv" else f"x\n{i}\n")
+    m = rows(csv_manifest(spark, str(raw)), "table", "bytes")
+    assert m == [("a+b", 4), ("my table", 4), ("pct%41", 4), ("void", 0)]
+    landed = land_files(spark, str(raw), str(tmp_path / "bronze")).collect()
+    assert sorted(os.path.basename(r.target) for r in landed) == sorted(names)
+    for r in landed:
+        name = os.path.basename(r.target)
+        assert (tmp_path / "bronze" / name).read_bytes() == (raw / name).read_bytes()
