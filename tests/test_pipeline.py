@@ -210,3 +210,6 @@ def test_odd_file_names(spark, tmp_path):
     for r in landed:
         name = os.path.basename(r.target)
         assert (tmp_path / "bronze" / name).read_bytes() == (raw / name).read_bytes()
+    audit = {r.table: r.rows for r in
+             run_pipeline(spark, str(raw), Layers.under(str(tmp_path / "lake"))).collect()}
+    assert audit == {"my table": 1, "a+b": 1, "pct%41": 1, "void": 0}
