@@ -5,16 +5,23 @@ from __future__ import annotations
 import corpus_pipeline
 from strata.llm.bpe import op9_byte_bpe
 from strata.llm.mixing import op5_source_mix
+from strata.llm.quality import op7_quality_rules
 from strata.llm.secrets import op8_secret_scan
 from strata.llm.simhash import op6_simhash_near_dedup
 from strata.llm.toxicity import op2_toxicity
+from strata.llm.urls import ORACLE as URL_ORACLE
+from strata.llm.urls import op1_url_filter
+from strata.llm.warc import op3_warc
 
 
 def queries() -> dict:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_toxicity": op2_toxicity,
+        "op3_warc": op3_warc,
         "op5_source_mix": op5_source_mix,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
+        "op7_quality_rules": op7_quality_rules,
         "op8_secret_scan": op8_secret_scan,
         "op9_byte_bpe": op9_byte_bpe,
         "pipeline": corpus_pipeline.run,
@@ -22,4 +29,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_url_filter": URL_ORACLE}
