@@ -8,9 +8,11 @@ from strata.llm.mixing import op5_source_mix
 from strata.llm.quality import op7_quality_rules
 from strata.llm.secrets import op8_secret_scan
 from strata.llm.simhash import op6_simhash_near_dedup
+from strata.llm.tokencount import op4_token_counts
 from strata.llm.toxicity import op2_toxicity
 from strata.llm.urls import ORACLE as URL_ORACLE
 from strata.llm.urls import op1_url_filter
+from strata.llm.vectors import op10_embedding_near_dedup
 from strata.llm.warc import op3_warc
 
 
@@ -19,11 +21,13 @@ def queries() -> dict:
         "op1_url_filter": op1_url_filter,
         "op2_toxicity": op2_toxicity,
         "op3_warc": op3_warc,
+        "op4_token_counts": op4_token_counts,
         "op5_source_mix": op5_source_mix,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_secret_scan": op8_secret_scan,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_embedding_near_dedup": op10_embedding_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
 

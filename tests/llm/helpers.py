@@ -57,3 +57,22 @@ def components(nodes, pairs):
 
 def all_pairs(items):
     return itertools.combinations(items, 2)
+
+
+def cosine_groups(vectors, threshold):
+    """Brute force: links and smallest linked index of each usable vector."""
+    import numpy as np
+
+    ok = [
+        i
+        for i, v in enumerate(vectors)
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v)
+    ]
+    links, pairs = dict.fromkeys(range(len(vectors)), 0), []
+    for a, b in itertools.combinations(ok, 2):
+        x, y = np.array(vectors[a], float), np.array(vectors[b], float)
+        if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+            links[a] += 1
+            links[b] += 1
+            pairs.append((a, b))
+    return links, components(range(len(vectors)), pairs)
