@@ -11,11 +11,12 @@ from strata.functions.periods import period_key, period_label, period_text  # no
 from strata.functions.ratios import (  # noqa: F401
     abs_change,
     growth_pct,
-    cents,
-    from_cents,
+    double_part,
+    exact_part,
     money_sum,
     pct,
     ratio,
+    total,
 )
 from strata.functions.text import (  # noqa: F401
     direction,

@@ -6,14 +6,12 @@ instead of an error under ANSI mode or an infinity.
 Rounding is ``round`` (HALF_UP on the decimal form of the double), the
 same rule for every figure.
 
-Money is summed exactly: each amount becomes a whole number of cents (a
-``bigint``), the cents are summed, and the total is turned back into a
-double once. A total therefore does not depend on row order, partitioning
-or retries (a plain double sum does, in its last bits), and the sum stays a
-primitive ``long`` addition inside whole-stage codegen (a ``decimal(38,
-2)`` buffer costs about twice as much per row). Amounts are assumed to be
-in cents; a finer digit is rounded half-up. The ``long`` sum fails loudly
-(ANSI overflow) above 9.2e16 currency units, it never wraps.
+Money is summed without rounding any amount. An amount whose decimal text has
+at most 12 digits after the point (and under 1e16 in size) is summed as
+``decimal``: such a total does not depend on row order, partitioning or retries.
+Every other amount (NaN, infinities, huge values, longer fractions) is summed as
+the double it is, and that sum is added at the end, so NaN gives NaN and an
+infinity an infinity. The decimal sum holds totals up to 1e26.
 """
 
 from __future__ import annotations
@@ -23,22 +21,38 @@ from pyspark.sql import functions as F
 
 from strata.functions._cols import as_col
 
-CENTS = 100
+_EXACT = "decimal(28,12)"
 
 
-def cents(amount) -> Column:
-    """An amount as a whole number of cents (``bigint``)."""
-    return F.floor(as_col(amount) * F.lit(CENTS) + F.lit(0.5))
+def _exact(amount) -> tuple[Column, Column]:
+    """The amount as an exact decimal (NULL where there is none), and whether
+    there is one."""
+    x = as_col(amount).cast("double")
+    d = x.try_cast(_EXACT)
+    return d, F.coalesce(d.cast("double") == x, F.lit(False))
 
 
-def from_cents(total) -> Column:
-    """A number of cents back as a currency amount (``double``)."""
-    return as_col(total) / F.lit(CENTS)
+def exact_part(amount) -> Column:
+    """The amounts to sum as decimals."""
+    d, ok = _exact(amount)
+    return F.when(ok, d)
+
+
+def double_part(amount) -> Column:
+    """The amounts to sum as doubles: those without an exact decimal."""
+    _, ok = _exact(amount)
+    return F.when(~ok, as_col(amount).cast("double"))
+
+
+def total(exact, rest) -> Column:
+    """The two sums put together, as a double (NULL if both are)."""
+    exact, rest = as_col(exact).cast("double"), as_col(rest)
+    return F.when(rest.isNull(), exact).otherwise(rest + F.coalesce(exact, F.lit(0.0)))
 
 
 def money_sum(amount) -> Column:
-    """Exact, order-independent sum of an amount column, as a double."""
-    return from_cents(F.sum(cents(amount)))
+    """Sum of an amount column, as a double (see the module's notes)."""
+    return total(F.sum(exact_part(amount)), F.sum(double_part(amount)))
 
 
 def ratio(num, den, digits: int | None = 2) -> Column:

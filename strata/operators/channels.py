@@ -10,16 +10,16 @@ shuffles only the visit side; AQE may still switch to a broadcast join when
 the measured size of one side allows.
 
 A visit id repeated across a large share of the *visits* would send all of
-them to one join task. Such ids are found first with one bounded pass
-(``approx_top_k`` over the visit ids, a frequent-items sketch) and salted:
-their visits are spread over several buckets, and their conversions are
-copied into every bucket before the per-visit aggregate (where the map-side
-combine keeps the copies cheap), so each bucket carries the id's full
-totals and the result is exactly the same. With no hot id the plan is the
-plain one, and inputs under ``SMALL_INPUT_BYTES`` skip the detection pass
-(they are a couple of partitions at most). Pre-aggregating all visits
-instead would cost a second full shuffle of them (about twice the time,
-measured).
+them to one join task. Such ids are always looked for first, in one pass over
+the visit ids with a frequent-items sketch (``approx_top_k``): an id that holds
+more than ``HOT_FACTOR`` average shuffle partitions' rows. There are at most
+``partitions / HOT_FACTOR`` of them, and all are split: the join gets a second
+key, the visit's input partition modulo the id's number of buckets, and the
+conversions of such an id are copied into each of its buckets before the
+per-visit aggregate (whose map-side half collapses the copies), so each bucket
+carries the id's full totals and the result is exactly the same. An input
+partition's number depends on no row order, so a retried task deals its rows
+alike. Visits without an id match nothing; they are spread over all partitions.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.functions.channels import (
     CHANNEL_TYPES,
@@ -35,41 +36,16 @@ from strata.functions.channels import (
     channel_label,
     referer_host,
 )
-from strata.functions.ratios import cents, from_cents, pct, ratio
+from strata.functions.ratios import double_part, exact_part, pct, ratio, total
 
-# A key is hot when it holds more rows than this many average shuffle
-# partitions; the sketch tracks this many most frequent keys.
+# A key is hot when it holds more rows than this many average shuffle partitions.
 HOT_FACTOR = 2.0
-HOT_CANDIDATES = 64
-# Visit inputs whose files total less than this are a couple of partitions'
-# worth at most: no key in them can make a straggler, so no detection pass.
-SMALL_INPUT_BYTES = 128 << 20
+# Items the frequent-items sketch tracks: a multiple of the partitions, so that
+# every key above the threshold is among them; the function's own limits.
+SKETCH_FACTOR, SKETCH_LEAST, SKETCH_MOST = 8, 10_000, 1_000_000
 _SALT = "_salt"
 
 
-def _input_bytes_exceed(df: DataFrame, limit: int) -> bool:
-    """Whether the files ``df`` reads total more than ``limit`` bytes
-    (file metadata only, stopping as soon as the limit is passed). A frame
-    that reads no files (in-memory data) counts as small."""
-    sc = df.sparkSession.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        path = sc._jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        if total > limit:
-            return True
-    return False
-
-
-def _detect_hot(df: DataFrame, key: str, salt_hot_visits: bool | None) -> dict | None:
-    if salt_hot_visits is False:
-        return None
-    if salt_hot_visits is None and not _input_bytes_exceed(df, SMALL_INPUT_BYTES):
-        return None
-    return hot_keys(df, key)
-
-
 def label_visits(
     visits: DataFrame,
     *,
@@ -107,36 +83,42 @@ def channel_sessions(labeled: DataFrame) -> DataFrame:
     return labeled.groupBy("channel", "channel_type").agg(F.count(F.lit(1)).alias("sessions"))
 
 
+def _conversion_sums(amount) -> list:
+    return [
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(exact_part(amount)).alias("_exact"),
+        F.sum(double_part(amount)).alias("_double"),
+    ]
+
+
 def conversions_per_visit(
     conversions: DataFrame, *, visit_id="website_session_id", amount="price_usd"
 ) -> DataFrame:
-    """Conversions and exact revenue (in cents) per visit id."""
-    return conversions.groupBy(visit_id).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(cents(amount)).alias("_cents")
-    )
+    """Conversions and the two parts of their revenue (see ``ratios``) per
+    visit id."""
+    return conversions.groupBy(visit_id).agg(*_conversion_sums(amount))
+
+
+def shuffle_partitions(spark) -> int:
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, key: str, *, partitions: int | None = None,
-             factor: float = HOT_FACTOR, candidates: int = HOT_CANDIDATES) -> dict:
-    """Keys of ``df`` holding more than ``factor`` average shuffle
+def hot_keys(df: DataFrame, key: str, *, partitions: int | None = None, factor: float = HOT_FACTOR) -> dict:
+    """Every key of ``df`` holding more than ``factor`` average shuffle
     partitions' worth of rows, each with a number of buckets that brings it
     down to about one partition.
 
     One aggregate pass: a frequent-items sketch (``approx_top_k``, bounded
-    memory) and the row count. The sketch tracks ``max(1024, partitions)``
-    items, enough to be sure of every key above ``1 / partitions`` of the
-    rows; at most ``candidates`` keys come back to the driver.
+    memory) and the row count. At most ``partitions / factor`` keys can be
+    above the threshold; that many come back to the driver.
     """
-    spark = df.sparkSession
     if partitions is None:
-        conf = spark.conf
-        partitions = int(
-            conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-            or conf.get("spark.sql.shuffle.partitions")
-        )
-    tracked = max(1024, partitions)
-    top = F.call_function("approx_top_k", F.col(key), F.lit(candidates), F.lit(tracked))
-    row = df.agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+        partitions = shuffle_partitions(df.sparkSession)
+    tracked = min(SKETCH_MOST, max(SKETCH_LEAST, SKETCH_FACTOR * partitions))
+    most = min(tracked, math.ceil(partitions / factor) + 1)
+    top = F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(tracked))
+    row = df.agg(top.alias("top"), F.count(key).alias("n")).first()
     if not row or not row["n"]:
         return {}
     per_partition = row["n"] / partitions
@@ -154,30 +136,36 @@ def _attach_conversions(
     visit_id,
     amount,
     how: str,
-    hot: dict | None,
+    salt_hot_visits: bool,
 ) -> DataFrame:
-    """Visits joined to their per-visit ``orders`` and ``_cents`` (``how``
-    is ``left`` or ``inner``), salting the ``hot`` visit ids."""
-    if not hot:
+    """Visits joined to their per-visit ``orders`` and revenue parts (``how``
+    is ``left`` or ``inner``), splitting hot and missing visit ids."""
+    if not salt_hot_visits:
         per_visit = conversions_per_visit(conversions, visit_id=visit_id, amount=amount)
         return labeled.join(per_visit, on=visit_id, how=how)
-    key_type = labeled.schema[visit_id].dataType
-    pairs = []
-    for k, n in hot.items():
-        pairs += [F.lit(k).cast(key_type), F.lit(n)]
-    buckets = F.coalesce(F.create_map(*pairs)[F.col(visit_id)], F.lit(1))
-    # Visits of a hot id are dealt round-robin over its buckets (the id is
-    # fixed per input split, so a retried task deals them the same way);
-    # every other visit is in bucket 0.
-    salted_visits = labeled.withColumn(
-        _SALT, F.pmod(F.monotonically_increasing_id(), buckets).cast("int")
-    )
+    spark = labeled.sparkSession
+    hot = hot_keys(labeled.select(visit_id), visit_id)
+    # No id, no match: such visits may go anywhere.
+    missing = F.when(F.col(visit_id).isNull(), F.lit(shuffle_partitions(spark)))
+    if hot:
+        schema = StructType([StructField(visit_id, labeled.schema[visit_id].dataType), StructField("_buckets", IntegerType())])
+        split = F.broadcast(spark.createDataFrame(list(hot.items()), schema))  # <= partitions / factor rows
+        labeled, conversions = labeled.join(split, visit_id, "left"), conversions.join(split, visit_id, "left")
+        known = F.coalesce("_buckets", F.lit(1))
+        copies = F.sequence(F.lit(0), known - 1)
+    else:
+        known = F.lit(1)
+    # 0 in a form that is no constant: Spark would drop a constant join key,
+    # and with it the spreading of visits without an id.
+    zero = F.pmod(F.hash(visit_id), F.lit(1))
+    buckets = F.coalesce(missing, known)
+    salted_visits = labeled.withColumn(_SALT, F.pmod(F.spark_partition_id(), buckets)).drop("_buckets")
     # Each conversion of a hot id goes to all of its buckets.
-    salted_conversions = conversions.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), (buckets - 1).cast("int")))
-    )
-    per_bucket = salted_conversions.groupBy(visit_id, _SALT).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(cents(amount)).alias("_cents")
+    per_bucket = (
+        conversions.where(F.col(visit_id).isNotNull())
+        .withColumn(_SALT, F.explode(copies) if hot else zero)
+        .groupBy(visit_id, _SALT)
+        .agg(*_conversion_sums(amount))
     )
     return salted_visits.join(per_bucket, on=[visit_id, _SALT], how=how).drop(_SALT)
 
@@ -188,7 +176,7 @@ def channel_orders(
     *,
     visit_id="website_session_id",
     amount="price_usd",
-    salt_hot_visits: bool | None = None,
+    salt_hot_visits: bool = True,
 ) -> DataFrame:
     """P4 + J2 + A4: conversions and revenue per channel.
 
@@ -196,14 +184,13 @@ def channel_orders(
     dropped; a visit id present twice counts its conversions twice.
     """
     visits = labeled.select(visit_id, "channel")
-    hot = _detect_hot(visits, visit_id, salt_hot_visits)
     return (
         _attach_conversions(visits, conversions, visit_id=visit_id, amount=amount,
-                            how="inner", hot=hot)
+                            how="inner", salt_hot_visits=salt_hot_visits)
         .groupBy("channel")
         .agg(
             F.sum("orders").alias("orders"),
-            from_cents(F.sum("_cents")).alias("revenue"),
+            total(F.sum("_exact"), F.sum("_double")).alias("revenue"),
         )
     )
 
@@ -245,7 +232,7 @@ def channel_performance(
     campaign="utm_campaign",
     referer="http_referer",
     unknown_label: str | None = None,
-    salt_hot_visits: bool | None = None,
+    salt_hot_visits: bool = True,
     sort: bool = True,
 ) -> DataFrame:
     """O2: one row per (channel, channel_type), sorted by revenue
@@ -262,24 +249,22 @@ def channel_performance(
 
     ``salt_hot_visits`` looks for visit ids repeated across a large share of
     the visits and spreads them over several join tasks (see the module
-    notes): ``None`` (default) when the visit input files exceed
-    ``SMALL_INPUT_BYTES``, ``True`` always, ``False`` never. The result does
-    not depend on it.
+    notes); ``False`` joins without that pass. The result does not depend
+    on it.
     """
     labeled = label_visits(
         visits, source=source, campaign=campaign, referer=referer, unknown_label=unknown_label
     ).select(visit_id, "channel", "channel_type")
-    hot = _detect_hot(labeled.select(visit_id), visit_id, salt_hot_visits)
     kind = F.col("channel_type")
     per_channel = (
         _attach_conversions(labeled, conversions, visit_id=visit_id, amount=amount,
-                            how="left", hot=hot)
+                            how="left", salt_hot_visits=salt_hot_visits)
         .groupBy("channel")
         .agg(
             *[F.count(F.when(kind == t, F.lit(1))).alias(f"_v{i}")
               for i, t in enumerate(CHANNEL_TYPES)],
             F.sum("orders").alias("_orders"),
-            F.sum("_cents").alias("_cents"),
+            total(F.sum("_exact"), F.sum("_double")).alias("_revenue"),
         )
     )
     per_type = F.array(
@@ -288,14 +273,14 @@ def channel_performance(
     )
     known = F.col("channel").isNotNull()
     rows = (
-        per_channel.select("channel", "_orders", "_cents", F.inline(per_type))
+        per_channel.select("channel", "_orders", "_revenue", F.inline(per_type))
         .where(F.col("sessions") > 0)
         .select(
             "channel",
             "channel_type",
             "sessions",
             F.when(known, F.col("_orders")).alias("orders"),
-            from_cents(F.when(known, F.col("_cents"))).alias("revenue"),
+            F.when(known, F.col("_revenue")).alias("revenue"),
         )
     )
     return _finish(rows, sort)

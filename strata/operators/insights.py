@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.channels import CHANNEL_TYPES, PAID
-from strata.functions.ratios import abs_change, cents, from_cents, growth_pct, money_sum, pct, ratio
+from strata.functions.ratios import abs_change, growth_pct, money_sum, pct, ratio
 from strata.functions.text import (
     IMPROVING,
     WORSENING,
@@ -221,14 +221,14 @@ def channel_type_mix(channels: DataFrame, types=CHANNEL_TYPES) -> DataFrame:
     denominator is in that same row, so no window or join is needed.
     """
     kept = F.col("channel_type").isin(list(types))
-    aggs = [from_cents(F.sum(F.when(kept, cents("revenue")))).alias("_total")]
+    aggs = [money_sum(F.when(kept, F.col("revenue"))).alias("_total")]
     for i, t in enumerate(types):
         is_t = F.col("channel_type") == t
         aggs += [
             F.count(F.when(is_t, F.lit(1))).alias(f"_n{i}"),
             F.sum(F.when(is_t, F.col("sessions"))).alias(f"_s{i}"),
             F.sum(F.when(is_t, F.col("orders"))).alias(f"_o{i}"),
-            from_cents(F.sum(F.when(is_t, cents("revenue")))).alias(f"_r{i}"),
+            money_sum(F.when(is_t, F.col("revenue"))).alias(f"_r{i}"),
         ]
     per_type = F.array(
         *[

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.periods import period_key, period_label
-from strata.functions.ratios import cents, from_cents, pct, ratio
+from strata.functions.ratios import money_sum, pct, ratio
 
 _KEY = "_period"
 
@@ -30,7 +30,7 @@ def _visits_by_key(visits: DataFrame, ts, period: str) -> DataFrame:
 def _conversions_by_key(conversions: DataFrame, ts, amount, period: str) -> DataFrame:
     return conversions.groupBy(period_key(ts, period).alias(_KEY)).agg(
         F.count(F.lit(1)).alias("orders"),
-        F.sum(cents(amount)).alias("_cents"),
+        money_sum(amount).alias("revenue"),
     )
 
 
@@ -55,7 +55,7 @@ def conversions_per_period(
     return agg.select(
         period_label(_KEY, period).alias(out),
         "orders",
-        from_cents("_cents").alias("revenue"),
+        "revenue",
     )
 
 
@@ -85,7 +85,7 @@ def period_counts(
         period_label(_KEY, period).alias(out),
         "sessions",
         "orders",
-        from_cents("_cents").alias("revenue"),
+        "revenue",
     )
     return fill_missing(joined)
 

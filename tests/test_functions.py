@@ -1,5 +1,7 @@
 """Column functions: referrer host, labels, channel type, ratios, text."""
 
+import math
+
 import pytest
 
 from conftest import rows
@@ -61,6 +63,21 @@ def test_money_sum_is_exact(spark):
     assert df.agg(ratios.money_sum("x")).first()[0] == 600.0
 
 
+def test_money_sum_rounds_no_amount(spark):
+    nan, inf = float("nan"), float("inf")
+
+    def total(*amounts):
+        return spark.createDataFrame([(a,) for a in amounts], "x double").agg(ratios.money_sum("x")).first()[0]
+
+    assert total(*[0.004] * 10) == 0.04
+    assert total(1.005, -0.005) == 1.0
+    assert math.isnan(total(nan, 5.0)) and math.isnan(total(inf, -inf))
+    assert total(inf, 5.0) == inf and total(-inf, None) == -inf
+    assert total(1e17, 1e300) == 1e300 and total(1e17, 0.5) == 1e17
+    assert total(1 / 3, 1 / 3) == 2 / 3 and total(-2.5, 1.25) == -1.25
+    assert total(None, None) is None and total() is None
+
+
 @pytest.mark.parametrize(
     "x,grouped,plain,k",
     [

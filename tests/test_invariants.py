@@ -97,10 +97,52 @@ def test_hot_visit_id_is_salted_with_the_same_result(spark):
     assert hot_keys(spark.range(100).withColumnRenamed("id", "k"), "k", partitions=4) == {}
 
 
-def test_detection_skipped_for_small_inputs(spark):
-    from strata.operators.channels import _input_bytes_exceed
-
-    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    assert not _input_bytes_exceed(orders, 128 << 20)
-    assert _input_bytes_exceed(orders, 0)
-    assert not _input_bytes_exceed(spark.range(10), 0)  # in-memory: no files
+def _spread(spark, visits, conversions, visit_id="website_session_id"):
+    """Rows of each join task's visit side, with sort-merge joins only."""
+    from strata.operators.channels import _attach_conversions
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = _attach_conversions(visits, conversions, visit_id=visit_id, amount="price_usd",
+                                     how="left", salt_hot_visits=True)
+        return [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_one_hot_id_in_a_tiny_file_is_split(spark, tmp_path):
+    path = f"{tmp_path}/v"
+    spark.range(400_000, numPartitions=32).select(
+        F.lit(7).cast("long").alias("website_session_id"), F.lit("c").alias("channel")
+    ).write.parquet(path)
+    v = spark.read.option("x", "y").parquet(path)
+    conf = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        c = spark.createDataFrame([(7, 1.0)], "website_session_id long, price_usd double")
+        rows = _spread(spark, v, c)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", conf)
+    assert sum(rows) == 400_000 and max(rows) < 200_000
+
+
+def test_visits_without_an_id_are_spread(spark):
+    v = spark.range(100_000, numPartitions=32).select(
+        F.when(F.col("id") % 50 == 0, F.col("id")).alias("website_session_id"), F.lit("c").alias("channel"))
+    c = spark.createDataFrame([(0, 1.0), (None, 5.0)], "website_session_id long, price_usd double")
+    rows = _spread(spark, v, c)
+    assert sum(rows) == 100_000 and max(rows) < 25_000
+
+
+def test_every_hot_id_is_found(spark):
+    from strata.operators.channels import hot_keys
+
+    v = spark.range(200_000).select((F.col("id") % 100).alias("k"))
+    assert len(hot_keys(v, "k", partitions=400)) == 100
+    assert set(hot_keys(v, "k", partitions=400).values()) == {4}
+    assert hot_keys(v, "k", partitions=100) == {}

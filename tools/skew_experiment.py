@@ -28,7 +28,7 @@ sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.abspath(_
 def main() -> None:
     from pyspark.sql import functions as F
 
-    from strata.functions.ratios import cents, from_cents
+    from strata.functions.ratios import money_sum
     from strata.operators import channels as chan
     from strata.plans import bindings as b
     from strata.session import local_session
@@ -67,7 +67,7 @@ def main() -> None:
         labeled.join(conv, "website_session_id", "left")
         .groupBy("channel", "channel_type")
         .agg(F.count(F.lit(1)).alias("n"), F.count("price_usd").alias("orders"),
-             from_cents(F.sum(cents("price_usd"))).alias("revenue"))
+             money_sum("price_usd").alias("revenue"))
     )
     plans = {"pre-aggregated (library)": lambda: chan.channel_performance(visits, conv),
              "join raw, then aggregate": lambda: naive}
