@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,6 +48,8 @@ SHARP = 2.0
 EPOCHS = 15
 RATES = (3.0, 0.1, 0.1)
 DECAY = 0.01
+#: Words of the vocabulary whose bags are summed at once.
+CHUNK = 8192
 THRESHOLD = 0.7
 #: Words whose value a worker remembers at once.
 REMEMBERED = 400_000
@@ -73,7 +76,10 @@ def bag(word: str) -> list[int]:
 
 
 def _sum_by(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    return np.stack([np.bincount(index, values[:, k], size) for k in range(values.shape[1])], axis=1)
+    out = np.empty((size, values.shape[1]), np.float32)
+    for k in range(values.shape[1]):
+        out[:, k] = np.bincount(index, values[:, k], size)
+    return out
 
 
 def _softmax_within(z: np.ndarray, doc: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -130,47 +136,63 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
         count = -(-len(ids) // WINDOW)
         doc += [d] * count
         n_windows += count
-    word, window, doc = np.array(word), np.array(window), np.array(doc)
+    word, window, doc = np.array(word, np.int32), np.array(window, np.int32), np.array(doc, np.int32)
     first = np.concatenate(([0], 1 + np.nonzero(np.diff(doc))[0]))
-    per_window = np.bincount(window, minlength=n_windows).astype(np.float64)[:, None]
-    bags = [bag(w) for w in vocabulary]
-    lengths = np.array([len(b) for b in bags])
-    rows = np.concatenate([np.array(b) for b in bags])
-    owner = np.repeat(np.arange(len(bags)), lengths)
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    share = lengths.astype(np.float64)[:, None]
+    per_window = np.bincount(window, minlength=n_windows).astype(np.float32)[:, None]
+    count = np.bincount(word, minlength=len(vocabulary))
+    lengths, rows = [], array("i")
+    for w in vocabulary:
+        got = bag(w)
+        lengths.append(len(got))
+        rows.extend(got)
+    lengths, rows = np.array(lengths, np.int32), np.frombuffer(rows, np.int32)
+    ends = np.cumsum(lengths)
     used, rows = np.unique(rows, return_inverse=True)
+    rows = rows.astype(np.int32)
+    # the bags, some words at a time, so that memory does not follow the sample
+    part_of = [
+        (slice(a, b), slice(ends[a] - lengths[a], ends[b - 1]), ends[a:b] - lengths[a:b] - (ends[a] - lengths[a]))
+        for a, b in ((a, min(a + CHUNK, len(ends))) for a in range(0, len(ends), CHUNK))
+    ]
+
+    def bags(e: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.add.reduceat(e[rows[r]], s) / lengths[ws, None] for ws, r, s in part_of])
+
+    def bags_back(d: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(used), d.shape[1]), np.float32)
+        for ws, r, _ in part_of:
+            out += _sum_by(rows[r], np.repeat(d[ws] / lengths[ws, None], lengths[ws], axis=0), len(used))
+        return out
 
     rng = np.random.default_rng(seed)
     parameters = [
-        rng.uniform(-1, 1, (len(used), DIM)) / DIM,
+        (rng.uniform(-1, 1, (len(used), DIM)) / DIM).astype(np.float32),
         rng.uniform(-1, 1, (DIM, 2)) / DIM,
         np.zeros(2),
     ]
-    seen = np.bincount(rows, np.bincount(word, minlength=len(bags))[owner], len(used))
+    seen = sum(np.bincount(rows[r], np.repeat(count[ws], lengths[ws]), len(used)) for ws, r, _ in part_of)
     scale = [1 / np.sqrt(seen)[:, None], 1.0, 1.0]
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     velocity = [np.zeros_like(p) for p in parameters]
     for _ in range(epochs):
         e, w, b = parameters
-        words = np.add.reduceat(e[rows], starts) / share
-        hidden = _sum_by(window, words[word], n_windows) / per_window
+        hidden = _sum_by(window, bags(e)[word], n_windows) / per_window
         logits = hidden @ w + b
         z = logits[:, 1] - logits[:, 0]
-        part = _softmax_within(SHARP * z, doc, first)
-        pooled = np.add.reduceat(part * z, first)
+        share = _softmax_within(SHARP * z, doc, first)
+        pooled = np.add.reduceat(share * z, first)
         p = 1 / (1 + np.exp(-np.clip(pooled, -60, 60)))
-        dz = part * ((p - y) * weight)[doc]
+        dz = share * ((p - y) * weight)[doc]
         dlogits = np.stack([-dz, dz], axis=1)
-        dwords = _sum_by(word, ((dlogits @ w.T) / per_window)[window], len(bags)) / share
-        gradients = [_sum_by(rows, dwords[owner], len(used)), hidden.T @ dlogits, dlogits.sum(0)]
+        dwords = _sum_by(word, ((dlogits @ w.T) / per_window)[window], len(vocabulary))
+        gradients = [bags_back(dwords), hidden.T @ dlogits, dlogits.sum(0)]
         # One step length for all rows, each against the noise that its number of
         # occurrences leads one to expect: rows that many toxic documents agree
         # on move far; a single document's rows hardly, so none is learned by heart.
         for k, g in enumerate(gradients):
             g = g * scale[k]
             velocity[k] = 0.8 * velocity[k] + g / (np.abs(g).max() + 1e-12)
-            parameters[k] = (1 - DECAY) * parameters[k] - RATES[k] * velocity[k]
+            parameters[k] = ((1 - DECAY) * parameters[k] - RATES[k] * velocity[k]).astype(parameters[k].dtype)
     e, w, b = parameters
     value = np.zeros(BUCKETS, np.float32)
     value[used] = e @ (w[:, 1] - w[:, 0])
