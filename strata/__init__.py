@@ -11,7 +11,6 @@ sinks      Parquet writes with observed row counts, JDBC, byte-exact landing
 functions  column expressions: periods, channel labels, ratios, formatting
 operators  silver cleaning, period trends, channel performance, insights
 plans      the five-step pipeline and the bindings used by the query catalog
-streaming  (empty: the layered pipeline is a full-refresh batch job)
 """
 
 __version__ = "0.1.0"

@@ -54,11 +54,6 @@ class Defaults:
     timestamp_format: str = "yyyy-MM-dd HH:mm:ss"
     timestamp_columns: tuple[str, ...] = ("created_at",)
     drop_duplicates: bool = True
-    # Fraction of rows read to infer an undeclared table's types. 1.0 reads
-    # everything (exact types, one extra full pass over the raw data); a
-    # smaller value makes the extra pass cheaper on very large tables at the
-    # risk of a type that does not fit every row (such cells become NULL).
-    infer_sampling_ratio: float = 1.0
     # Extra CSV reader options for every table (e.g. multiLine, escape);
     # Spark's CSV defaults otherwise.
     csv_options: tuple[tuple[str, str], ...] = ()

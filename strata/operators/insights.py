@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.channels import CHANNEL_TYPES, PAID
+from strata.session import written_once
 from strata.functions.ratios import abs_change, growth_pct, money_sum, pct, ratio
 from strata.functions.text import (
     IMPROVING,
@@ -189,7 +190,12 @@ def _best_last(df: DataFrame) -> DataFrame:
 def best_worst_channel(channels: DataFrame, min_sessions: int = MIN_SESSIONS) -> DataFrame:
     """T6 + F11: best and worst converting significant channels (first and
     last of one ordering), and the best one's conversion over the top
-    revenue channel's, to one decimal."""
+    revenue channel's, to one decimal. ``channels`` is computed once
+    (written to the shared folder), then read for each figure."""
+    return _best_worst(written_once(channels, "channels"), min_sessions)
+
+
+def _best_worst(channels: DataFrame, min_sessions: int) -> DataFrame:
     sig = significant_channels(channels, min_sessions)
     best = _best_first(sig).limit(1).select(
         F.col("channel").alias("best_channel"),
@@ -333,7 +339,9 @@ def insight_summary(
     k: int = WINDOW_MONTHS,
     min_sessions: int = MIN_SESSIONS,
 ) -> DataFrame:
-    """Every figure the report prints, in one row."""
+    """Every figure the report prints, in one row. Both gold frames are
+    computed once (written to the shared folder), then read for each figure."""
+    monthly, channels = written_once(monthly, "monthly"), written_once(channels, "channels")
     best = best_period(monthly).select(
         F.col("year_month").alias("best_month"),
         F.col("orders").alias("best_month_orders"),
@@ -350,7 +358,7 @@ def insight_summary(
         trend_windows(monthly, k),
         best,
         top,
-        best_worst_channel(channels, min_sessions),
+        _best_worst(channels, min_sessions),
         paid_free_share(channels),
     )
     return row.select("*", *_growth_columns(), *_direction_columns())

@@ -12,6 +12,9 @@ B1  visits = ``orders``; conversions = every ``lineitem`` row, linked to
     channel types and both mapped and unmapped codes occur.
 B2  visits = every ``events`` row; conversions = purchase events.
 B3  referrer URLs = ``pages.url``.
+B4  visits = every ``events`` row under its ``user_id`` (ids repeat), some paid
+    ones without a campaign; conversions = every ``orders`` row under its
+    customer, most of which match no visit.
 """
 
 from __future__ import annotations
@@ -35,12 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pick(key: Column, values) -> Column:
-    """``values[key mod len(values)]`` as a CASE expression."""
-    slot = F.pmod(key, F.lit(len(values)))
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(slot == i, F.lit(v)) if expr is None else expr.when(slot == i, F.lit(v))
-    return expr
+    """``values[key mod len(values)]``: an array lookup."""
+    return F.get(F.array(*map(F.lit, values)), F.pmod(key, F.lit(len(values))).cast("int"))
 
 
 def b1_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,3 +93,26 @@ def b2_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def b3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page ids and URLs."""
     return table(spark, sf_dir, "pages").select("page_id", "url")
+
+
+def b4_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 visits: every ``events`` row, ids repeated; every fifth has no campaign."""
+    ev = table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    kind = F.pmod(n, F.lit(3))
+    return ev.select(
+        F.col("user_id").alias("website_session_id"),
+        F.col("ts").alias("created_at"),
+        F.when(kind == 0, _pick(n, B1_SOURCES)).alias("utm_source"),
+        F.when((kind == 0) & (F.pmod(n, F.lit(5)) != 0), _pick(n, B1_CAMPAIGNS)).alias("utm_campaign"),
+        F.when(kind == 1, _pick(n, B1_DONE_REFERERS)).alias("http_referer"),
+    )
+
+
+def b4_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 conversions: every ``orders`` row under its customer."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("website_session_id"),
+        F.col("o_orderdate").alias("created_at"),
+        F.col("o_totalprice").alias("price_usd"),
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import channels as ch
+from strata.functions.ratios import money_sum
 from strata.operators import channels as chan
 from strata.operators import trend
 from strata.plans import bindings as b
@@ -91,6 +92,34 @@ def channel_performance(spark, sf_dir):
     return chan.channel_performance(b.b1_visits(spark, sf_dir), b.b1_conversions(spark, sf_dir))
 
 
+def channel_performance_fanout(spark, sf_dir):
+    return chan.channel_performance(b.b4_visits(spark, sf_dir), b.b4_conversions(spark, sf_dir))
+
+
+def channel_orders_fanout(spark, sf_dir):
+    return chan.channel_orders(
+        chan.label_visits(b.b4_visits(spark, sf_dir)), b.b4_conversions(spark, sf_dir)
+    )
+
+
+def money_sums(spark, sf_dir):
+    """Sums of sub-cent, large and partly missing amounts of every line."""
+    price = F.col("l_extendedprice")
+    small = F.col("l_partkey") / 1024  # up to ten decimals, each exact in a double
+    missing = F.when(F.col("l_linenumber") % 2 == 0, small)
+    nan = F.when(F.col("l_quantity") > 49, F.lit(float("nan"))).otherwise(price)
+    return (
+        b.table(spark, sf_dir, "lineitem")
+        .groupBy("l_returnflag", "l_linestatus", "l_linenumber")
+        .agg(
+            money_sum(small).alias("sub_cent"),
+            money_sum(F.col("l_partkey") * 1e9).alias("large"),
+            money_sum(-missing).alias("negative"),
+            F.isnan(money_sum(nan)).alias("is_nan"),
+        )
+    )
+
+
 def channel_join(spark, sf_dir):
     labeled = chan.label_visits(b.b1_visits(spark, sf_dir))
     return chan.join_channel_totals(
@@ -123,6 +152,9 @@ def _base_queries() -> dict[str, Query]:
         "channel_sessions": channel_sessions,
         "channel_orders": channel_orders,
         "channel_performance": channel_performance,
+        "channel_performance_fanout": channel_performance_fanout,
+        "channel_orders_fanout": channel_orders_fanout,
+        "money_sums": money_sums,
         "channel_join": channel_join,
         "sessions_by_device": sessions_by_device,
     }
@@ -335,7 +367,7 @@ def warehouse_sql(spark, sf_dir):
         spark,
         """SELECT channel, channel_type, sessions, orders,
                   conversion_rate_pct, revenue, revenue_per_session_usd
-           FROM gold_channel_performance ORDER BY revenue DESC""",
+           FROM {gold_channel_performance} ORDER BY revenue DESC""",
         {"gold_monthly_trend": monthly, "gold_channel_performance": channels},
     )
 
@@ -380,15 +412,40 @@ def raw_manifest(spark, sf_dir):
     from strata.sources.files import csv_manifest
 
     raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
-    return csv_manifest(spark, raw).select("table", "files", "bytes", "size_mb")
+    return _manifest_with_rows(spark, csv_manifest(spark, raw))
+
+
+def _manifest_with_rows(spark, manifest):
+    """A manifest's tables with what their files hold: rows and a check sum,
+    which follow from the tables (byte sizes follow from Spark's CSV writer)."""
+    from functools import reduce
+
+    from strata.sources.csv import read_inferred
+
+    def content(r):
+        df = read_inferred(spark, r["entry"])
+        return df.agg(
+            F.lit(r["table"]).alias("table"),
+            F.lit(r["bytes"] > 0).alias("has_bytes"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(df.columns[0]).cast("long").alias("key_sum"),
+            F.sum(F.length(df.columns[-1])).cast("long").alias("last_column_chars"),
+        )
+
+    return reduce(lambda x, y: x.unionByName(y), [content(r) for r in manifest.collect()])
 
 
 def bronze_landing(spark, sf_dir):
     from strata.session import scratch_path
     from strata.sinks.landing import land_files
+    from strata.sources.csv import read_table as read_csv_table
 
     raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
-    return land_files(spark, raw, scratch_path(spark, "bronze")).select("bytes", "sha256")
+    bronze = scratch_path(spark, "bronze")
+    landed = land_files(spark, raw, bronze)
+    copied = [r["target"] for r in landed.where("target like '%/orders.csv/%'").select("target").collect()]
+    config = _config(orders=ORDERS_SPEC)
+    return read_csv_table(spark, copied, config.spec("orders"), config.defaults)[0]
 
 
 def bronze_manifest(spark, sf_dir):
@@ -399,7 +456,7 @@ def bronze_manifest(spark, sf_dir):
     raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
     bronze = scratch_path(spark, "bronze")
     land_files(spark, raw, bronze)
-    return csv_manifest(spark, bronze).select("table", "files", "bytes", "size_mb")
+    return _manifest_with_rows(spark, csv_manifest(spark, bronze))
 
 
 def _silver_layer(spark, sf_dir):
@@ -419,8 +476,17 @@ def _silver_layer(spark, sf_dir):
 def lake_tables(spark, sf_dir):
     from strata.sources.files import lake_tables_frame
 
+    from functools import reduce
+
+    from strata.sources.lake import read_table
+
     layers, _ = _silver_layer(spark, sf_dir)
-    return lake_tables_frame(spark, layers.silver)
+    names = [r["table"] for r in lake_tables_frame(spark, layers.silver).collect()]
+    rows = [
+        read_table(spark, layers.silver, n).agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows"))
+        for n in names
+    ]
+    return reduce(lambda x, y: x.unionByName(y), rows)
 
 
 def load_audit(spark, sf_dir):

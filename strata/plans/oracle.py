@@ -8,8 +8,7 @@ Spark side is checked against the plain definition.
 Two engine differences are bridged here and nowhere else:
 * rounding: DuckDB's ``round`` on a double works on the binary value, Spark
   rounds the decimal form half-up, so ``R(x)`` rounds via the decimal text;
-* money sums: Spark sums whole cents, the SQL exact ``decimal(28, 2)``
-  values; both are exact, so they agree.
+* money sums: both sum the decimal text of the amounts exactly.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ def R(x: str, digits: int = 2) -> str:
 
 def MONEY_SUM(x: str) -> str:
     """Exact sum of an amount, as a double."""
-    return f"CAST(sum(CAST({x} AS DECIMAL(28,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,12))) AS DOUBLE)"
 
 
 def pick(key: str, values) -> str:
@@ -59,6 +58,23 @@ B1_CONV = """
            l_extendedprice AS price_usd
     FROM lineitem)"""
 
+def _b4_sessions() -> str:
+    from strata.plans.bindings import B1_CAMPAIGNS, B1_DONE_REFERERS, B1_SOURCES
+
+    return f"""
+  sessions AS (
+    SELECT user_id AS website_session_id, ts AS created_at,
+           CASE WHEN event_id % 3 = 0 THEN {pick('event_id', B1_SOURCES)} END AS utm_source,
+           CASE WHEN event_id % 3 = 0 AND event_id % 5 <> 0 THEN {pick('event_id', B1_CAMPAIGNS)} END AS utm_campaign,
+           CASE WHEN event_id % 3 = 1 THEN {pick('event_id', B1_DONE_REFERERS)} END AS http_referer
+    FROM events)"""
+
+
+B4_CONV = """
+  conv AS (
+    SELECT o_custkey AS website_session_id, o_orderdate AS created_at, o_totalprice AS price_usd
+    FROM orders)"""
+
 B2_SESSIONS = """
   sessions AS (SELECT event_id AS website_session_id, ts AS created_at FROM events)"""
 
@@ -232,6 +248,15 @@ def oracle_sql() -> dict[str, str]:
     )
     q["channel_performance"] = channels() + "SELECT * FROM channels"
     q["channel_join"] = q["channel_performance"]
+    b4 = (_b4_sessions(), B4_CONV, _labeled(), _channels_cte())
+    q["channel_performance_fanout"] = with_(*b4) + "SELECT * FROM channels"
+    q["channel_orders_fanout"] = with_(*b4) + "SELECT channel, orders, revenue FROM co"
+    q["money_sums"] = (
+        f"SELECT l_returnflag, l_linestatus, l_linenumber, {MONEY_SUM('l_partkey / 1024')} AS sub_cent, "
+        f"{MONEY_SUM('l_partkey * 1e9')} AS large, "
+        f"{MONEY_SUM('CASE WHEN l_linenumber % 2 = 0 THEN -(l_partkey / 1024) END')} AS negative, "
+        "max(l_quantity) > 49 AS is_nan FROM lineitem GROUP BY 1, 2, 3"
+    )
     q["sessions_by_device"] = with_(_b1_sessions()) + (
         "SELECT device_type, count(*) AS sessions FROM sessions GROUP BY device_type "
         "ORDER BY sessions DESC"
@@ -274,7 +299,18 @@ def file_sql() -> dict[str, str]:
     q["warehouse_catalog_sql"] = q["warehouse_sql"]
     q["silver_roundtrip"] = with_(_b1_sessions()) + "SELECT * FROM sessions"
     # the silver step of that query writes these two tables
-    q["lake_tables"] = "SELECT * FROM (VALUES ('customers'), ('orders')) AS t(\"table\")"
+    q["lake_tables"] = (
+        f"SELECT 'customers' AS \"table\", {_count_distinct('SELECT * FROM customer')} AS rows "
+        f"UNION ALL SELECT 'orders', {_count_distinct('SELECT * FROM orders')}"
+    )
+    q["bronze_landing"] = q["csv_scan_declared"]
+    q["raw_manifest"] = (
+        "SELECT 'orders' AS \"table\", true AS has_bytes, count(*) AS rows, "
+        "CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(sum(length(o_orderpriority)) AS BIGINT) AS last_column_chars "
+        "FROM orders UNION ALL SELECT 'customers', true, count(*), CAST(sum(c_custkey) AS BIGINT), "
+        "CAST(sum(length(c_mktsegment)) AS BIGINT) FROM customer"
+    )
+    q["bronze_manifest"] = q["raw_manifest"]
     q["gold_roundtrip"] = monthly() + "SELECT * FROM monthly"
     silver = (
         "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "

@@ -10,7 +10,9 @@
 
 Steps hand over through storage only: each step reads what the previous
 one wrote, which also cuts the lineage between steps. Every write returns
-its row count from the write job itself. A failing step stops the run.
+its row count from the write job itself. A failing step stops the run, and so
+does a table that gold needs and this run has not written: tables left from
+earlier runs are never taken for it.
 Within a step, the tables are independent jobs submitted from a few driver
 threads at once, so small tables do not leave the cluster idle; each table
 is one distributed job.
@@ -19,6 +21,7 @@ is one distributed job.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -86,33 +89,47 @@ def _concurrently(jobs: dict[str, Callable], workers: int) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, str]:
-    """Step 1: land the raw files; return, per table, the bronze entry
-    (file or folder) that silver reads.
+def bronze_step(spark: SparkSession, raw: str, layers: Layers) -> dict[str, list[str]]:
+    """Step 1: land the raw files; return, per table, the bronze files that
+    silver reads: those of this run's manifest, so that parts of an earlier
+    run, which stay in bronze, are not read again. (Spark's reader keeps the
+    list of a table's files on the driver in any case.)
 
     Tables come from the landing's own manifest (no second listing); two
-    raw entries with one table name (``a.csv`` and ``a.CSV``) fail.
+    raw entries with one table name (``a.csv`` and ``a.CSV``) fail, and so do
+    CSV files in a folder that is no table.
     """
     raw_q, bronze_q = qualified(spark, raw), qualified(spark, layers.bronze)
     landed = land_files(spark, raw_q, bronze_q)
+    tables = with_table(landed, bronze_q, "target")
+    stray = landed.join(tables.select("target"), "target", "left_anti").first()
+    if stray:
+        raise ValueError(f"{stray['source']} lies in a folder that is no table (its name has no .csv)")
     log.info("step 1 bronze: raw files of %s landed in %s", raw_q, bronze_q)
     entries = (
-        with_table(landed, bronze_q, "target").select("table", "entry").distinct().collect()
+        tables.groupBy("table", "entry").agg(F.array_sort(F.collect_list("target")).alias("files")).collect()
     )
     if not entries:
         raise FileNotFoundError(f"no CSV found in {raw}")
     seen: dict[str, str] = {}
+    files: dict[str, list[str]] = {}
     for r in sorted(entries, key=lambda r: (r["table"], r["entry"])):
         if r["table"] in seen:
             raise ValueError(
                 f"table {r['table']!r} has two raw entries: {seen[r['table']]} and {r['entry']}"
             )
         seen[r["table"]] = r["entry"]
-    return seen
+        files[r["table"]] = [_literal(f) for f in r["files"]]
+    return files
+
+
+def _literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\{}\[\]*?^])", r"\\\1", path)
 
 
 def silver_step(
-    spark: SparkSession, sources: dict[str, str], layers: Layers, config: Config, workers: int = 4
+    spark: SparkSession, sources: dict[str, list[str]], layers: Layers, config: Config, workers: int = 4
 ) -> list[tuple]:
     """Step 2: CSV -> typed, de-duplicated, keyed Parquet.
 
@@ -124,7 +141,7 @@ def silver_step(
     """
     d = config.defaults
 
-    def one(table: str, path: str) -> tuple:
+    def one(table: str, path: list[str]) -> tuple:
         spec = config.spec(table)
         df, origin = read_csv_table(spark, path, spec, d)
         if not df.columns:
@@ -198,12 +215,14 @@ def catalog_step(spark: SparkSession, layers: Layers) -> list[tuple]:
 
 
 def warehouse_step(
-    spark: SparkSession, layers: Layers, url: str, properties=None, connections: int = 8
+    spark: SparkSession, layers: Layers, url: str, properties=None, connections: int = 8,
+    schemas=("silver", "gold"),
 ) -> list[tuple]:
     """Step 4: silver and gold layers into the database schemas of the same
     names, each table written over at most ``connections`` connections."""
     audit = []
-    for layer, schema in ((layers.silver, "silver"), (layers.gold, "gold")):
+    for schema in schemas:
+        layer = getattr(layers, schema)
         for name, rows in load_layer(
             spark, layer, schema, url, properties, num_partitions=connections
         ):
@@ -250,6 +269,7 @@ def run_pipeline(
     jdbc_connections: int = 8,
     workers: int = 4,
     register: bool = False,
+    gold: bool = True,
     **columns,
 ) -> DataFrame:
     """Run the five steps; return the audit (``step, layer, table, rows,
@@ -257,16 +277,29 @@ def run_pipeline(
 
     ``register=True`` also registers the silver, gold and report tables in
     Spark's catalog (``silver.<t>``, ``gold.<t>``, ``report.<t>``).
+    Silver is loaded into the database before gold is required. Raises
+    ``FileNotFoundError`` naming the table if this run wrote no silver table
+    for the visits or the conversions; ``gold=False`` stops after silver.
     """
     sources = bronze_step(spark, raw, layers)
     audit = silver_step(spark, sources, layers, config, workers)
-    if {visits, conversions} <= set(lake_tables(spark, layers.silver)):
+
+    def warehouse(schema: str) -> list[tuple]:
+        if not jdbc_url:
+            return []
+        return warehouse_step(spark, layers, jdbc_url, jdbc_properties, jdbc_connections, (schema,))
+
+    audit += warehouse("silver")
+    if gold:
+        written = {r[2] for r in audit if r[1] == "silver" and r[5] is not None}
+        missing = sorted({visits, conversions} - written)
+        if missing:
+            raise FileNotFoundError(f"gold needs {', '.join(missing)}, which this run did not write to {layers.silver}")
         audit += gold_step(
             spark, layers, visits=visits, conversions=conversions, workers=workers, **columns
         )
-        if jdbc_url:
-            audit += warehouse_step(spark, layers, jdbc_url, jdbc_properties, jdbc_connections)
+        audit += warehouse("gold")
         audit += report_step(spark, layers, workers)
-        if register:
-            audit += catalog_step(spark, layers)
+    if register:
+        audit += catalog_step(spark, layers)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

@@ -61,3 +61,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/strata-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written_once(df, label: str):
+    """``df`` written under the shared folder and read back: what is built on
+    it several times is computed once, and no executor's loss takes it away."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,25 +1,18 @@
 """Bronze landing: byte-for-byte copy of raw files (K1).
 
-The copy is a Spark job. The raw files are listed with ``binaryFile``
-selecting only metadata (no content is read by the scan); Spark splits that
-listing into tasks by file size, like any file scan
-(``spark.sql.files.maxPartitionBytes`` per task, a large file on its own).
-Empty files, which that scan skips, are added from Spark's file index (see
-``list_files``) and copied as empty files.
-Each task then streams its files to the bronze folder in fixed-size chunks
-through Arrow's filesystem layer, hashing as it goes, and returns one row
-per file (size and SHA-256). Memory per task is one chunk, whatever the file
-size, and no byte passes through the driver.
-
-A file is written under a temporary name and then moved into place, so a
-task retried after a lost executor rewrites the same target and never
-leaves a half-written file under the final name. Same targets are
-overwritten; nothing is deleted.
-
-Paths the executors' Arrow can open: local or shared mounts (``file:``),
-S3 (``s3://``, ``s3a://``; credentials from the executor environment, not
-from Hadoop's ``fs.s3a.*`` settings), GCS (``gs://``), and HDFS where
-libhdfs is installed.
+The copy is a Spark job over byte ranges. Each raw file is cut into ranges of
+``part_bytes``; a task streams one range at a time in fixed-size chunks through
+Arrow's filesystem layer to a part of its own beside the target, so one huge
+file is read by many tasks. A second pass, one task a file, puts the parts
+together under a temporary name, hashes them on the way, moves the file into
+place and returns one row per file (size and SHA-256); a file of one range is
+copied and hashed there directly. Memory per task is one chunk, whatever the
+file size, and no byte passes through the driver.
+
+A task retried after a lost executor rewrites the same parts and the same
+target, and never leaves a half-written file under the final name. Same targets
+are overwritten; files of earlier runs that are gone from the raw folder stay,
+and the manifest of a run names the files that belong to it.
 """
 
 from __future__ import annotations
@@ -31,11 +24,14 @@ import uuid
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.sinks.parquet import write_table
 from strata.sources.files import CSV_GLOB, list_files, qualified
+from strata.sources.stores import open_store, store_settings
 
 CHUNK_BYTES = 8 << 20
+PART_BYTES = 256 << 20
 LANDING_SCHEMA = "source string, target string, bytes long, sha256 string"
 
 # The copy functions run in Python workers. Ship them by value so workers
@@ -43,49 +39,83 @@ LANDING_SCHEMA = "source string, target string, bytes long, sha256 string"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _fs_and_path(uri: str):
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:"):
-        path = uri[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-        return pafs.LocalFileSystem(), path
-    if uri.startswith(("s3a://", "s3n://")):
-        uri = "s3://" + uri.split("://", 1)[1]
-    return pafs.FileSystem.from_uri(uri)
-
-
-def _copy(source: str, target: str, chunk: int) -> tuple[int, str]:
-    src_fs, src_path = _fs_and_path(source)
-    dst_fs, dst_path = _fs_and_path(target)
-    parent = dst_path.rsplit("/", 1)[0]
-    dst_fs.create_dir(parent, recursive=True)
-    tmp = f"{parent}/.landing-{uuid.uuid4().hex}"
-    digest, size = hashlib.sha256(), 0
-    with src_fs.open_input_stream(src_path) as fin, dst_fs.open_output_stream(tmp) as fout:
-        while True:
-            block = fin.read(chunk)
-            if not block:
-                break
+def _stream(fin, fout, size: int, chunk: int, digest=None) -> int:
+    done = 0
+    while done < size and (block := fin.read(min(chunk, size - done))):
+        if digest is not None:
             digest.update(block)
-            fout.write(block)
-            size += len(block)
-    dst_fs.move(tmp, dst_path)
-    return size, digest.hexdigest()
+        fout.write(block)
+        done += len(block)
+    return done
 
 
-def _copier(raw_root: str, bronze_root: str, chunk: int):
+def _folder(fs, path: str) -> None:
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+
+
+def _part(target: str, run: str, start: int) -> str:
+    folder, name = target.rsplit("/", 1)
+    return f"{folder}/.landing-{run}/{name}.{start}"
+
+
+def _range_copier(run: str, chunk: int, settings: dict):
+    """Copies the byte ranges of large files to parts of their own."""
+
     def copy_all(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                src_fs, src = open_store(r.source, settings)
+                dst_fs, dst = open_store(_part(r.target, run, r.start), settings)
+                _folder(dst_fs, dst)
+                with src_fs.open_input_file(src) as fin, dst_fs.open_output_stream(dst) as fout:
+                    fin.seek(r.start)
+                    n = _stream(fin, fout, r.stop - r.start, chunk)
+                if n != r.stop - r.start:
+                    raise OSError(f"{r.source} ended early: {n} bytes from {r.start}")
+                yield pd.DataFrame([(r.source, r.target, r.start)], columns=["source", "target", "start"])
+
+    return copy_all
+
+
+def _file_maker(run: str, part_bytes: int, chunk: int, settings: dict):
+    """Puts each file together (from its parts if it has several ranges)."""
+
+    def make_all(batches):
         for pdf in batches:
             out = []
-            for src in pdf["path"]:
-                target = bronze_root + src[len(raw_root):]
-                size, sha = _copy(src, target, chunk)
-                out.append((src, target, size, sha))
+            for r in pdf.itertuples(index=False):
+                src_fs, src = open_store(r.source, settings)
+                dst_fs, dst = open_store(r.target, settings)
+                _folder(dst_fs, dst)
+                folder = dst.rsplit("/", 1)[0]
+                tmp = f"{folder}/.landing-{uuid.uuid4().hex}"
+                digest, size = hashlib.sha256(), 0
+                parts = r.length > part_bytes
+                with dst_fs.open_output_stream(tmp) as fout:
+                    for start in range(0, max(r.length, 1), part_bytes):
+                        if parts:
+                            src_fs, src = open_store(_part(r.target, run, start), settings)
+                        with src_fs.open_input_stream(src) as fin:
+                            size += _stream(fin, fout, sys.maxsize if not parts else part_bytes, chunk, digest)
+                        if not parts:
+                            break
+                dst_fs.move(tmp, dst)
+                out.append((r.source, r.target, size, digest.hexdigest()))
             yield pd.DataFrame(out, columns=["source", "target", "bytes", "sha256"])
 
-    return copy_all
+    return make_all
+
+
+def _part_remover(run: str, settings: dict):
+    def remove(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                fs, path = open_store(f"{r.folder}/.landing-{run}", settings)
+                if fs.get_file_info(path).type.name == "Directory":  # else a retried task's work
+                    fs.delete_dir(path)
+            yield pdf
+
+    return remove
 
 
 def land_files(
@@ -95,6 +125,7 @@ def land_files(
     *,
     glob: str = CSV_GLOB,
     chunk_bytes: int = CHUNK_BYTES,
+    part_bytes: int = PART_BYTES,
     manifest_path: str | None = None,
 ) -> DataFrame:
     """Copy every file matching ``glob`` under ``raw_root`` to the same
@@ -105,8 +136,33 @@ def land_files(
     discovery) and returned from there, so the copy runs exactly once.
     """
     raw_q, bronze_q = qualified(spark, raw_root), qualified(spark, bronze_root)
-    files = list_files(spark, raw_q, glob).select("path")
-    copied = files.mapInPandas(_copier(raw_q, bronze_q, chunk_bytes), LANDING_SCHEMA)
+    settings, run = store_settings(spark), uuid.uuid4().hex[:12]
+    tasks = max(spark.sparkContext.defaultParallelism, 2)
+    files = list_files(spark, raw_q, glob).select(
+        F.col("path").alias("source"),
+        F.concat(F.lit(bronze_q), F.substring("path", len(raw_q) + 1, 1 << 30)).alias("target"),
+        "length",
+    )
     out = manifest_path or f"{bronze_q}/_landing"
+    listed = f"{out}-files"
+    write_table(files, listed)
+    files = spark.read.schema(files.schema).parquet(listed)
+    large = files.where(F.col("length") > part_bytes)
+    if not large.isEmpty():
+        ranges = large.select(
+            "source", "target", "length",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part_bytes).cast("long"))).alias("start"),
+        ).withColumn("stop", F.least(F.col("start") + part_bytes, F.col("length")))
+        write_table(
+            ranges.repartition(tasks * 4, "target", "start")
+            .mapInPandas(_range_copier(run, chunk_bytes, settings), "source string, target string, start long"),
+            f"{out}-parts",
+        )
+    copied = files.repartition(tasks, "target").mapInPandas(
+        _file_maker(run, part_bytes, chunk_bytes, settings), LANDING_SCHEMA
+    )
     write_table(copied, out)
+    if not large.isEmpty():
+        folders = large.select(F.regexp_replace("target", "/[^/]*$", "").alias("folder")).distinct()
+        folders.mapInPandas(_part_remover(run, settings), "folder string").write.format("noop").mode("overwrite").save()
     return spark.read.parquet(out)

@@ -8,9 +8,9 @@ PERMISSIVE mode).
 
 Declared schemas are checked against the header (``enforceSchema`` off):
 Spark binds CSV columns by position, so a file whose header differs from
-the declaration fails instead of loading values into the wrong columns.
-Inferred schemas cost one extra pass over the data (``samplingRatio``
-trades exactness of the inferred types for speed).
+the declaration fails instead of loading values into the wrong columns. A
+table option ``enforceSchema=true`` binds by position without that check.
+Inferred schemas cost one extra pass over all of the data.
 """
 
 from __future__ import annotations
@@ -38,12 +38,8 @@ def read_declared(
     spark: SparkSession, path: str, spec: TableSpec, defaults: Defaults = Defaults(), options=None
 ) -> DataFrame:
     """CSV with the declared schema; header names must match it."""
-    return (
-        _reader(spark, defaults.null_value, options)
-        .option("enforceSchema", False)
-        .schema(spec.schema())
-        .csv(path)
-    )
+    options = {"enforceSchema": False, **dict(options or {})}
+    return _reader(spark, defaults.null_value, options).schema(spec.schema()).csv(path)
 
 
 def read_inferred(
@@ -51,18 +47,14 @@ def read_inferred(
     path: str,
     defaults: Defaults = Defaults(),
     options=None,
-    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """CSV with names from the header and types inferred from the data."""
-    r = _reader(spark, defaults.null_value, options).option("inferSchema", True)
-    if sampling_ratio is not None:
-        r = r.option("samplingRatio", sampling_ratio)
-    return r.csv(path)
+    return _reader(spark, defaults.null_value, options).option("inferSchema", True).csv(path)
 
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     spec: TableSpec | None = None,
     defaults: Defaults = Defaults(),
     options=None,
@@ -73,8 +65,7 @@ def read_table(
     options = {**dict(defaults.csv_options), **dict(spec.options), **dict(options or {})}
     if spec.declared:
         return read_declared(spark, path, spec, defaults, options), DECLARED
-    ratio = defaults.infer_sampling_ratio
-    return read_inferred(spark, path, defaults, options, None if ratio >= 1 else ratio), INFERRED
+    return read_inferred(spark, path, defaults, options), INFERRED
 
 
 def write_csv(df: DataFrame, path: str, *, null_value: str = "NULL",

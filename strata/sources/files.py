@@ -2,9 +2,9 @@
 
 Raw and bronze folders hold one entry per table whose name ends in
 ``.csv`` (any case): a CSV file, or a folder of CSV part files. The table
-name is the entry's stem. Listings come from Spark's file index
-(``binaryFile`` with only metadata columns selected, so no file content is
-read) and come back as DataFrames.
+name is the entry's stem. The driver lists one level, the entries; tasks list
+the files below each (names, sizes and times, no content) and the listing is a
+DataFrame, so the driver never holds the file names.
 
 Lake layers hold one Parquet folder per table; ``lake_tables`` lists the
 folder names one level down through the Hadoop FileSystem of the path (a
@@ -13,12 +13,19 @@ metadata call, independent of how many part files the tables have).
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
+import fnmatch
+import sys
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.stores import listing, store_settings
+
+# The listing runs in Python workers: shipped by value (see ``stores``).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CSV_GLOB = "*.[cC][sS][vV]"
 
 
@@ -38,35 +45,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+LISTING_SCHEMA = "path string, length long, modificationTime timestamp"
+
+
+def _entries(spark: SparkSession, root: str) -> list[str]:
+    """Paths directly under ``root`` (one a table)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(f"no such folder: {root}")
+    if not fs.getFileStatus(p).isDirectory():
+        return [p.toString()]
+    found = (s.getPath() for s in fs.listStatus(p))
+    return [f.toString() for f in found if not f.getName().startswith(("_", "."))]
+
+
+def _lister(pattern: str, settings: dict):
+    def files(batches):
+        for pdf in batches:
+            for entry in pdf["entry"]:
+                rows = [r for r in listing(entry, settings) if fnmatch.fnmatchcase(r[0].rsplit("/", 1)[1], pattern)]
+                for at in range(0, len(rows), 10_000):
+                    yield pd.DataFrame(rows[at : at + 10_000], columns=["path", "length", "modificationTime"])
+
+    return files
+
+
 def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFrame:
-    """All files matching ``glob`` under ``root`` (any depth): ``path,
-    length, modificationTime``; no content is read.
-
-    Spark's file scan plans no split for a zero-length file, so the
-    ``binaryFile`` scan has no row for one; its file index still lists it.
-    Empty files are therefore the indexed paths the scan did not return
-    (a left anti join on the path), added with length 0 and no time. The
-    path list comes from the driver, where Spark's file index already keeps
-    it (metadata, one string per file); the join itself runs distributed.
-    """
-    scan = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(root)
-    )
-    meta = scan.select("path", "length", "modificationTime")
-    # The index gives URI-encoded paths (file:///a%20b.csv), the scan decoded
-    # ones (file:/a b.csv); unquote leaves a literal "+" alone.
-    indexed = spark.createDataFrame(
-        [(re.sub("^file:///", "file:/", unquote(p)),) for p in scan.inputFiles()], "path string"
-    )
-    empty = indexed.join(meta.select("path"), "path", "left_anti").select(
-        "path",
-        F.lit(0).cast("long").alias("length"),
-        F.lit(None).cast("timestamp").alias("modificationTime"),
-    )
-    return meta.unionByName(empty)
+    """All files matching ``glob`` under ``root`` (any depth; names that begin
+    with ``_`` or ``.`` hidden): ``path, length, modificationTime``. A task lists
+    each entry of ``root``; no content is read."""
+    entries = _entries(spark, root)
+    frame = spark.createDataFrame([(e,) for e in entries], "entry string")
+    frame = frame.repartition(max(1, min(len(entries), 64)), "entry")
+    return frame.mapInPandas(_lister(glob, store_settings(spark)), LISTING_SCHEMA)
 
 
 def with_table(files: DataFrame, root_q: str, path_col: str = "path") -> DataFrame:

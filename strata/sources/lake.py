@@ -12,18 +12,12 @@ def read_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{layer.rstrip('/')}/{name}")
 
 
-def register_views(frames: Mapping[str, DataFrame]) -> None:
-    """Register frames as temporary views under their names."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-
-
 def warehouse_sql(spark: SparkSession, sql: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Run one SQL text over the registered views (after registering
-    ``views``); the text goes through Catalyst like any DataFrame query."""
-    if views:
-        register_views(views)
-    return spark.sql(sql)
+    """Run one SQL text; a view of ``views`` is written ``{name}`` in the
+    text and stands for that frame in this statement only (no view of the
+    session is added or replaced). The text goes through Catalyst like any
+    DataFrame query."""
+    return spark.sql(sql, **dict(views or {}))
 
 
 def read_sql_jdbc(
@@ -44,10 +38,13 @@ def register_layer(spark: SparkSession, layer: str, database: str) -> list[str]:
     in Spark's catalog (external Parquet tables: the catalog holds only
     their location, dropping one never touches its files).
 
+    An external table of the same name at the same place is registered anew;
+    any other table of that name is left alone and raises ``ValueError``.
+
     The Spark-side counterpart of loading a layer into a SQL database: the
     same ``SELECT ... FROM gold.<table>`` text then runs through Catalyst.
     """
-    from strata.sources.files import lake_tables
+    from strata.sources.files import lake_tables, qualified
 
     def text(v: str) -> str:  # a SQL string literal
         return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -60,6 +57,12 @@ def register_layer(spark: SparkSession, layer: str, database: str) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION {text(root)}")
     tables = lake_tables(spark, root)
     for name in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{ident(name)}")
+        if spark.catalog.tableExists(f"{db}.{ident(name)}"):
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{ident(name)}").collect()
+            told = {r["col_name"]: r["data_type"] for r in rows}
+            here = qualified(spark, f"{root}/{name}")
+            if told.get("Type") != "EXTERNAL" or qualified(spark, told.get("Location", "/")) != here:
+                raise ValueError(f"{database}.{name} is another table: {told.get('Type')} at {told.get('Location')}")
+            spark.sql(f"DROP TABLE {db}.{ident(name)}")
         spark.sql(f"CREATE TABLE {db}.{ident(name)} USING parquet LOCATION {text(root + '/' + name)}")
     return tables

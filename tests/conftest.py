@@ -39,13 +39,8 @@ ORDERS_CSV = """order_id,created_at,website_session_id,price_usd
 5,2012-04-01 00:30:00,999,5
 """
 
+# Table names, keys and columns of the reference's two tables.
 GOLDEN_CONFIG = {
-    "defaults": {
-        "null_value": "NULL",
-        "timestamp_format": "yyyy-MM-dd HH:mm:ss",
-        "timestamp_columns": ["created_at"],
-        "drop_duplicates": True,
-    },
     "tables": {
         "website_sessions": {
             "primary_key": "website_session_id",

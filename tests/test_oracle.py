@@ -14,6 +14,19 @@ TABLES = (
 ).split()
 
 
+#: Queries with an order of their own: the oracle's rows in that order.
+_BY_REVENUE = "ORDER BY revenue DESC, channel ASC NULLS LAST, channel_type ASC"
+ORDERED = {
+    "monthly_trend": "ORDER BY year_month ASC NULLS FIRST",
+    "daily_trend": "ORDER BY day ASC NULLS FIRST",
+    "trend_series": "ORDER BY year_month ASC NULLS LAST",
+    "channel_performance": _BY_REVENUE,
+    "channel_performance_fanout": _BY_REVENUE,
+    "channel_revenue_series": "ORDER BY revenue ASC, channel DESC NULLS FIRST, channel_type DESC",
+    "channel_conversion_series": "ORDER BY conversion_rate_pct ASC, channel DESC NULLS FIRST, channel_type DESC",
+}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -57,3 +70,6 @@ def test_query_matches_oracle(spark, con, key):
         return
     want = con.execute(sql).df()
     assert _rows(got) == _rows(want)
+    if key in ORDERED:
+        by = sorted(got.columns)
+        assert got[by].map(_norm).values.tolist() == con.execute(f"SELECT * FROM ({sql}) {ORDERED[key]}").df()[by].map(_norm).values.tolist()

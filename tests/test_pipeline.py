@@ -73,7 +73,7 @@ def test_pipeline_golden(spark, raw_dir, tmp_path):
     # the report's SQL over the gold tables, through Catalyst
     top = warehouse_sql(
         spark,
-        "SELECT channel FROM gold_channel_performance ORDER BY revenue DESC LIMIT 1",
+        "SELECT channel FROM {gold_channel_performance} ORDER BY revenue DESC LIMIT 1",
         {"gold_channel_performance": channels},
     ).first()[0]
     assert top == "Google Ads · acquisition"
@@ -137,13 +137,90 @@ def test_folder_of_parts_is_one_table(spark, tmp_path):
     (raw / "big.csv" / "part-1.csv").write_text("id,v\n3,c\n")
     (raw / "big.csv" / "_SUCCESS").write_text("")
     (raw / "small.csv").write_text("id,v\n9,z\n")
-    (raw / "notes").mkdir()
-    (raw / "notes" / "x.csv").write_text("id\n1\n")  # not a *.csv entry: not a table
     m = rows(csv_manifest(spark, str(raw)), "table", "files")
     assert m == [("big", 2), ("small", 1)]
     layers = Layers.under(str(tmp_path / "lake"))
-    audit = {r.table: r.rows for r in run_pipeline(spark, str(raw), layers).collect()}
+    audit = {r.table: r.rows for r in run_pipeline(spark, str(raw), layers, gold=False).collect()}
     assert audit == {"big": 3, "small": 1}
+    # rewritten with fewer rows and other part names: nothing of the first run is left
+    for p in (raw / "big.csv").iterdir():
+        p.unlink()
+    (raw / "big.csv" / "part-7.csv").write_text("id,v\n1,new\n")
+    run_pipeline(spark, str(raw), layers, gold=False)
+    assert rows(spark.read.parquet(f"{layers.silver}/big"), "id", "v") == [(1, "new")]
+    # a CSV in a folder that is no table is refused, not dropped
+    (raw / "notes").mkdir()
+    (raw / "notes" / "x.csv").write_text("id\n1\n")
+    assert rows(csv_manifest(spark, str(raw)), "table", "files") == [("big", 1), ("small", 1)]
+    with pytest.raises(ValueError, match="notes/x.csv"):
+        run_pipeline(spark, str(raw), layers, gold=False)
+
+
+def test_a_missing_gold_input_stops_the_run(spark, raw_dir, tmp_path):
+    layers = Layers.under(str(tmp_path / "lake"))
+    cfg = Config.from_dict(GOLDEN_CONFIG)
+    run_pipeline(spark, raw_dir, layers, cfg)
+    (tmp_path / "raw" / "orders.csv").unlink()
+    with pytest.raises(FileNotFoundError, match="orders"):  # the first run's silver is not taken
+        run_pipeline(spark, raw_dir, layers, cfg)
+
+
+def test_a_large_file_is_copied_in_ranges(spark, tmp_path):
+    import hashlib
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    data = os.urandom(1_000_003)
+    (raw / "big.csv").write_bytes(data)
+    (raw / "even.csv").write_bytes(data[:300_000])
+    (raw / "small.csv").write_bytes(b"x")
+    bronze = tmp_path / "bronze"
+    landed = land_files(spark, str(raw), str(bronze), part_bytes=100_000, chunk_bytes=7_000)
+    got = {os.path.basename(r.target): (r.bytes, r.sha256) for r in landed.collect()}
+    assert got["big.csv"] == (len(data), hashlib.sha256(data).hexdigest())
+    assert (bronze / "big.csv").read_bytes() == data
+    assert (bronze / "even.csv").read_bytes() == data[:300_000] and (bronze / "small.csv").read_bytes() == b"x"
+    parts = spark.read.parquet(str(bronze / "_landing-parts"))
+    assert parts.groupBy("target").count().orderBy("count").toPandas()["count"].tolist() == [3, 11]
+    assert sorted(n for n in os.listdir(bronze) if not n.startswith("_")) == ["big.csv", "even.csv", "small.csv"]
+
+
+def test_s3a_settings_reach_arrow(spark):
+    from strata.sources.stores import s3_arguments
+
+    assert s3_arguments({}) == {}
+    assert s3_arguments({"endpoint": "http://store:9000", "access.key": "a", "secret.key": "b", "path.style.access": "true"}) == {
+        "endpoint_override": "store:9000", "scheme": "http", "force_virtual_addressing": False,
+        "access_key": "a", "secret_key": "b"}
+    assert s3_arguments({"endpoint": "store", "connection.ssl.enabled": "false", "endpoint.region": "r"}) == {
+        "endpoint_override": "store", "scheme": "http", "force_virtual_addressing": True, "region": "r"}
+
+
+def test_catalog_leaves_other_tables_alone(spark, tmp_path):
+    from strata.sources.lake import register_layer
+
+    layer = tmp_path / "layer"
+    spark.range(3).write.parquet(f"{layer}/t")
+    spark.sql("CREATE DATABASE IF NOT EXISTS keepdb")
+    spark.sql("DROP TABLE IF EXISTS keepdb.t")
+    spark.range(5).write.saveAsTable("keepdb.t")
+    with pytest.raises(ValueError, match="another table"):
+        register_layer(spark, str(layer), "keepdb")
+    assert spark.table("keepdb.t").count() == 5
+    spark.sql("DROP TABLE keepdb.t")
+    assert register_layer(spark, str(layer), "keepdb") == ["t"]
+    assert register_layer(spark, str(layer), "keepdb") == ["t"]
+    assert spark.table("keepdb.t").count() == 3
+    spark.sql("DROP TABLE keepdb.t")
+
+
+def test_sql_views_do_not_outlive_the_statement(spark):
+    from strata.sources.lake import warehouse_sql
+
+    spark.range(2).createOrReplaceTempView("mine")
+    assert warehouse_sql(spark, "SELECT count(*) AS n FROM {mine}", {"mine": spark.range(7)}).first().n == 7
+    assert spark.table("mine").count() == 2
+    spark.catalog.dropTempView("mine")
 
 
 def test_layers_registered_in_the_catalog(spark, raw_dir, tmp_path):
@@ -211,5 +288,5 @@ def test_odd_file_names(spark, tmp_path):
         name = os.path.basename(r.target)
         assert (tmp_path / "bronze" / name).read_bytes() == (raw / name).read_bytes()
     audit = {r.table: r.rows for r in
-             run_pipeline(spark, str(raw), Layers.under(str(tmp_path / "lake"))).collect()}
+             run_pipeline(spark, str(raw), Layers.under(str(tmp_path / "lake")), gold=False).collect()}
     assert audit == {"my table": 1, "a+b": 1, "pct%41": 1, "void": 0}

@@ -56,6 +56,17 @@ def test_declared_header_must_match(spark, tmp_path):
         read_declared(spark, str(p), SPEC).collect()
 
 
+def test_enforce_schema_option_wins(spark, tmp_path):
+    from strata.config import Config
+    from strata.sources.csv import read_table
+
+    path = tmp_path / "t.csv"
+    path.write_text("other,names\n1,x\n")
+    cfg = Config.from_dict({"tables": {"t": {"columns": {"id": "int", "v": "string"}, "options": {"enforceSchema": "true"}}}})
+    df, _ = read_table(spark, str(path), cfg.spec("t"), cfg.defaults)
+    assert [tuple(r) for r in df.collect()] == [(1, "x")]
+
+
 def test_declare_or_infer(spark, tmp_path):
     p = tmp_path / "m.csv"
     p.write_text("day,spend,channel\n2012-03-19 00:00:00,1.5,a\n2012-03-20 00:00:00,2,b\n")
