@@ -13,6 +13,7 @@ from strata.llm.toxicity import op2_toxicity
 from strata.llm.urls import ORACLE as URL_ORACLE
 from strata.llm.urls import op1_url_filter
 from strata.llm.vectors import op10_embedding_near_dedup
+from strata.llm.warc import ORACLE as WARC_ORACLE
 from strata.llm.warc import op3_warc
 
 
@@ -33,4 +34,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": URL_ORACLE}
+    return {"op1_url_filter": URL_ORACLE, "op3_warc": WARC_ORACLE}

@@ -311,3 +311,22 @@ def op3_warc(spark, sf_dir: str) -> DataFrame:
         "record_type",
         page_of(F.col("refers_to")).alias("refers_to"),
     )
+
+
+def _base32_sql(digest: str) -> str:
+    """DuckDB SQL: base32 of a 40-digit hex text, 20 bits (four signs) at a time."""
+    signs = []
+    for at in range(1, 41, 5):
+        bits = f"CAST('0x' || substr({digest}, {at}, 5) AS INTEGER)"
+        signs += [f"substr('{_RFC4648}', (({bits} >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0)]
+    return " || ".join(signs)
+
+
+ORACLE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
+  q AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS first_id FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_base32_sql('digest')} AS payload_digest,
+  CASE WHEN page_id < first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < first_id THEN first_id END AS refers_to
+FROM q
+"""
