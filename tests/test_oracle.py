@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -61,7 +62,7 @@ def test_every_key_has_a_query():
     assert set(sql) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, key):
     got = entry.queries()[key](spark, SF).toPandas()
     sql = entry.oracle_sql().get(key)

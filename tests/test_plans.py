@@ -6,6 +6,7 @@ import json
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BroadcastNestedLoopJoinExec", "CartesianProductExec", "BatchEvalPythonExec")
@@ -17,7 +18,7 @@ def static_plans(spark):
     try:
         return {
             key: json.loads(q(spark, SF)._jdf.queryExecution().executedPlan().toJSON())
-            for key, q in entry.queries().items()
+            for key, q in catalog.queries().items()
         }
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -28,7 +29,7 @@ def _unpartitioned_windows(df):
     return [n for n in nodes if n["class"].endswith(".WindowExec") and not n.get("partitionSpec")]
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_plan_rules(static_plans, key):
     classes = [n["class"].rsplit(".", 1)[-1] for n in static_plans[key]]
     assert not set(FORBIDDEN) & set(classes), f"{key}: {set(FORBIDDEN) & set(classes)}"
