@@ -132,16 +132,27 @@ class Tree:
 
 
 def _top_pairs(a: Tree, b: Tree, reach: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ca, cb = a.top(), b.top()
-    for at in range(0, len(ca), 512):
-        rows = ca[at : at + 512]
-        far = (a.radius[0][rows][:, None] + b.radius[0][cb][None, :] + reach + SLACK).astype(np.float32)
-        i, j = np.nonzero(a.small[rows] @ b.small[cb].T >= 1 - far * far / 2)
-        i, j = rows[i], cb[j]
-        if same:
-            i, j = i[i <= j], j[i <= j]
-        if len(i):
-            yield i, j
+    def parts(tree: Tree) -> list[np.ndarray]:
+        """Centres that stand for themselves alone, and the others."""
+        top = tree.top()
+        alone = tree.radius[0][top] == 0
+        return [top[alone], top[~alone]]
+
+    for k, ca in enumerate(parts(a)):
+        for m, cb in enumerate(parts(b)):
+            small = np.ascontiguousarray(b.small[cb].T)
+            for at in range(0, len(ca) if len(cb) else 0, 512):
+                rows = ca[at : at + 512]
+                if k == m == 0:  # one distance for all
+                    far = np.float32(reach + SLACK)
+                else:
+                    far = (a.radius[0][rows][:, None] + b.radius[0][cb][None, :] + reach + SLACK).astype(np.float32)
+                i, j = np.nonzero(a.small[rows] @ small >= 1 - far * far / 2)
+                i, j = rows[i], cb[j]
+                if same:
+                    i, j = i[i <= j], j[i <= j]
+                if len(i):
+                    yield i, j
 
 
 def _opened(a: Tree, b: Tree, level: int, i: np.ndarray, j: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
