@@ -26,9 +26,8 @@ classes to learn from every score is 0.0. Only the text is an input of a score.
 
 from __future__ import annotations
 
-import re
+import string
 import zlib
-from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -43,9 +42,9 @@ CHARS = 20_000
 BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 4, 5, 6)
-WINDOW = 4
+WINDOW = 2
 SHARP = 2.0
-EPOCHS = 15
+EPOCHS = 20
 RATES = (3.0, 0.1, 0.1)
 DECAY = 0.01
 #: Words of the vocabulary whose bags are summed at once.
@@ -53,26 +52,40 @@ CHUNK = 8192
 THRESHOLD = 0.7
 #: Words whose value a worker remembers at once.
 REMEMBERED = 400_000
-#: Characters of a word that count towards its bag.
-WORD_CHARS = 64
-_EDGE = re.compile(r"^\W+|\W+$")
+#: Texts whose unseen words are looked up at once.
+TEXTS = 64
+_EDGE = string.punctuation + "«»„“”‘’…¿¡–—"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def bag(word: str) -> list[int]:
-    """Embedding rows of a word: its n-grams and itself. Words beyond
-    ``WORD_CHARS`` characters are cut into pieces of that length, all counted."""
-    core = _EDGE.sub("", word) or word
-    rows = [zlib.crc32(b"\0" + core.encode("utf-8", "surrogatepass")) % BUCKETS]
-    for at in range(0, len(core), WORD_CHARS):
-        w = f"<{core[at : at + WORD_CHARS]}>"
-        for n in GRAMS:
-            for i in range(len(w) - n + 1):
-                rows.append(zlib.crc32(w[i : i + n].encode("utf-8", "surrogatepass")) % BUCKETS)
-    return rows
+def bags_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Embedding rows of words, and the place in ``words`` each belongs to: the
+    hashes of a word's n-grams and of the word itself, all words at once."""
+    cores = [w.strip(_EDGE) or w for w in words]
+    codes = np.frombuffer("".join([f"<{c}>" for c in cores]).encode("utf-32-le", "surrogatepass"), "<u4")
+    codes = codes.astype(np.uint64)
+    lengths = np.fromiter(map(len, cores), np.int64, len(cores)) + 2
+    owner = np.repeat(np.arange(len(cores), dtype=np.int32), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # signs to the word's end
+    whole = [zlib.crc32(c.encode("utf-8", "surrogatepass")) for c in cores]
+    rows, owners = [_spread(np.array(whole, np.uint64))], [np.arange(len(cores), dtype=np.int32)]
+    h = codes
+    for n in range(2, max(GRAMS) + 1):
+        h = h[:-1] * _STEP + codes[n - 1 :]
+        if n in GRAMS:
+            inside = left[: len(h)] >= n
+            rows.append(_spread(h[inside] + np.uint64(n)))
+            owners.append(owner[: len(h)][inside])
+    return np.concatenate(rows), np.concatenate(owners)
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _STEP
+    return ((h >> np.uint64(24)) % np.uint64(BUCKETS)).astype(np.int32)
 
 
 def _sum_by(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -96,26 +109,42 @@ class Model:
     intercept: float = 0.0
     _seen: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def word(self, w: str) -> float:
-        got = self._seen.get(w)
-        if got is None:
-            if len(self._seen) >= REMEMBERED:
-                self._seen.clear()
-            got = self._seen[w] = float(self.value[bag(w)].mean())
-        return got
+    def _learn(self, words: list[str]) -> None:
+        """Remember the values of words not met yet."""
+        for at in range(0, len(words), CHUNK):
+            some = words[at : at + CHUNK]
+            rows, owner = bags_of(some)
+            n = np.bincount(owner, minlength=len(some))
+            self._seen.update(zip(some, (np.bincount(owner, self.value[rows], len(some)) / n).tolist()))
+
+    def scores(self, texts) -> list[float]:
+        """Scores of many texts, some texts' unseen words at a time."""
+        out: list[float] = []
+        for at in range(0, len(texts), TEXTS):
+            split = [words_of(t) for t in texts[at : at + TEXTS]]
+            if self.value is not None:
+                new = set().union(*split).difference(self._seen)
+                if len(self._seen) + len(new) > REMEMBERED:
+                    self._seen.clear()
+                    new = set().union(*split)
+                self._learn(list(new))
+            out += [self._score(words) for words in split]
+        return out
 
     def score(self, text: str | None) -> float:
+        return self.scores([text])[0]
+
+    def _score(self, words: list[str]) -> float:
         if self.value is None:
             return 0.0
-        words = words_of(text)
         if not words:
             z = np.array([self.intercept])
         else:
-            v = np.fromiter(map(self.word, words), np.float64, len(words))
+            v = np.fromiter(map(self._seen.__getitem__, words), np.float64, len(words))
             at = np.arange(0, len(v), WINDOW)
             z = np.add.reduceat(v, at) / np.diff(np.append(at, len(v))) + self.intercept
-        zero = np.zeros(1, np.int64)
-        pooled = float((_softmax_within(SHARP * z, np.zeros(len(z), np.int64), zero) * z).sum())
+        e = np.exp(SHARP * (z - z.max()))
+        pooled = float((e * z).sum() / e.sum())
         return 1.0 / (1.0 + float(np.exp(-np.clip(pooled, -60, 60))))
 
 
@@ -140,12 +169,14 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
     first = np.concatenate(([0], 1 + np.nonzero(np.diff(doc))[0]))
     per_window = np.bincount(window, minlength=n_windows).astype(np.float32)[:, None]
     count = np.bincount(word, minlength=len(vocabulary))
-    lengths, rows = [], array("i")
-    for w in vocabulary:
-        got = bag(w)
-        lengths.append(len(got))
-        rows.extend(got)
-    lengths, rows = np.array(lengths, np.int32), np.frombuffer(rows, np.int32)
+    known = list(vocabulary)
+    parts = []
+    for at in range(0, len(known), CHUNK):
+        got, owner = bags_of(known[at : at + CHUNK])
+        order = np.argsort(owner, kind="stable")
+        parts.append((got[order], np.bincount(owner)))
+    rows = np.concatenate([p[0] for p in parts])
+    lengths = np.concatenate([p[1] for p in parts])
     ends = np.cumsum(lengths)
     used, rows = np.unique(rows, return_inverse=True)
     rows = rows.astype(np.int32)
@@ -236,7 +267,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text"):
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+        return pd.Series(shared.value.scores(texts.tolist()), dtype="float64")
 
     return of(col(text))
 
