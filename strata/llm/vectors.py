@@ -11,8 +11,9 @@ so distances obey the triangle inequality and a cover tree can prune.
   nearest centre, and a cell's covering radius is the largest distance of all
   its nodes. Two cells are compared unless their centres lie farther apart than
   both radii and the threshold together.
-* A cell is cut into blocks of bounded size. Within a block the levels go on with
-  halving radii (``RADII``): each level is a net of its parents' members.
+* A cell is cut into blocks of bounded size. Within a block the levels go on, from
+  about the distance in question, with halving radii (``RADII``): each level is a
+  net of its parents' members.
 * A pair of blocks that is not pruned is one group of a shuffle. It is traversed
   top down on both trees at once: a pair of tree nodes is dropped if no member
   pair can reach the threshold, counted as a whole if every member pair must, and
@@ -50,10 +51,12 @@ CELLS = 1024
 BLOCK = 4096
 #: Numbers of a block at most (long vectors have smaller blocks).
 BLOCK_NUMBERS = 1 << 20
-RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
+RADII = (0.5, 0.25, 0.125, 0.0625)
 #: Slack of single-precision distances; whatever lies within is looked at again.
 SLACK = 1e-3
 OPENED = 200_000
+#: Vectors tried as centres at once.
+LINE = 64
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -83,16 +86,25 @@ def paths(unit: np.ndarray) -> np.ndarray:
         nearer = 1 - radius * radius / 2
         below = []
         for members in groups:
+            if len(members) == 1:
+                out[members, level] = members
+                below.append(members)
+                continue
             left = members
             while len(left):
-                if len(left) == 1:
-                    inside = np.ones(1, bool)
-                else:
-                    inside = unit[left] @ unit[left[0]] >= nearer
-                    inside[0] = True
-                out[left[inside], level] = left[0]
-                below.append(left[inside])
-                left = left[~inside]
+                # the next vectors in line become centres in turn, unless an
+                # earlier one of them covers them
+                near = unit[left[:LINE]] @ unit[left].T >= nearer
+                free = np.ones(len(left), bool)
+                for k in range(len(near)):
+                    if free[k]:
+                        inside = near[k] & free
+                        inside[k] = True
+                        covered = left[inside]
+                        out[covered, level] = left[k]
+                        below.append(covered)
+                        free ^= inside
+                left = left[free]
         groups = below
     return out
 
@@ -147,8 +159,10 @@ def _top_pairs(a: Tree, b: Tree, reach: float, same: bool) -> Iterator[tuple[np.
                     far = np.float32(reach + SLACK)
                 else:
                     far = (a.radius[0][rows][:, None] + b.radius[0][cb][None, :] + reach + SLACK).astype(np.float32)
-                i, j = np.nonzero(a.small[rows] @ small >= 1 - far * far / 2)
-                i, j = rows[i], cb[j]
+                near = a.small[rows] @ small >= 1 - far * far / 2
+                some = near.any(axis=1)  # few rows, where there is little to find
+                i, j = np.nonzero(near[some])
+                i, j = rows[some][i], cb[j]
                 if same:
                     i, j = i[i <= j], j[i <= j]
                 if len(i):
