@@ -166,12 +166,13 @@ class Plan:
     """What a mix takes. ``sized``: ``doc_id, source_no, size, hash, block`` of
     every row; ``sources``: ``source_no, source, source_size, target``; ``draws``:
     ``source_no, block, pass, shard, part`` (``part``: only the documents of
-    ``fitting``); ``fitting``: ``source_no, hash``."""
+    ``fitting``); ``fitting``: ``source_no, hash``; ``shards``: number of output shards."""
 
     sized: DataFrame
     sources: DataFrame
     draws: DataFrame
     fitting: DataFrame
+    shards: int
 
 
 def _hash(doc_id: Column, text: Column, seed: int) -> Column:
@@ -282,7 +283,7 @@ def plan(
         .where(F.col("block").isNotNull())
         .select("source_no", "block", "pass", "shard", "part")
     )
-    return Plan(sized, sources, materialized(dealt, "mix-dealt"), fitting)
+    return Plan(sized, sources, materialized(dealt, "mix-dealt"), fitting, shards)
 
 
 def copies(p: Plan) -> DataFrame:
@@ -327,7 +328,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
         .where(~F.col(s["part"]) | F.col(s["fit"]))
     )
     return (
-        taken.repartition(s["shard"])
+        taken.repartition(p.shards, s["shard"])  # a task for every shard, whatever the input's size
         .sortWithinPartitions(s["shard"], F.xxhash64(F.lit(seed), s["shard"], s["pass"], s["hash"]))
         .select(*[col(c) for c in docs.columns])
     )
