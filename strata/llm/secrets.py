@@ -40,6 +40,9 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "entropy")
 
 WINDOW = 20
+#: Windows are slid over pieces of a run that begin so many characters apart:
+#: taking a character out of a string costs as much as the string is long.
+PIECE = 128
 CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
 #: Character class of a run, tried in this order, and the bits a character
 #: that its best window must reach.
@@ -48,14 +51,17 @@ CLASSES = (
     ("alphanumeric", r"^[A-Za-z0-9]+$", 3.6),
     ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.6),
 )
-#: Runs that look random but are no secrets.
+#: Runs that look random but are no secrets. Groups repeat possessively, over
+#: parts that share no character: others are matched by recursion, whose stack a
+#: long run overflows.
 ALLOW = (
     r"^[A-Za-z]+$",  # words of one alphabet
     r"^[0-9]+$",  # numbers
-    r"^[A-Z]?[a-z]+([_/+=-]+[A-Za-z]?[a-z]*)*$",  # words joined by signs
+    r"^[A-Z]?[a-z]++(?:[_/+=-]++[A-Za-z]?+[a-z]*+)*+$",  # words joined by signs
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",  # UUID
     r"^(.)\1*$",  # one character
-    r"^[A-Za-z]*/?/?([a-z0-9-]+/)+[a-z0-9-]*$",  # lower-case path
+    # lower-case path; letters before it may end in a slash or two
+    r"^[A-Za-z]*+(?:(?:[0-9-][a-z0-9-]*+|(?<=[a-z]))/(?:[a-z0-9-]++/)*+|//?(?:[a-z0-9-]++/)++)[a-z0-9-]*+$",
 )
 
 
@@ -81,7 +87,7 @@ def _spans(text: Column, pattern: str) -> Column:
     return F.when(F.size(matches) > 0, found).otherwise(empty)
 
 
-def window_entropy(run: Column, window: int = WINDOW) -> Column:
+def _piece_entropy(run: Column, window: int) -> Column:
     """The highest Shannon entropy (bits a character) of the windows of a run.
 
     With n(c) the window's counts, entropy is log2(w) - sum(n log2 n) / w; a
@@ -112,6 +118,19 @@ def window_entropy(run: Column, window: int = WINDOW) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step, lambda acc: acc["best"])
 
 
+def window_entropy(run: Column, window: int = WINDOW) -> Column:
+    """The highest Shannon entropy (bits a character) of the windows of a run of
+    any length: of its pieces, each with the windows that begin in it."""
+    pieces = F.regexp_extract_all(run, _lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    whole = F.zip_with(
+        pieces,
+        F.slice(pieces, F.lit(2), F.size(pieces)),
+        lambda p, after: F.concat(p, F.coalesce(F.substring(after, 1, window - 1), F.lit(""))),
+    )
+    begun = F.filter(whole, lambda p, i: (i == 0) | (F.length(p) >= window))
+    return F.coalesce(F.array_max(F.transform(begun, lambda p: _piece_entropy(p, window))), F.lit(0.0))
+
+
 def suspicious(run: Column) -> Column:
     """Whether a candidate run is a secret by entropy and no allow-list fits."""
     threshold = F.lit(99.0)

@@ -224,6 +224,24 @@ def test_window_entropy(spark):
         assert abs(r["h"] - want) < 1e-9
 
 
+def test_secret_unbroken_runs_of_any_length(spark):
+    from pyspark.sql import functions as F
+
+    key = "xK9fQ2mZ7rTb4WvL1sYp0HcJ"
+    rows = [
+        (1, "ha-" * 350_000, None),
+        (2, "ab" + "/cd" * 350_000, None),
+        (3, "ab1" + "/cd2" * 260_000, None),
+        (4, "ha-" * 7_000 + key, None),
+    ]
+    got = {r["doc_id"]: [s["kind"] for s in r["all"]] for r in secrets.scan(frame(spark, rows)).collect()}
+    assert got == {1: [], 2: [], 3: [], 4: ["entropy"]}
+    # the one window with the most bits is found wherever pieces of the run meet
+    runs = ["a" * n + key[:20] + "a" * m for n in (0, 100, 107, 108, 109, 127, 128, 236, 250) for m in (0, 1, 19, 300)]
+    df = spark.createDataFrame([(r,) for r in runs], "run string")
+    assert all(abs(r[0] - np.log2(20)) < 1e-9 for r in df.select(secrets.window_entropy(F.col("run"))).collect())
+
+
 def test_redaction(spark):
     rows = [(1, "a token=secret=abcdefgh b 😀 " + "0123456789abcdef" * 2, "s"), (2, "clean", "s"), (3, None, "s"), (3, "", "s")]
     docs = frame(spark, rows)
