@@ -5,8 +5,9 @@ Base kinds are patterns (``assign``, ``access``, ``hex``). The method adds
 character class (hex digits, letters and digits, base64); a window of
 ``WINDOW`` characters slides over the run, and its Shannon entropy is kept up by
 counts of the entering and the leaving character alone. A run whose highest
-window reaches its class's threshold is a secret, unless it overlaps a base span
-or an allow-list pattern fits it.
+window reaches its class's threshold is a secret, unless an allow-list pattern
+fits it. Base spans are cut out of a run first; what is left on either side is
+judged by itself where it still has the 24 characters.
 
 Positions are code points. A pattern's matches and the texts between them tile
 the text, so the lengths of both give every span; nothing is scanned twice.
@@ -43,7 +44,8 @@ WINDOW = 20
 #: Windows are slid over pieces of a run that begin so many characters apart:
 #: taking a character out of a string costs as much as the string is long.
 PIECE = 128
-CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
+SHORTEST = 24
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 #: Character class of a run, tried in this order, and the bits a character
 #: that its best window must reach.
 CLASSES = (
@@ -152,6 +154,32 @@ def _with_kind(spans: Column, kind: str) -> Column:
     )
 
 
+def _cut(runs: Column, base: Column) -> Column:
+    """The runs without the parts that base spans (in order of start) cover."""
+
+    def over(r):
+        return lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
+
+    def piece(r, start, end):
+        value = F.substring(r["value"], start - r["start"] + 1, end - start)
+        whole = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), value.alias("value"))
+        none = F.filter(F.array(r), lambda x: F.lit(False))
+        return F.when(end - start >= SHORTEST, F.array(whole)).otherwise(none)
+
+    def left(r):
+        state = F.struct(r["start"].alias("at"), F.filter(F.array(r), lambda x: F.lit(False)).alias("out"))
+
+        def step(acc, b):
+            out = F.concat(acc["out"], piece(r, acc["at"], b["start"]))
+            return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+
+        return F.aggregate(
+            F.filter(base, over(r)), state, step, lambda acc: F.concat(acc["out"], piece(r, acc["at"], r["end"]))
+        )
+
+    return F.flatten(F.transform(runs, lambda r: F.when(F.exists(base, over(r)), left(r)).otherwise(F.array(r))))
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(
         F.transform(
@@ -179,9 +207,8 @@ def with_spans(docs: DataFrame, *, text: str = "text", prefix: str = "_s_") -> D
     base = F.array_sort(F.concat(*[_with_kind(F.col(f"{prefix}{k}"), k) for k in BASE_KINDS]))
     listed = raw.withColumn(f"{prefix}base", base)
     added = F.filter(
-        F.col(f"{prefix}runs"),
-        lambda r: ~F.exists(F.col(f"{prefix}base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        & suspicious(r["value"]),
+        _cut(F.col(f"{prefix}runs"), F.col(f"{prefix}base")),
+        lambda r: suspicious(r["value"]),
     )
     return listed.withColumn(
         f"{prefix}all", F.array_sort(F.concat(F.col(f"{prefix}base"), _with_kind(added, "entropy")))
