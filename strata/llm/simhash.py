@@ -227,7 +227,7 @@ def near_links(fps: DataFrame, *, radius: int = RADIUS, tile: int = TILE) -> Dat
     )
 
 
-def simhash_groups(
+def _components(
     docs: DataFrame,
     *,
     doc_id: str = "doc_id",
@@ -236,7 +236,8 @@ def simhash_groups(
     radius: int = RADIUS,
     tile: int = TILE,
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs``."""
+    """``doc_id, fp, component, component_id`` of every row of ``docs``
+    (``component``: a fingerprint that names the group)."""
     fps = materialized(
         docs.select(col(doc_id).alias("doc_id"), fingerprints(docs, text=text, shingle=shingle).alias("fp")),
         "simhash-fp",
@@ -247,20 +248,27 @@ def simhash_groups(
     named = (
         groups.join(reps, "fp").groupBy("component").agg(F.min("least_id").alias("group_id"))
     )
-    linked = groups.join(named, "component").select("fp", "group_id")
+    linked = groups.join(named, "component").select("fp", "component", "group_id")
     of = reps.join(linked, "fp", "left").select(
-        "fp", F.coalesce("group_id", "least_id").alias("component_id")
+        "fp", F.coalesce("component", "fp").alias("component"), F.coalesce("group_id", "least_id").alias("component_id")
     )
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(of, "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def simhash_groups(docs: DataFrame, **how) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row of ``docs``."""
+    return _components(docs, **how).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with one row left of each group (its smallest ``doc_id``).
 
-    Of rows that share that id, the smallest row by its columns stays; rows
-    without an id cannot be named by a group and all stay.
+    An id that several rows share is judged in each group by itself: of a
+    group's rows with its smallest id, the smallest row by its columns stays. Of
+    a group's rows without an id, the smallest stays too, beside the one that
+    the group's ids name.
     """
-    groups = materialized(simhash_groups(docs, doc_id=doc_id, text=text, **how), "simhash-groups")
+    groups = materialized(_components(docs, doc_id=doc_id, text=text, **how), "simhash-groups")
     by_id = groups.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"),
         F.count(F.lit(1)).alias("rows"),
@@ -270,15 +278,26 @@ def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     gone = judged.where("stays = 0").select(F.col("doc_id").alias("_gone"))
     twice = judged.where("stays = 1").select(F.col("doc_id").alias("_twice"))
     kept = docs.join(gone, key == F.col("_gone"), "left_anti")
-    if twice.isEmpty():
+    if twice.isEmpty() and groups.where(F.col("doc_id").isNull()).isEmpty():
         return kept
+    # one row an id and fingerprint is left before the join, however large a group is
+    open_ = kept.where(key.isNull()).unionByName(kept.join(twice, key == F.col("_twice"), "left_semi"))
+    row = F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    shingle = {k: v for k, v in how.items() if k == "shingle"}
+    least = (
+        open_.select(key.alias("_id"), fingerprints(docs, text=text, **shingle).alias("_fp"), row.alias("_r"))
+        .groupBy("_id", "_fp")
+        .agg(F.min("_r").alias("_r"))
+    )
+    of = groups.select(F.col("fp").alias("_fp"), "component", "component_id").distinct()
     one = (
-        kept.join(twice, key == F.col("_twice"), "left_semi")
-        .groupBy(key.alias("_id"))
-        .agg(F.min(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])).alias("r"))
-        .select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+        least.join(of, "_fp")
+        .where(F.col("_id").isNull() | (F.col("_id") == F.col("component_id")))
+        .groupBy("component", "_id")
+        .agg(F.min("_r").alias("_r"))
+        .select(*[F.col(f"_r.c{i}").alias(c) for i, c in enumerate(docs.columns)])
     )
-    return kept.join(twice, key == F.col("_twice"), "left_anti").unionByName(one)
+    return kept.where(key.isNotNull()).join(twice, key == F.col("_twice"), "left_anti").unionByName(one)
 
 
 def op6_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -69,6 +69,16 @@ def test_simhash_keeps_one_row_of_each_group(spark):
     assert kept.columns == frame(spark).columns
 
 
+def test_simhash_keeps_a_row_of_each_group_of_a_repeated_id(spark):
+    red, blue, grey = (" ".join(f"{c}{i}" for i in range(60)) for c in ("red", "blue", "grey"))
+    # id 1 is in two groups; in blue it is the least id, id 2 is the least of grey alone
+    rows = [(1, red, "a"), (1, blue, "b"), (1, blue, "a"), (2, blue, "a"), (2, grey, "a"), (3, grey, "a"), (3, red, "a")]
+    rows += [(None, "no id and copied", "b"), (None, "no id and copied", "a"), (None, "no id and copied", "a")]
+    kept = simhash.drop_near_duplicates(frame(spark, rows))
+    want = [(1, red, "a"), (1, blue, "a"), (2, grey, "a"), (None, "no id and copied", "a")]
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in kept.collect()) == Counter(want)
+
+
 @pytest.mark.parametrize("radius,n", [(4, 700), (3, 130), (1, 64)])
 def test_bit_sliced_pairs(radius, n):
     rng = random.Random(radius)
