@@ -399,7 +399,7 @@ def test_toxicity_query(spark):
     held = [r for r in labels if got[r["doc_id"]]["held_out"]]
     toxic = [got[r["doc_id"]]["predicted"] for r in held if r["toxic"]]
     clean = [got[r["doc_id"]]["predicted"] for r in held if not r["toxic"]]
-    assert np.mean(toxic) > 0.8 and np.mean(clean) < 0.02
+    assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.02
 
 
 def test_toxicity_shares_subwords():
