@@ -34,6 +34,8 @@ def main(argv=None) -> None:
     parser.add_argument("--register", action="store_true",
                         help="register the layers in the session's catalog (silver.<t>, gold.<t>,"
                              " report.<t>); lasting only with a persistent metastore")
+    parser.add_argument("--move-registered", action="store_true",
+                        help="registered names may follow a lake that was moved")
     parser.add_argument("--spark-conf", action="append", default=[], metavar="KEY=VALUE",
                         help="extra Spark setting for the session (repeatable)")
     args = parser.parse_args(argv)
@@ -71,6 +73,7 @@ def main(argv=None) -> None:
         jdbc_connections=args.jdbc_connections,
         workers=args.workers,
         register=args.register,
+        move_registered=args.move_registered,
     )
     audit.show(200, truncate=False)
 

@@ -376,18 +376,18 @@ def warehouse_catalog_sql(spark, sf_dir):
     from strata.plans.pipeline import GOLD_CHANNELS, GOLD_MONTHLY
     from strata.session import scratch_path
     from strata.sinks.parquet import write_table
-    from strata.sources.lake import register_layer
+    from strata.sources.lake import registered_layer
 
     gold = scratch_path(spark, "gold")
     monthly, channels = _gold(spark, sf_dir)
     write_table(monthly, f"{gold}/{GOLD_MONTHLY}")
     write_table(channels, f"{gold}/{GOLD_CHANNELS}")
-    register_layer(spark, gold, "gold")
-    return spark.sql(
-        """SELECT channel, channel_type, sessions, orders,
-                  conversion_rate_pct, revenue, revenue_per_session_usd
-           FROM gold.gold_channel_performance ORDER BY revenue DESC"""
-    )
+    with registered_layer(spark, gold) as database:
+        return spark.sql(
+            f"""SELECT channel, channel_type, sessions, orders,
+                       conversion_rate_pct, revenue, revenue_per_session_usd
+                FROM {database}.gold_channel_performance ORDER BY revenue DESC"""
+        )
 
 
 def silver_roundtrip(spark, sf_dir):

@@ -203,13 +203,14 @@ def _write_all(outputs: dict[str, DataFrame], folder: str, step: int, layer: str
     ]
 
 
-def catalog_step(spark: SparkSession, layers: Layers) -> list[tuple]:
+def catalog_step(spark: SparkSession, layers: Layers, move: bool = False) -> list[tuple]:
     """Step 4 without a database: silver, gold and report tables registered
-    in Spark's catalog as ``silver.<t>``, ``gold.<t>``, ``report.<t>``."""
+    in Spark's catalog as ``silver.<t>``, ``gold.<t>``, ``report.<t>``;
+    ``move`` lets names follow a lake that was moved."""
     audit = []
     for layer, database in ((layers.silver, "silver"), (layers.gold, "gold"),
                             (layers.report, "report")):
-        for name in register_layer(spark, layer, database):
+        for name in register_layer(spark, layer, database, move=move):
             audit.append(_row(4, "catalog", f"{database}.{name}", None))
     return audit
 
@@ -269,6 +270,7 @@ def run_pipeline(
     jdbc_connections: int = 8,
     workers: int = 4,
     register: bool = False,
+    move_registered: bool = False,
     gold: bool = True,
     **columns,
 ) -> DataFrame:
@@ -276,7 +278,8 @@ def run_pipeline(
     origin, key, unparsed, conversions``), one row per table written.
 
     ``register=True`` also registers the silver, gold and report tables in
-    Spark's catalog (``silver.<t>``, ``gold.<t>``, ``report.<t>``).
+    Spark's catalog (``silver.<t>``, ``gold.<t>``, ``report.<t>``);
+    ``move_registered`` lets these names follow a lake that was moved.
     Silver is loaded into the database before gold is required. Raises
     ``FileNotFoundError`` naming the table if this run wrote no silver table
     for the visits or the conversions; ``gold=False`` stops after silver.
@@ -301,5 +304,5 @@ def run_pipeline(
         audit += warehouse("gold")
         audit += report_step(spark, layers, workers)
     if register:
-        audit += catalog_step(spark, layers)
+        audit += catalog_step(spark, layers, move_registered)
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

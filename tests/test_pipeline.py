@@ -214,6 +214,33 @@ def test_catalog_leaves_other_tables_alone(spark, tmp_path):
     spark.sql("DROP TABLE keepdb.t")
 
 
+def test_registered_names_follow_a_moved_layer(spark, tmp_path):
+    from strata.sources.lake import register_layer
+
+    for n, name in ((3, "a"), (4, "b")):
+        spark.range(n).write.parquet(f"{tmp_path}/{name}/t")
+    register_layer(spark, f"{tmp_path}/a", "movedb")
+    with pytest.raises(ValueError, match="another table"):
+        register_layer(spark, f"{tmp_path}/b", "movedb")
+    assert spark.table("movedb.t").count() == 3
+    register_layer(spark, f"{tmp_path}/b", "movedb", move=True)
+    assert spark.table("movedb.t").count() == 4
+    spark.sql("DROP DATABASE movedb CASCADE")
+    assert spark.read.parquet(f"{tmp_path}/b/t").count() == 4  # only names went
+
+
+def test_catalog_query_runs_again_and_in_a_second_session(spark):
+    from strata.plans.catalog import warehouse_catalog_sql
+
+    sf = "/root/testdata/sf0.001"
+    before = {d.name for d in spark.catalog.listDatabases()}
+    first = warehouse_catalog_sql(spark, sf)
+    again = warehouse_catalog_sql(spark, sf)
+    other = warehouse_catalog_sql(spark.newSession(), sf)
+    assert first.collect() == again.collect() == other.collect()
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+
+
 def test_sql_views_do_not_outlive_the_statement(spark):
     from strata.sources.lake import warehouse_sql
 
