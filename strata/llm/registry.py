@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from strata.llm.bpe import op9_byte_bpe
 from strata.llm.mixing import op5_source_mix
+from strata.llm.pieces import op11_sentencepiece
 from strata.llm.quality import op7_quality_rules
 from strata.llm.secrets import op8_secret_scan
 from strata.llm.simhash import op6_simhash_near_dedup
@@ -29,6 +30,7 @@ def queries() -> dict:
         "op8_secret_scan": op8_secret_scan,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_embedding_near_dedup": op10_embedding_near_dedup,
+        "op11_sentencepiece": op11_sentencepiece,
         "pipeline": corpus_pipeline.run,
     }
 
