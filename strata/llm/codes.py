@@ -187,8 +187,8 @@ def _oracle(scale: int = SCALE, parts: int = PARTS, entries: int = ENTRIES, roun
     """DuckDB SQL for the query's rows, for tables whose vectors have one length."""
     steps = [
         f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, label,
-        list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-        FROM embeddings WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)""",
+        list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
         f"""parts AS MATERIALIZED (SELECT row, vec_id, v, p,
         v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS a FROM kept, range({parts}) t(p))""",
         f"""book0 AS MATERIALIZED (SELECT p, e, a FROM (SELECT p, a, row_number() OVER (
@@ -197,7 +197,7 @@ def _oracle(scale: int = SCALE, parts: int = PARTS, entries: int = ENTRIES, roun
     for r in range(rounds + 1):
         steps.append(
             f"""near{r} AS MATERIALIZED (SELECT x.row, x.p, min({{'d': CAST(list_sum(list_transform(list_zip(x.a, b.a),
-            z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'e': b.e}}) AS m
+            lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'e': b.e}}) AS m
             FROM parts x JOIN book{r} b ON x.p = b.p GROUP BY x.row, x.p)"""
         )
         if r < rounds:

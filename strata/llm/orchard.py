@@ -161,15 +161,15 @@ def _oracle(dims: int = DIMS, scale: int = SCALE, centroids: int = CENTROIDS, ro
     """DuckDB SQL for the query's rows: every round compares all centroids."""
     steps = [
         f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
-        list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-        FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)""",
+        list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
         f"""centers0 AS MATERIALIZED (SELECT c, v FROM (SELECT v, row_number() OVER (
         ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS c FROM kept) WHERE c < {centroids})""",
     ]
     for r in range(rounds + 1):
         steps.append(
             f"""near{r} AS MATERIALIZED (SELECT k.row, min({{'d': CAST(list_sum(list_transform(list_zip(k.v, c.v),
-            z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'c': c.c}}) AS m FROM kept k, centers{r} c GROUP BY k.row)"""
+            lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'c': c.c}}) AS m FROM kept k, centers{r} c GROUP BY k.row)"""
         )
         if r < rounds:
             steps.append(

@@ -101,6 +101,7 @@ class Model:
         self.byte_of = {i: bytes([b]) for i, b in value.items()}
         self.text_of = {i: p.replace(MARK, " ") for p, i in self.pieces.items()}
         self.text_of |= {i: "" for i in special}
+        self.decimal = [str(i) for i in ids]
         self.text_of[sp.unk_id()] = sp.decode([sp.unk_id()])
         self.begin()
 
@@ -113,6 +114,10 @@ class Model:
     def segment(self, chunk: str) -> list[int]:
         """The ids of one chunk, by merging."""
         symbols = self._merged_word(chunk) if len(chunk) <= SHORT else self._merged(chunk)
+        try:
+            return [self.pieces[s] for s in symbols]
+        except KeyError:  # some of them fall back to bytes
+            pass
         out: list[int] = []
         for s in symbols:
             i = self.pieces.get(s)
@@ -128,12 +133,12 @@ class Model:
         scores = [score(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
         while scores and (best := max(scores)) > _NONE:
             at = scores.index(best)
-            pair = symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            pair = symbols[at] = symbols[at] + symbols.pop(at + 1)
             del scores[at]
             if at:
-                scores[at - 1] = score(symbols[at - 1] + pair[0], _NONE)
+                scores[at - 1] = score(symbols[at - 1] + pair, _NONE)
             if at < len(scores):
-                scores[at] = score(pair[0] + symbols[at + 1], _NONE)
+                scores[at] = score(pair + symbols[at + 1], _NONE)
         return symbols
 
     def _merged(self, chunk: str) -> list[str]:
@@ -168,6 +173,10 @@ class Model:
 
     def decode_marked(self, ids) -> str:
         """The text of ``ids`` with the leading marker's space."""
+        try:
+            return "".join([self.text_of[i] for i in ids])
+        except KeyError:  # bytes of characters among them
+            pass
         parts: list[str] = []
         run: list[bytes] = []
         for i in ids:
@@ -192,12 +201,12 @@ class Model:
         """The table's entries for the chunks of ``text``, in order: number of
         ids, ids as decimal text, decoded text, ids."""
         chunks = self.chunks(mark(text))
-        known = self.known
+        known, decimal = self.known, self.decimal
         for chunk in set(chunks).difference(known):
             entry = self.older.get(chunk)
             if entry is None:
                 ids = self.segment(chunk)
-                entry = len(ids), ",".join(map(str, ids)), self.decode_marked(ids), tuple(ids)
+                entry = len(ids), ",".join([decimal[i] for i in ids]), self.decode_marked(ids), tuple(ids)
             known[chunk] = entry
             self.chars += len(chunk)
         entries = list(map(known.__getitem__, chunks))
