@@ -5,12 +5,20 @@ becomes one. If no piece of the model holds a marker behind another character,
 no merge can cross from a character to a following marker, so a text falls into
 chunks (markers and the characters up to the next marker) that are encoded
 independently. Words recur: a chunk table holds every distinct chunk once, with
-its ids and with what these ids decode to; a text is the list of its chunks, and
-its ids and its decoded bytes are the table's entries joined by position.
-
-A chunk is segmented by merging: of all neighbours whose concatenation is a
+its ids; a text is the list of its chunks, and its ids are the table's entries
+joined by position. An entry is made once: the chunk is segmented, its ids are
+decoded, and the table notes whether they give the chunk back. Decoded texts are
+joined by position likewise, from the chunks whose ids give them back and from
+what the ids of the others decode to.
+
+A chunk is cut once more before it is segmented, where no piece has the two
+characters side by side: characters that are neighbours in any piece make classes,
+and a run of one class (with the markers before it) is a part. Parts have a table
+of their own, so ``word``, ``word,`` and ``word.`` are segmented once.
+
+A part is segmented by merging: of all neighbours whose concatenation is a
 piece, the pair with the highest score (leftmost of equals) is merged first. Words
-look for it in a short list of scores; a chunk over ``SHORT`` characters takes it
+look for it in a short list of scores; a part over ``SHORT`` characters takes it
 from a heap, so a long run without white space takes n log n. What is no piece in
 the end falls back to its UTF-8 bytes.
 
@@ -94,26 +102,65 @@ class Model:
             raise ValueError("the model has user-defined pieces")
         if any(sp.normalize(t) != mark(t) for t in _PROBES):
             raise ValueError("the model's normalizer does more than mark white space")
-        crossing = any(MARK in p.lstrip(MARK) for p in self.pieces)
-        self.chunks = re.compile("(?s:.+)" if crossing else f"{MARK}+[^{MARK}]*").findall
         value = {i: b for b, i in enumerate(self.byte_ids)}
         #: What an id decodes to: bytes of a character, or text.
         self.byte_of = {i: bytes([b]) for i, b in value.items()}
         self.text_of = {i: p.replace(MARK, " ") for p, i in self.pieces.items()}
         self.text_of |= {i: "" for i in special}
-        self.decimal = [str(i) for i in ids]
         self.text_of[sp.unk_id()] = sp.decode([sp.unk_id()])
+        self.decimal = [str(i) for i in ids]
+        if any(MARK in p.lstrip(MARK) for p in self.pieces):
+            self.chunks = self.parts = re.compile("(?s:.+)").findall
+        else:
+            self.chunks = re.compile(f"{MARK}+[^{MARK}]*").findall
+            self.parts = re.compile(f"{MARK}*(?:{self._classes()}[^{MARK}])|{MARK}+").findall
         self.begin()
 
+    def _classes(self) -> str:
+        """Alternatives for runs of characters that pieces have side by side."""
+        root: dict[str, str] = {}
+
+        def find(c: str) -> str:
+            while root.setdefault(c, c) != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for piece in self.pieces:
+            bare = piece.lstrip(MARK)
+            for a, b in zip(bare, bare[1:]):
+                root[find(a)] = find(b)
+        members: dict[str, list[str]] = {}
+        for c in root:
+            members.setdefault(find(c), []).append(c)
+        return "".join(f"[{''.join(map(re.escape, sorted(m)))}]+|" for _, m in sorted(members.items()))
+
     def begin(self) -> None:
-        """An empty chunk table: entries in use, and older ones."""
-        self.known: dict[str, tuple[int, str, str, tuple[int, ...]]] = {}
+        """Empty tables of chunks and parts (entries in use, and older ones), and
+        the chunks whose ids decode to something else."""
+        self.known: dict[str, str] = {}
         self.older = self.known
+        self.known_parts: dict[str, tuple[int, ...]] = {}
+        self.odd: set[str] = set()
         self.chars = 0
 
-    def segment(self, chunk: str) -> list[int]:
-        """The ids of one chunk, by merging."""
-        symbols = self._merged_word(chunk) if len(chunk) <= SHORT else self._merged(chunk)
+    def ids_of(self, chunk: str) -> list[int]:
+        """The ids of one chunk."""
+        out: list[int] = []
+        known = self.known_parts
+        for part in self.parts(chunk):
+            ids = known.get(part)
+            if ids is None:
+                if len(known) >= ENTRIES:
+                    known.clear()
+                ids = self.segment(part)
+                if len(part) <= SHORT:
+                    known[part] = tuple(ids)
+            out += ids
+        return out
+
+    def segment(self, part: str) -> list[int]:
+        """The ids of one part, by merging."""
+        symbols = self._merged_word(part) if len(part) <= SHORT else self._merged(part)
         try:
             return [self.pieces[s] for s in symbols]
         except KeyError:  # some of them fall back to bytes
@@ -127,9 +174,9 @@ class Model:
                 out.append(i)
         return out
 
-    def _merged_word(self, chunk: str) -> list[str]:
-        """The symbols of a short chunk after all merges."""
-        symbols, score = list(chunk), self.scores.get
+    def _merged_word(self, part: str) -> list[str]:
+        """The symbols of a short part after all merges."""
+        symbols, score = list(part), self.scores.get
         scores = [score(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
         while scores and (best := max(scores)) > _NONE:
             at = scores.index(best)
@@ -141,9 +188,9 @@ class Model:
                 scores[at] = score(pair + symbols[at + 1], _NONE)
         return symbols
 
-    def _merged(self, chunk: str) -> list[str]:
-        """The symbols of a chunk of any length after all merges."""
-        symbols, scores, n = list(chunk), self.scores, len(chunk)
+    def _merged(self, part: str) -> list[str]:
+        """The symbols of a part of any length after all merges."""
+        symbols, scores, n = list(part), self.scores, len(part)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         heap = []
@@ -197,25 +244,36 @@ class Model:
         encoder makes."""
         return self.decode_marked(ids).removeprefix(" ")
 
-    def look_up(self, text: str) -> list[tuple[int, str, str, tuple[int, ...]]]:
-        """The table's entries for the chunks of ``text``, in order: number of
-        ids, ids as decimal text, decoded text, ids."""
-        chunks = self.chunks(mark(text))
-        known, decimal = self.known, self.decimal
+    def look_up(self, text: str) -> tuple[str, str]:
+        """The ids of ``text`` as decimals joined by commas, and the text they
+        decode to, both from the table's entries for its chunks in order."""
+        marked = mark(text)
+        chunks = self.chunks(marked)
+        known = self.known
         for chunk in set(chunks).difference(known):
             entry = self.older.get(chunk)
             if entry is None:
-                ids = self.segment(chunk)
-                entry = len(ids), ",".join([decimal[i] for i in ids]), self.decode_marked(ids), tuple(ids)
+                ids = self.ids_of(chunk)
+                entry = ",".join([self.decimal[i] for i in ids])
+                if self.decode_marked(ids) != chunk.replace(MARK, " "):
+                    self.odd.add(chunk)
             known[chunk] = entry
             self.chars += len(chunk)
-        entries = list(map(known.__getitem__, chunks))
+        decimals = ",".join(map(known.__getitem__, chunks))
+        if self.odd and not self.odd.isdisjoint(chunks):
+            back = "".join(
+                self.decode_marked(map(int, known[c].split(","))) if c in self.odd else c.replace(MARK, " ") for c in chunks
+            )
+        else:
+            back = marked.replace(MARK, " ")
         if len(known) > ENTRIES or self.chars > CHARS:
             self.older, self.known, self.chars = known, {}, 0
-        return entries
+            self.odd.intersection_update(known)
+        return decimals, back.removeprefix(" ")
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for entry in self.look_up(text or "") for i in entry[3]]
+        decimals, _ = self.look_up(text or "")
+        return [int(i) for i in decimals.split(",")] if decimals else []
 
 
 @lru_cache(maxsize=2)
@@ -246,16 +304,14 @@ def encode_pieces(
         m = model(path)
         rows = []
         for t in texts:
-            counts, decimals, decoded, ids = zip(*m.look_up(t)) if t else ((), (), (), ())
-            back = "".join(decoded).removeprefix(" ")
+            decimals, back = m.look_up(t or "")
             row = [
-                sum(counts),
-                hashlib.sha256(",".join(decimals).encode()).hexdigest(),
+                decimals.count(",") + 1 if decimals else 0,
+                hashlib.sha256(decimals.encode()).hexdigest(),
                 hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
             ]
             if keep_ids:
-                flat = np.fromiter((i for entry in ids for i in entry), np.int32, sum(counts))
-                row += [flat, back]
+                row += [np.array(decimals.split(",") if decimals else [], np.int32), back]
             rows.append(row)
         return pd.DataFrame(rows, columns=[f.split()[0] for f in fields.split(", ")])
 
