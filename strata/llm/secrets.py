@@ -10,7 +10,10 @@ fits it. Base spans are cut out of a run first; what is left on either side is
 judged by itself where it still has the 24 characters.
 
 Positions are code points. A pattern's matches and the texts between them tile
-the text, so the lengths of both give every span; nothing is scanned twice.
+the text, so running sums of their lengths give every span. The time for a text
+grows with its length and (but for a logarithm) with its spans: running sums go
+by chunks, the base spans that meet a run are found by bisection, and parts of a
+long text are taken from pieces of it.
 
 Defined results: a null or empty text has no spans (and the digest of the empty
 string); whole texts are scanned; repeated rows and null ids are scanned as they
@@ -71,22 +74,75 @@ def _lit(pattern: str) -> Column:
     return F.lit(pattern)
 
 
+#: Values that a running sum or maximum takes at once; characters of a text's pieces.
+CHUNK = 256
+TEXT_PIECE = 4096
+
+
+def _empty(kind: str) -> Column:
+    return F.expr(f"cast(array() as array<{kind}>)")
+
+
+def _running(values: Column, combine) -> Column:
+    """Running results of an associative ``combine`` over an array of int, zero
+    first: by chunks, whose totals are combined in the same way."""
+
+    def within(chunk):
+        state = F.struct(F.lit(0).alias("last"), _empty("int").alias("out"))
+
+        def step(a, x):
+            now = combine(a["last"], x)
+            return F.struct(now.alias("last"), F.concat(a["out"], F.array(now)).alias("out"))
+
+        return F.aggregate(chunk, state, step, lambda a: a["out"])
+
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int"))).otherwise(_empty("int"))
+    # a generator's array of one element is computed once, unlike a repeated expression
+    chunks = F.transform(starts, lambda k: within(F.slice(values, k * CHUNK + 1, F.lit(CHUNK))))
+
+    def put_together(inner):
+        totals = within(F.transform(inner, lambda c: F.element_at(c, -1)))
+        return F.flatten(
+            F.transform(
+                F.arrays_zip(inner.alias("c"), F.slice(F.concat(F.array(F.lit(0)), totals), F.lit(1), F.size(inner)).alias("o")),
+                lambda z: F.transform(z["c"], lambda x: combine(z["o"], x)),
+            )
+        )
+
+    return F.element_at(F.transform(F.array(chunks), put_together), 1)
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """``array<struct<start, end, value>>`` of the pattern's matches."""
-    between = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    matches = F.regexp_extract_all(text, _lit(pattern), F.lit(0))
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-    state = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    steps = F.arrays_zip(F.slice(between, 1, F.size(matches)).alias("gap"), matches.alias("value"))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["value"])
-        span = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), x["value"].alias("value"))
-        return F.struct(end.cast("int").alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def tiled(z):
+        ends = _running(F.zip_with(z["gaps"], z["values"], lambda g, v: g + F.length(v)), lambda a, x: a + x)
+        return F.zip_with(
+            ends,
+            z["values"],
+            lambda e, v: F.struct((e - F.length(v)).alias("start"), e.alias("end"), v.alias("value")),
+        )
+
+    values = F.regexp_extract_all(text, _lit(pattern), F.lit(0))
+    gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
+    both = F.array(F.struct(F.slice(gaps, F.lit(1), F.greatest(F.size(gaps) - 1, F.lit(0))).alias("gaps"), values.alias("values")))
+    # most texts have no match: they are searched once
+    found = F.element_at(F.transform(both, tiled), 1)
+    return F.when(F.regexp_instr(text, _lit(pattern)) > 0, found).otherwise(
+        _empty("struct<start:int,end:int,value:string>")
+    )
+
 
-    found = F.aggregate(steps, state, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(empty)
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, _lit(rf"(?s).{{1,{TEXT_PIECE}}}"), F.lit(0))
+
+
+def _part(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end`` of a text given by its pieces."""
+    first = F.floor(start / TEXT_PIECE).cast("int")
+    last = F.floor(F.greatest(end - 1, start) / TEXT_PIECE).cast("int")
+    held = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substring(held, start - first * TEXT_PIECE + 1, end - start)).otherwise("")
 
 
 def _piece_entropy(run: Column, window: int) -> Column:
@@ -154,30 +210,83 @@ def _with_kind(spans: Column, kind: str) -> Column:
     )
 
 
-def _cut(runs: Column, base: Column) -> Column:
-    """The runs without the parts that base spans (in order of start) cover."""
+def _merged(spans: Column) -> Column:
+    """The stretches that spans (in order of start) cover, without overlaps, as
+    ``array<struct<start, end>>``."""
+
+    def stretches(z):
+        # the furthest end before each span; the span begins a stretch if it lies beyond
+        begins = F.filter(
+            F.arrays_zip(z["s"].alias("s"), F.concat(F.array(F.lit(-1)), z["upto"]).alias("before"), z["upto"].alias("upto")),
+            lambda x: x["s"].isNotNull() & (x["s"]["start"] >= x["before"]),
+        )
+        # a stretch ends where its last span's furthest end lies: just before the next begins
+        return F.zip_with(
+            begins,
+            F.concat(F.slice(begins, F.lit(2), F.size(begins)), F.array(F.element_at(begins, -1))),
+            lambda x, y: F.struct(
+                x["s"]["start"].alias("start"),
+                F.when(y["s"]["start"] > x["s"]["start"], y["before"]).otherwise(F.array_max(z["upto"])).alias("end"),
+            ),
+        )
+
+    upto = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    whole = F.element_at(F.transform(F.array(F.struct(spans.alias("s"), upto.alias("upto"))), stretches), 1)
+    return F.when(F.size(spans) > 0, whole).otherwise(_empty("struct<start:int,end:int>"))
+
+
+def _first_beyond(covered: Column, at: Column) -> Column:
+    """How many of the stretches (in order) end at or before ``at``, by bisection."""
+    state = F.struct(F.lit(0).alias("lo"), F.size(covered).alias("hi"))
 
-    def over(r):
-        return lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
+    def step(a, _):
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        low = F.get(covered, mid)["end"] <= at
+        return F.when(a["lo"] >= a["hi"], a).otherwise(
+            F.struct(F.when(low, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(low, a["hi"]).otherwise(mid).alias("hi"))
+        )
 
-    def piece(r, start, end):
-        value = F.substring(r["value"], start - r["start"] + 1, end - start)
-        whole = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), value.alias("value"))
-        none = F.filter(F.array(r), lambda x: F.lit(False))
-        return F.when(end - start >= SHORTEST, F.array(whole)).otherwise(none)
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(covered) + 1.0)).cast("int"))
+    return F.aggregate(rounds, state, step, lambda a: a["lo"])
 
-    def left(r):
-        state = F.struct(r["start"].alias("at"), F.filter(F.array(r), lambda x: F.lit(False)).alias("out"))
 
-        def step(acc, b):
-            out = F.concat(acc["out"], piece(r, acc["at"], b["start"]))
-            return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+def _cut(runs: Column, covered: Column) -> Column:
+    """What the covered stretches leave of each run, where it has ``SHORTEST``
+    characters."""
 
-        return F.aggregate(
-            F.filter(base, over(r)), state, step, lambda acc: F.concat(acc["out"], piece(r, acc["at"], r["end"]))
+    def left(r, lo):
+        # stretches that meet the run follow each other from ``lo`` on
+        meeting = F.filter(
+            F.slice(covered, lo + 1, F.greatest(_first_beyond(covered, r["end"]) - lo + 1, F.lit(0))),
+            lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]),
         )
 
-    return F.flatten(F.transform(runs, lambda r: F.when(F.exists(base, over(r)), left(r)).otherwise(F.array(r))))
+        def rest(z):
+            begins = F.concat(F.array(r["start"]), F.transform(z["m"], lambda b: b["end"]))
+            ends = F.concat(F.transform(z["m"], lambda b: b["start"]), F.array(r["end"]))
+            free = F.filter(
+                F.arrays_zip(begins.alias("start"), ends.alias("end")), lambda p: p["end"] - p["start"] >= SHORTEST
+            )
+            return F.transform(
+                free,
+                lambda p: F.struct(
+                    p["start"].alias("start"),
+                    p["end"].alias("end"),
+                    _part(z["p"], p["start"] - r["start"], p["end"] - r["start"]).alias("value"),
+                ),
+            )
+
+        both = F.array(F.struct(meeting.alias("m"), _pieces(r["value"]).alias("p")))
+        return F.element_at(F.transform(both, rest), 1)
+
+    def one(r):
+        def at(lo):
+            meets = F.coalesce(F.get(covered, lo)["start"] < r["end"], F.lit(False))
+            return F.when(meets, left(r, lo)).otherwise(F.array(r))
+
+        return F.element_at(F.transform(F.array(_first_beyond(covered, r["start"])), at), 1)
+
+    return F.when(F.size(covered) > 0, F.flatten(F.transform(runs, one))).otherwise(runs)
 
 
 def _joined(spans: Column) -> Column:
@@ -205,14 +314,14 @@ def with_spans(docs: DataFrame, *, text: str = "text", prefix: str = "_s_") -> D
         }
     )
     base = F.array_sort(F.concat(*[_with_kind(F.col(f"{prefix}{k}"), k) for k in BASE_KINDS]))
-    listed = raw.withColumn(f"{prefix}base", base)
+    listed = raw.withColumn(f"{prefix}base", base).withColumn(f"{prefix}covered", _merged(F.col(f"{prefix}base")))
     added = F.filter(
-        _cut(F.col(f"{prefix}runs"), F.col(f"{prefix}base")),
+        _cut(F.col(f"{prefix}runs"), F.col(f"{prefix}covered")),
         lambda r: suspicious(r["value"]),
     )
     return listed.withColumn(
         f"{prefix}all", F.array_sort(F.concat(F.col(f"{prefix}base"), _with_kind(added, "entropy")))
-    ).drop(f"{prefix}runs")
+    ).drop(f"{prefix}runs", f"{prefix}covered")
 
 
 def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,18 +345,13 @@ def redact(docs: DataFrame, *, text: str = "text", mark: str = "[SECRET]", lengt
     spans = F.col("_strata_secret_all")
     t = col(text)
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
-        )
+    def rewritten(z):
+        ends = F.concat(F.array(F.lit(0)), F.transform(z["m"], lambda s: s["end"]))
+        starts = F.concat(F.transform(z["m"], lambda s: s["start"]), F.array(F.length(t)))
+        return F.array_join(F.zip_with(ends, starts, lambda a, b: _part(z["p"], a, b)), mark)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(
-        spans, start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t)))
-    )
+    both = F.array(F.struct(_merged(spans).alias("m"), _pieces(t).alias("p")))
+    clean = F.element_at(F.transform(both, rewritten), 1)
     new = found.withColumn("_strata_secret_text", F.when(F.size(spans) > 0, clean).otherwise(t))
     out = []
     for c in docs.columns:
