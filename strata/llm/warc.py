@@ -22,16 +22,22 @@ Groups are splits of a file, bounded by ``spark.sql.files.maxPartitionBytes``.
 Defined results: a null payload is empty; a null id can only be a response's if
 all rows of that payload have none, and rows that share the largest id are all
 responses; repeated rows give repeated records; control characters and spaces in
-a URL are written as ``%20``; a file is read up to its first broken record, and
-not at all if it does not begin with one; extra columns are ignored; an empty
-table gives an empty archive.
+a URL are written as ``%20``, the line ends U+0085, U+2028 and U+2029 as their
+bytes' escapes; a file is read up to its first broken record, and not at all if it
+does not begin with one; extra columns are ignored; an empty table gives an empty
+archive.
+
+``write`` returns the number of records it wrote (observed by the write itself);
+``read`` with ``expected`` raises ``LostRecords`` if it finds another number.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import col, materialized, table
@@ -39,6 +45,8 @@ from strata.session import scratch_path
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
+#: Times the archives are read if a cut record does not come back whole.
+READS = 3
 DATE = "2024-01-01T00:00:00Z"
 _RFC4648 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -53,6 +61,21 @@ def sha1_base32(data: Column) -> Column:
     return F.translate(F.concat(*parts), _DIGITS, _RFC4648)
 
 
+class LostRecords(RuntimeError):
+    """Fewer or more records were read than are known to be there."""
+
+
+#: Line ends that are no control characters, as a URL writes them.
+_LINE_ENDS = {"\u0085": "%C2%85", "\u2028": "%E2%80%A8", "\u2029": "%E2%80%A9"}
+
+
+def _written_url(url: str) -> Column:
+    out = F.regexp_replace(url, r"[\x00-\x20\x7f]", "%20")
+    for sign, escape in _LINE_ENDS.items():
+        out = F.replace(out, F.lit(sign), F.lit(escape))
+    return out
+
+
 def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
@@ -91,7 +114,7 @@ def records(
         F.lit("\r\nWARC-Record-ID: "),
         _urn(F.col("page_id")),
         F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "),
-        F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20"),
+        _written_url("url"),
         F.lit("\r\nWARC-Payload-Digest: sha1:"),
         sha1_base32(F.col("payload")),
         F.when(
@@ -108,9 +131,12 @@ def records(
     return told.withColumn("block", block).select(F.concat(head, F.col("block")).alias("record"))
 
 
-def write(pages: DataFrame, path: str, **how) -> None:
-    """Write ``pages`` as WARC files under ``path``, one a task."""
-    records(pages, **how).write.option("lineSep", END).text(path)
+def write(pages: DataFrame, path: str, **how) -> int:
+    """Write ``pages`` as WARC files under ``path``, one a task; returns the number
+    of records."""
+    seen = Observation(f"warc_{uuid.uuid4().hex[:8]}")
+    records(pages, **how).observe(seen, F.count(F.lit(1)).alias("n")).write.option("lineSep", END).text(path)
+    return int(seen.get.get("n") or 0)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -129,7 +155,8 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _header(name: str, pattern: str = r"([^\r\n]*)") -> Column:
-    return F.regexp_extract("head", rf"(?im)^{name}:[ \t]*{pattern}[ \t]*\r?$", 1)
+    # (?d): a line ends at a line feed, not at U+0085, U+2028 or U+2029
+    return F.regexp_extract("head", rf"(?imd)^{name}:[ \t]*{pattern}[ \t]*\r?$", 1)
 
 
 def _parsed(df: DataFrame) -> DataFrame:
@@ -165,7 +192,7 @@ def _parsed(df: DataFrame) -> DataFrame:
             "refers_to": F.nullif(_header("WARC-Refers-To"), F.lit("")),
             "stated_digest": F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", ""),
             "stated_bytes": F.nullif(
-                F.regexp_extract("http", r"(?im)^Content-Length:[ \t]*([0-9]{1,15})", 1), F.lit("")
+                F.regexp_extract("http", r"(?imd)^Content-Length:[ \t]*([0-9]{1,15})", 1), F.lit("")
             ).cast("long"),
             "payload_bytes": F.octet_length("payload").cast("long"),
             "payload_digest": sha1_base32(F.col("payload")),
@@ -239,10 +266,29 @@ def _reached(candidates: DataFrame) -> DataFrame:
     return flagged.groupBy("file", "split").applyInPandas(_walk, "file string, offset long")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, *, expected: int | None = None) -> DataFrame:
     """The verified records of the archives under ``path``: ``file, offset,
     record_type, record_id, target_uri, refers_to, stated_digest, stated_bytes,
-    payload_bytes, payload_digest`` (the last two of the bytes read)."""
+    payload_bytes, payload_digest`` (the last two of the bytes read).
+
+    Records that were cut are put together from a second scan, which Spark may
+    split in another way if executors came or went in between. A record that then
+    does not come back whole is noticed, and the archives are read again."""
+    for _ in range(READS):
+        found = _read(spark, path)
+        if found is not None:
+            break
+    else:
+        raise LostRecords(f"{path}: cut records did not come back whole")
+    if expected is not None:
+        found = materialized(found, "warc-records")
+        if (n := found.count()) != expected:
+            raise LostRecords(f"{path}: {n} records read, {expected} written")
+    return found
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """See ``read``; ``None`` if the second scan was split in another way."""
     m = len(MAGIC)
     found = materialized(_parsed(_pieces(spark, path)), "warc-pieces")
     splits = found.groupBy("file", "split").agg(F.sum(F.col("held") + m).alias("n"))
@@ -291,7 +337,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("offset", "value"))).alias("parts"))
         .select("file", F.col("owner").alias("offset"), F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).alias("value"))
     )
-    again = _parsed(joined).where("whole")
+    again = materialized(_parsed(joined).where("whole"), "warc-again")
+    if again.count() != cut.count():
+        return None
     return whole.select(*out).union(again.select(*out))
 
 
@@ -302,9 +350,9 @@ def page_of(urn: Column) -> Column:
 def op3_warc(spark, sf_dir: str) -> DataFrame:
     """Query: every page as its WARC record says, after writing and reading."""
     path = scratch_path(spark, "warc")
-    write(table(spark, sf_dir, "pages"), path)
+    written = write(table(spark, sf_dir, "pages"), path)
     revisit = F.col("record_type") == "revisit"
-    return read(spark, path).select(
+    return read(spark, path, expected=written).select(
         page_of(F.col("record_id")).alias("page_id"),
         F.when(revisit, F.col("stated_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(revisit, F.col("stated_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
