@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import written_once
 
 # ASCII white space, the separator of words in every operator here.
 SPACE = r"\x20\x09-\x0D"
@@ -21,15 +21,35 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def materialized(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once under the shared checkpoint folder and read back.
+#: Written once under the shared checkpoint folder and read back: cuts the lineage
+#: (a lost executor cannot take the rows with it) and gives Spark the real size of
+#: the table for its join planning.
+materialized = written_once
 
-    Cuts the lineage (a lost executor cannot take the rows with it) and gives
-    Spark the real size of the table for its join planning.
+
+def running_totals(df: DataFrame, group: list[str], order: list[Column], **values: Column) -> DataFrame:
+    """``df`` with running sums of ``values``, each row's own included, over the
+    rows of its group (columns without nulls; none: all rows) in the order of
+    ``order``, which tells the rows of a group apart.
+
+    The rows are sorted over many tasks and written with the number of their
+    partition. A partition's rows are summed up by themselves; what lies before
+    them in their group are sums per partition, at most as many rows a group as
+    there are partitions. So a group of any size is spread over many tasks.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    sums = {f"_{k}": F.sum(f"_{k}") for k in values}
+    placed = materialized(
+        df.withColumns({f"_{k}": v for k, v in values.items()})
+        .repartitionByRange(*[F.col(g) for g in group], *order)
+        .withColumn("_part", F.spark_partition_id()),
+        "running",
+    )
+    parts = placed.groupBy("_part", *group).agg(*[v.alias(f"_of{k}") for k, v in sums.items()])
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("_part", *group, *[F.sum(f"_of{k}").over(earlier).alias(f"_before{k}") for k in sums])
+    here = Window.partitionBy("_part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = {k: F.coalesce(f"_before_{k}", F.lit(0)) + F.sum(f"_{k}").over(here) for k in values}
+    return placed.join(before, ["_part", *group]).select(*df.columns, *[v.alias(k) for k, v in totals.items()])
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -7,12 +7,15 @@ capped if its ratio of cap to weight lies under the level, so sorting the
 sources by that ratio gives the level with running sums.
 
 Blocks. The documents of a source are dealt by hash into blocks of about
-``BLOCK_WORDS`` words, at most ``MAX_BLOCKS`` a source (larger sources have
-larger blocks). A target of 2.4 times the source takes two whole passes over its
-blocks and, in a permutation of its own, as many whole blocks as fit in the
-remaining 0.4; the next block is taken in part, document by document as they
-fit, in hashed order. So a source's taken words miss its target by less than the
-smallest document of that block that was left out (at most half of it).
+``BLOCK_WORDS`` words; a larger source has more of them. A target of 2.4 times the
+source takes two whole passes over its blocks and, in a permutation of its own, as
+many whole blocks as fit in the remaining 0.4. What is left of that room goes on
+through the permuted blocks: of the next blocks all documents that fit in the
+room, while they fit together; of the block after that, one document after the
+other as it fits, in hashed order; and so on with the smaller room, until it is
+under ``NEAR`` of the target or no document fits. At last the smallest document
+left out is taken if that brings the source nearer to its target. So the taken
+words miss the target by at most half the smallest document left out, or ``NEAR``.
 
 Shards. The block draws of all sources are split among the output shards by a
 tree: a node holds the number of draws of every source; its left half gets a
@@ -20,11 +23,12 @@ multivariate hypergeometric draw of its size, the right half the rest. Rows of a
 level are nodes, and a level is one projection. The hypergeometric draws invert
 the distribution function with a hashed uniform, so reruns agree. At the leaves
 every shard has its exact quota of every source; quotas laid end to end along
-the source's permuted draws give each shard disjoint blocks. Inside a shard,
-documents are ordered by hash.
+the source's permuted draws give each shard disjoint blocks. Every shard is a task
+and a file of its own; inside it, documents are ordered by hash.
 
-Windows run over the sources, or over the at most ``CAP * MAX_BLOCKS`` draws of a
-source; no group holds all documents of a source.
+Running sums over sources, blocks and draws are taken partition by partition
+(``running_totals``); no group holds all documents, blocks or draws of a source. A
+node of the tree holds one number for every source.
 
 Defined results: a null or empty text has size 0 and is never taken; a null
 source is a source of its own, last in order; rows with the same id and text are
@@ -35,16 +39,18 @@ are ignored by ``plan`` and kept by ``mix``; an empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, WORD, col, materialized, table
+from strata.llm.common import WORD, col, materialized, running_totals, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 BLOCK_WORDS = 50_000
-MAX_BLOCKS = 1 << 16
+#: Share of a target that its source may miss though documents that fit are left.
+NEAR = 0.001
 #: Block draws of an output shard.
 SHARD_BLOCKS = 64
 SEED = 42
@@ -53,42 +59,33 @@ SEED = 42
 def words(text: Column) -> Column:
     """Number of words of a text (null: 0)."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    # every word and the space before it becomes one sign; space at the end goes
-    return F.length(F.translate(F.regexp_replace(t, rf"[{SPACE}]*{WORD}", "x"), " \t\n\x0b\x0c\r", "")).cast("long")
+    # every word becomes one sign, and the space between them goes
+    return F.length(F.translate(F.regexp_replace(t, WORD, "x"), " \t\n\x0b\x0c\r", "")).cast("long")
 
 
 def targets(sizes: DataFrame, *, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
-    """``source, source_size, target`` of the sources of ``sizes`` (columns
-    ``source, size``; one row a source comes out)."""
+    """``source, source_no, source_size, target`` of the sources of ``sizes``
+    (columns ``source, size``; one row a source comes out)."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.asc_nulls_last("source"))
-    weighed = per.withColumn(
+    by_name = [F.asc_nulls_last("source")]
+    numbered = running_totals(per, [], by_name, n=F.lit(1).cast("long")).withColumn("source_no", (F.col("n") - 1).cast("int"))
+    weighed = numbered.withColumn(
         "weight",
-        F.element_at(
-            F.array(*[F.lit(float(w)) for w in weights]),
-            ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"),
-        ),
+        F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("source_no") % len(weights) + 1).cast("int")),
     ).withColumn("ratio", cap * F.col("source_size") / F.col("weight"))
-    everything = Window.partitionBy()
-    rank = Window.orderBy("ratio", F.asc_nulls_last("source"))
-    before = rank.rowsBetween(Window.unboundedPreceding, -1)
-    # the level if exactly the sources before this one are capped
-    level = (
-        F.sum("source_size").over(everything) - cap * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    # the first source whose ratio is not under its level sets the level
-    free = F.when(F.col("ratio") >= F.col("level"), F.col("level"))
-    return (
-        weighed.withColumn("level", level)
-        .withColumn("water", F.first(free, ignorenulls=True).over(rank.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .select(
-            "source",
-            "source_size",
-            F.coalesce(
-                F.least(cap * F.col("source_size"), F.col("water") * F.col("weight")), cap * F.col("source_size")
-            ).alias("target"),
-        )
+    # the level if exactly the sources of smaller ratios are capped
+    ranked = running_totals(
+        weighed, [], [F.asc("ratio"), *by_name], size_upto=F.col("source_size"), weight_upto=F.col("weight")
     )
+    whole = ranked.agg(F.max("size_upto").alias("size"), F.max("weight_upto").alias("weight")).first()
+    left = F.lit(whole["weight"]) - (F.col("weight_upto") - F.col("weight"))
+    level = (F.lit(whole["size"]) - cap * (F.col("size_upto") - F.col("source_size"))) / left
+    # the first source whose ratio is not under its level sets the level
+    free = ranked.withColumn("level", level).where("ratio >= level")
+    water = free.orderBy("ratio", *by_name).limit(1).select("level").collect()
+    most = cap * F.col("source_size")
+    target = F.least(most, F.lit(water[0][0]) * F.col("weight")) if water else most
+    return ranked.select("source", "source_no", "source_size", target.alias("target"))
 
 
 def _uniform(*parts) -> Column:
@@ -164,7 +161,7 @@ def split(quotas: DataFrame, shards: int, *, seed: int = SEED) -> DataFrame:
 @dataclass
 class Plan:
     """What a mix takes. ``sized``: ``doc_id, source_no, size, hash, block`` of
-    every row; ``sources``: ``source_no, source, source_size, target``; ``draws``:
+    every row; ``sources``: ``source_no, source, source_size, target, blocks``; ``draws``:
     ``source_no, block, pass, shard, part`` (``part``: only the documents of
     ``fitting``); ``fitting``: ``source_no, hash``; ``shards``: number of output shards."""
 
@@ -180,25 +177,74 @@ def _hash(doc_id: Column, text: Column, seed: int) -> Column:
 
 
 def _fitting(items: DataFrame) -> DataFrame:
-    """Documents of the partial blocks taken in hashed order while they fit
-    (``items``: ``source_no, hash, size, room``); then the smallest one left out
-    if that brings the taken words nearer to the room."""
-    per = (
-        items.groupBy("source_no", "hash")
-        .agg(F.sum("size").alias("size"), F.first("room").alias("room"))
-        .where("size > 0")
-        .groupBy("source_no")
-        .agg(F.array_sort(F.collect_list(F.struct("hash", "size"))).alias("docs"), F.first("room").alias("room"))
+    """Documents of one block a source taken in hashed order while they fit
+    (``items``: ``source_no, hash, size, room``)."""
+    per = items.groupBy("source_no").agg(
+        F.array_sort(F.collect_list(F.struct("hash", "size"))).alias("docs"), F.first("room").alias("room")
     )
     taken = F.expr(
         """aggregate(docs,
-            named_struct('room', room, 'least', struct(cast(null as bigint) as size, cast(null as bigint) as hash), 'out', cast(array() as array<bigint>)),
+            named_struct('room', room, 'out', cast(array() as array<struct<hash:bigint,size:bigint>>)),
             (a, d) -> if(d.size <= a.room,
-                named_struct('room', a.room - d.size, 'least', a.least, 'out', concat(a.out, array(d.hash))),
-                named_struct('room', a.room, 'least', if(a.least.size is null or d.size < a.least.size, struct(d.size as size, d.hash as hash), a.least), 'out', a.out)),
-            a -> if(a.least.size - a.room < a.room, concat(a.out, array(a.least.hash)), a.out))"""
+                named_struct('room', a.room - d.size, 'out', concat(a.out, array(struct(d.hash as hash, d.size as size)))), a),
+            a -> a.out)"""
     )
-    return per.select("source_no", F.explode(taken).alias("hash"))
+    return per.select("source_no", F.inline(taken))
+
+
+def _fill(sized: DataFrame, blocks: DataFrame, rooms: DataFrame) -> DataFrame:
+    """``source_no, block, hash``: documents that fill the rooms (``source_no,
+    room, target``) from ``blocks`` (``source_no, block, at``; not yet taken).
+
+    A document that was passed over was larger than the room then, so it fits in no
+    later room either: every block is looked at once."""
+    docs = sized.where("size > 0").groupBy("source_no", "block", "hash").agg(F.sum("size").alias("size"))
+    docs = materialized(docs.join(blocks, ["source_no", "block"]), "mix-left")
+    rooms = materialized(rooms.withColumn("done", F.lit(-1).cast("long")), "mix-rooms")
+    taken = []
+    while True:
+        open_ = rooms.where(F.col("room") > F.col("target") * NEAR).select("source_no", "room", "done")
+        fits = docs.join(open_, "source_no").where("size <= room and at > done")
+        per = materialized(
+            running_totals(
+                fits.groupBy("source_no", "at").agg(F.sum("size").alias("words"), F.first("room").alias("room")),
+                ["source_no"], [F.asc("at")], upto=F.col("words"),
+            ),
+            "mix-fits",
+        )
+        if per.isEmpty():
+            break
+        # the first block that does not fit as a whole, and the room before it
+        part = per.where("upto > room").groupBy("source_no").agg(
+            F.min(F.struct("at", (F.col("room") - F.col("upto") + F.col("words")).alias("room"))).alias("p")
+        ).select("source_no", "p.at", "p.room")
+        whole = per.where("upto <= room").select("source_no", "at")
+        edge = fits.drop("room").join(part, ["source_no", "at"]).where("size <= room")
+        columns = ["source_no", "block", "hash", "size"]
+        got = materialized(
+            fits.join(whole, ["source_no", "at"], "left_semi").select(*columns).unionByName(
+                _fitting(edge).join(edge.select("source_no", "block", "hash"), ["source_no", "hash"]).select(*columns)
+            ),
+            "mix-fill",
+        )
+        taken.append(got.drop("size"))
+        used = got.groupBy("source_no").agg(F.sum("size").alias("used"))
+        # blocks up to the one taken in part are done; without such a block all are
+        rooms = materialized(
+            rooms.join(used, "source_no", "left").join(part.select("source_no", F.col("at").alias("stop")), "source_no", "left")
+            .select(
+                "source_no", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room"), "target",
+                F.coalesce("stop", F.lit(1 << 62)).alias("done"),
+            ),
+            "mix-rooms",
+        )
+    found = reduce(DataFrame.unionByName, taken, docs.select("source_no", "block", "hash").limit(0))
+    least = (
+        docs.join(found, ["source_no", "hash"], "left_anti").groupBy("source_no")
+        .agg(F.min(F.struct("size", "hash", "block")).alias("d")).join(rooms, "source_no")
+        .where(F.col("d.size") - F.col("room") < F.col("room"))
+    )
+    return materialized(found.unionByName(least.select("source_no", "d.block", "d.hash")), "mix-fitting")
 
 
 def plan(
@@ -210,7 +256,6 @@ def plan(
     weights=WEIGHTS,
     cap: float = CAP,
     block_words: int = BLOCK_WORDS,
-    max_blocks: int = MAX_BLOCKS,
     shard_blocks: int = SHARD_BLOCKS,
     seed: int = SEED,
 ) -> Plan:
@@ -225,8 +270,7 @@ def plan(
     )
     sources = materialized(
         targets(raw, weights=weights, cap=cap)
-        .withColumn("source_no", (F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1).cast("int"))
-        .withColumn("blocks", F.least(F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)), F.lit(max_blocks)).cast("int"))
+        .withColumn("blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long"))
         .withColumn(
             "passes",
             F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.greatest("source_size", F.lit(1)) + 1e-9)).otherwise(0).cast("int"),
@@ -237,26 +281,27 @@ def plan(
     named = sources.select(F.col("source").alias("_source"), "source_no", "blocks")
     sized = materialized(
         raw.join(named, F.col("source").eqNullSafe(F.col("_source"))).select(
-            "doc_id", "source_no", "size", "hash", F.pmod("hash", F.col("blocks")).cast("int").alias("block")
+            "doc_id", "source_no", "size", "hash", F.pmod("hash", F.col("blocks")).alias("block")
         ),
         "mix-sized",
     )
-    numbers = sources.select("source_no", "passes", "rest")
-    block = (
-        sized.groupBy("source_no", "block").agg(F.sum("size").alias("words")).where("words > 0").join(numbers, "source_no")
-    )
-    # the partial pass: whole blocks while they fit, then one in part
-    shuffled = Window.partitionBy("source_no").orderBy(F.xxhash64(F.lit(seed), F.lit("partial"), "source_no", "block"), "block")
-    upto = F.sum("words").over(shuffled.rowsBetween(Window.unboundedPreceding, 0))
+    numbers = sources.select("source_no", "passes", "rest", "target")
+    block = sized.groupBy("source_no", "block").agg(F.sum("size").alias("words")).where("words > 0")
+    # the partial pass: whole blocks in a permutation while they fit, then documents
+    shuffled = [F.xxhash64(F.lit(seed), F.lit("partial"), "source_no", "block"), F.asc("block")]
     block = materialized(
-        block.withColumn("upto", upto)
-        .withColumn("whole", F.col("upto") <= F.col("rest") + 1e-6)
-        .withColumn("room", F.floor(F.col("rest") - (F.col("upto") - F.col("words")) + 0.5).cast("long"))
-        .withColumn("part", ~F.col("whole") & (F.col("room") > 0)),
+        running_totals(block, ["source_no"], shuffled, upto=F.col("words"), at=F.lit(1).cast("long"))
+        .join(numbers, "source_no")
+        .withColumn("whole", F.col("upto") <= F.col("rest") + 1e-6),
         "mix-blocks",
     )
-    partial = block.where("part").select("source_no", "block", "room")
-    fitting = materialized(_fitting(sized.join(partial, ["source_no", "block"])), "mix-fitting")
+    taken = F.coalesce(F.max(F.when(F.col("whole"), F.col("upto"))), F.lit(0))
+    rooms = block.groupBy("source_no").agg(
+        F.floor(F.first("rest") - taken + 0.5).cast("long").alias("room"), F.first("target").alias("target")
+    )
+    fitting = _fill(sized, block.where("not whole").select("source_no", "block", "at"), rooms.where("room > 0"))
+    parts = fitting.select("source_no", "block").distinct().withColumn("part", F.lit(True))
+    block = block.join(parts, ["source_no", "block"], "left").withColumn("part", F.coalesce("part", F.lit(False)))
     passes = F.col("passes") + (F.col("whole") | F.col("part")).cast("int")
     draw = block.withColumn("n", passes).where("n > 0").select(
         "source_no",
@@ -265,25 +310,18 @@ def plan(
         "passes",
         "part",
     ).select("source_no", "block", "pass", (F.col("part") & (F.col("pass") == F.col("passes"))).alias("part"))
-    order = Window.partitionBy("source_no").orderBy("pass", F.xxhash64(F.lit(seed), "source_no", "pass", "block"), "block")
-    draw = materialized(draw.withColumn("at", (F.row_number().over(order) - 1).cast("long")), "mix-draws")
+    order = [F.asc("pass"), F.xxhash64(F.lit(seed), "source_no", "pass", "block"), F.asc("block")]
+    draw = materialized(running_totals(draw, ["source_no"], order, at=F.lit(1).cast("long")), "mix-draws")
     quotas = sources.select("source_no").join(draw.groupBy("source_no").agg(F.count(F.lit(1)).alias("draws")), "source_no", "left")
     shards = max(1, -(-draw.count() // shard_blocks))
     quota = split(quotas.fillna(0, ["draws"]), shards, seed=seed).where("take > 0")
-    ends = Window.partitionBy("source_no").orderBy("shard")
-    starts = quota.withColumn("at", F.sum("take").over(ends) - F.col("take")).select(
-        "source_no", "at", F.col("shard").cast("int").alias("shard")
-    )
-    # a shard's quota begins at ``at``: the last beginning up to a draw names its shard
-    line = Window.partitionBy("source_no").orderBy("at", F.desc_nulls_last("shard")).rowsBetween(Window.unboundedPreceding, 0)
-    dealt = (
-        draw.withColumn("shard", F.lit(None).cast("int"))
-        .unionByName(starts, allowMissingColumns=True)
-        .withColumn("shard", F.last("shard", ignorenulls=True).over(line))
-        .where(F.col("block").isNotNull())
-        .select("source_no", "block", "pass", "shard", "part")
+    # a shard's draws of a source follow each other: quotas end to end give their places
+    ends = running_totals(quota, ["source_no"], [F.asc("shard")], upto=F.col("take"))
+    place = ends.select(
+        "source_no", F.col("shard").cast("int").alias("shard"), F.explode(F.sequence(F.col("upto") - F.col("take") + 1, "upto")).alias("at")
     )
-    return Plan(sized, sources, materialized(dealt, "mix-dealt"), fitting, shards)
+    dealt = draw.join(place, ["source_no", "at"]).select("source_no", "block", "pass", "shard", "part")
+    return Plan(sized, sources, materialized(dealt, "mix-dealt"), fitting.select("source_no", "hash"), shards)
 
 
 def copies(p: Plan) -> DataFrame:
@@ -312,7 +350,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
         F.col(s["words"]) > 0
     )
     rows = rows.join(names, col(source).eqNullSafe(F.col(s["source"]))).withColumn(
-        s["block"], F.pmod(s["hash"], F.col(s["blocks"])).cast("int")
+        s["block"], F.pmod(s["hash"], F.col(s["blocks"]))
     )
     draws = p.draws.select(
         F.col("source_no").alias(s["no"]),
@@ -328,7 +366,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
         .where(~F.col(s["part"]) | F.col(s["fit"]))
     )
     return (
-        taken.repartition(p.shards, s["shard"])  # a task for every shard, whatever the input's size
+        taken.repartitionById(p.shards, F.col(s["shard"]))  # shard i is partition i
         .sortWithinPartitions(s["shard"], F.xxhash64(F.lit(seed), s["shard"], s["pass"], s["hash"]))
         .select(*[col(c) for c in docs.columns])
     )
