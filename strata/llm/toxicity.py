@@ -13,8 +13,13 @@ window once it does. The same pooling scores a document, over its whole text.
 
 Training reads a bounded sample of labelled rows: at most ``ROWS`` rows, half
 of either class as far as there are that many, in the order of a hash of the
-id, and of texts of at most ``CHARS`` characters; so at most ``ROWS * CHARS``
-characters reach the driver. The trained model is ``BUCKETS`` numbers once the
+id, and at most ``CHARS`` characters of them together. A label tells less about a
+word the longer its text is: texts of over ``SHORT`` characters come after all
+others, the shortest first, and only as far as a class has fewer than ``LEAST`` rows
+without them; a class of long texts alone is learned like any other. Chosen texts
+are read whole as long as they fit; beyond that the longest are thinned, down to one
+common length, to stretches of ``STRETCH`` words at equal distances over the whole
+text. The trained model is ``BUCKETS`` numbers once the
 softmax is folded into the embeddings.
 
 Defined results: a null or empty text has the score of an empty window; a
@@ -35,10 +40,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import col, table
+from strata.llm.common import col, materialized, table
 
 ROWS = 2400
-CHARS = 20_000
+CHARS = 16_000_000
+SHORT = 20_000
+LEAST = 200
+STRETCH = 16
 BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 4, 5, 6)
@@ -149,7 +157,8 @@ class Model:
 
 
 def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EPOCHS) -> Model:
-    """Fit embeddings and softmax together (full-batch Adam)."""
+    """Fit embeddings and softmax together, by full-batch steps with momentum along
+    gradients that are scaled per embedding row and to a largest entry of one."""
     y = np.asarray(toxic, np.float64)
     if not len(y) or y.min() == y.max():
         return Model()
@@ -235,6 +244,39 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
+def common_length(lengths: list[int], chars: int) -> int:
+    """The largest length that texts may keep so that all keep ``chars`` at most."""
+    left, kept = chars, sorted(lengths)
+    for i, n in enumerate(kept):
+        if n * (len(kept) - i) > left:
+            return left // (len(kept) - i)
+        left -= n
+    return max(kept, default=0)
+
+
+def spread_out(text, chars: int):
+    """``text`` if it has at most ``chars`` characters, else stretches of words at
+    equal distances over the whole text, about ``chars`` characters together."""
+    words = F.filter(F.split(text, r"\s+", -1), lambda w: w != "")
+
+    def picked(w):
+        n = F.size(w)
+        share = F.lit(float(chars)) / F.length(text)
+        count = F.greatest(F.floor(n * share / STRETCH), F.lit(1)).cast("int")
+        starts = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.floor(i * (n / count)).cast("int"))
+        parts = F.transform(starts, lambda at: F.array_join(F.slice(w, at + 1, F.lit(STRETCH)), " "))
+        return F.substring(F.array_join(parts, " "), 1, chars)  # words may be of any length
+
+    some = F.element_at(F.transform(F.filter(F.array(words), lambda w: F.size(w) > 0), picked), 1)
+    return F.when(F.length(text) <= chars, text).otherwise(F.coalesce(some, F.lit("")))
+
+
+def _each(found: DataFrame, *order, most: dict[int, int]) -> DataFrame:
+    """The first rows of each class in an order, ``most`` of them."""
+    parts = [found.where(F.col("toxic") == k).orderBy(*order).limit(max(n, 0)) for k, n in most.items()]
+    return parts[0].union(parts[1])
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, *, doc_id="doc_id", text="text", label="toxic", rows=ROWS, chars=CHARS
 ) -> DataFrame:
@@ -245,15 +287,23 @@ def training_rows(
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    known = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).where(F.length("text") <= chars)
+    known = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).where(F.col("text").isNotNull())
+    # by id first, so that only the chosen rows' texts move
+    found = known.select("doc_id", F.length("text").alias("length")).join(told, "doc_id")
+    found = found.groupBy("doc_id", "toxic").agg(F.min("length").alias("length"))
     order = F.xxhash64("doc_id")
-    pick = [
-        # by id first, so that only the chosen rows' texts move
-        known.select("doc_id").join(told.where(F.col("toxic") == k), "doc_id").distinct().orderBy(order, "doc_id").limit(rows // 2)
-        for k in (1, 0)
-    ]
-    chosen = F.broadcast(pick[0].union(pick[1]))  # at most ``rows`` ids
-    return known.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    chosen = materialized(_each(found.where(F.col("length") <= SHORT), order, "doc_id", most={0: rows // 2, 1: rows // 2}), "toxicity-ids")
+    short = dict.fromkeys((0, 1), 0) | {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    more = {k: min(LEAST, rows // 2) - n for k, n in short.items()}
+    if max(more.values()) > 0:
+        chosen = chosen.union(_each(found.where(F.col("length") > SHORT), "length", order, "doc_id", most=more))
+    chosen = F.broadcast(chosen.select("doc_id", "toxic"))  # at most ``rows`` ids
+    read = materialized(
+        known.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")),
+        "toxicity-sample",
+    )
+    longest = common_length([r[0] for r in read.select(F.length("text")).collect()], chars)  # at most ``rows`` numbers
+    return read.withColumn("text", spread_out(F.col("text"), longest))
 
 
 def fit(docs: DataFrame, labels: DataFrame, **how) -> Model:
