@@ -10,25 +10,15 @@ shuffles only the visit side; AQE may still switch to a broadcast join when
 the measured size of one side allows.
 
 A visit id repeated across a large share of the *visits* would send all of
-them to one join task. Such ids are always looked for first, in one pass over
-the visit ids with a frequent-items sketch (``approx_top_k``): an id that holds
-more than ``HOT_FACTOR`` average shuffle partitions' rows. There are at most
-``partitions / HOT_FACTOR`` of them, and all are split: the join gets a second
-key, the visit's input partition modulo the id's number of buckets, and the
-conversions of such an id are copied into each of its buckets before the
-per-visit aggregate (whose map-side half collapses the copies), so each bucket
-carries the id's full totals and the result is exactly the same. An input
-partition's number depends on no row order, so a retried task deals its rows
-alike. Visits without an id match nothing; they are spread over all partitions.
+them to one join task. ``lookup.attach`` keeps such ids, and visits without an
+id, out of that: their totals, one row an id and taken from the per-visit
+aggregate (no conversion is copied), reach their visits by a bounded broadcast.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.functions.channels import (
     CHANNEL_TYPES,
@@ -37,13 +27,8 @@ from strata.functions.channels import (
     referer_host,
 )
 from strata.functions.ratios import double_part, exact_part, pct, ratio, total
+from strata.operators.lookup import SALT, attach, hot_keys, no_salt, shuffle_partitions  # noqa: F401
 
-# A key is hot when it holds more rows than this many average shuffle partitions.
-HOT_FACTOR = 2.0
-# Items the frequent-items sketch tracks: a multiple of the partitions, so that
-# every key above the threshold is among them; the function's own limits.
-SKETCH_FACTOR, SKETCH_LEAST, SKETCH_MOST = 8, 10_000, 1_000_000
-_SALT = "_salt"
 
 
 def label_visits(
@@ -99,36 +84,6 @@ def conversions_per_visit(
     return conversions.groupBy(visit_id).agg(*_conversion_sums(amount))
 
 
-def shuffle_partitions(spark) -> int:
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(df: DataFrame, key: str, *, partitions: int | None = None, factor: float = HOT_FACTOR) -> dict:
-    """Every key of ``df`` holding more than ``factor`` average shuffle
-    partitions' worth of rows, each with a number of buckets that brings it
-    down to about one partition.
-
-    One aggregate pass: a frequent-items sketch (``approx_top_k``, bounded
-    memory) and the row count. At most ``partitions / factor`` keys can be
-    above the threshold; that many come back to the driver.
-    """
-    if partitions is None:
-        partitions = shuffle_partitions(df.sparkSession)
-    tracked = min(SKETCH_MOST, max(SKETCH_LEAST, SKETCH_FACTOR * partitions))
-    most = min(tracked, math.ceil(partitions / factor) + 1)
-    top = F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(tracked))
-    row = df.agg(top.alias("top"), F.count(key).alias("n")).first()
-    if not row or not row["n"]:
-        return {}
-    per_partition = row["n"] / partitions
-    return {
-        t["item"]: min(partitions, math.ceil(t["count"] / per_partition))
-        for t in row["top"] or []
-        if t["item"] is not None and t["count"] > factor * per_partition
-    }
-
-
 def _attach_conversions(
     labeled: DataFrame,
     conversions: DataFrame,
@@ -139,35 +94,17 @@ def _attach_conversions(
     salt_hot_visits: bool,
 ) -> DataFrame:
     """Visits joined to their per-visit ``orders`` and revenue parts (``how``
-    is ``left`` or ``inner``), splitting hot and missing visit ids."""
+    is ``left`` or ``inner``), apart from hot and missing visit ids."""
     if not salt_hot_visits:
         per_visit = conversions_per_visit(conversions, visit_id=visit_id, amount=amount)
         return labeled.join(per_visit, on=visit_id, how=how)
-    spark = labeled.sparkSession
-    hot = hot_keys(labeled.select(visit_id), visit_id)
-    # No id, no match: such visits may go anywhere.
-    missing = F.when(F.col(visit_id).isNull(), F.lit(shuffle_partitions(spark)))
-    if hot:
-        schema = StructType([StructField(visit_id, labeled.schema[visit_id].dataType), StructField("_buckets", IntegerType())])
-        split = F.broadcast(spark.createDataFrame(list(hot.items()), schema))  # <= partitions / factor rows
-        labeled, conversions = labeled.join(split, visit_id, "left"), conversions.join(split, visit_id, "left")
-        known = F.coalesce("_buckets", F.lit(1))
-        copies = F.sequence(F.lit(0), known - 1)
-    else:
-        known = F.lit(1)
-    # 0 in a form that is no constant: Spark would drop a constant join key,
-    # and with it the spreading of visits without an id.
-    zero = F.pmod(F.hash(visit_id), F.lit(1))
-    buckets = F.coalesce(missing, known)
-    salted_visits = labeled.withColumn(_SALT, F.pmod(F.spark_partition_id(), buckets)).drop("_buckets")
-    # Each conversion of a hot id goes to all of its buckets.
-    per_bucket = (
+    per_visit = (
         conversions.where(F.col(visit_id).isNotNull())
-        .withColumn(_SALT, F.explode(copies) if hot else zero)
-        .groupBy(visit_id, _SALT)
+        .withColumn(SALT, no_salt(visit_id))
+        .groupBy(visit_id, SALT)
         .agg(*_conversion_sums(amount))
     )
-    return salted_visits.join(per_bucket, on=[visit_id, _SALT], how=how).drop(_SALT)
+    return attach(labeled, per_visit, visit_id, how=how)
 
 
 def channel_orders(

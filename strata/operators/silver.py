@@ -9,10 +9,11 @@ across a third of the input leaves each task once).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.config import Defaults, TableSpec
+from strata.session import written_once
 
 
 UNPARSED = "_unparsed"
@@ -37,9 +38,42 @@ def cast_timestamps(
     return df.withColumns(parsed) if parsed else df
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """A5: keep one copy of rows equal in every column (NULLs equal)."""
-    return df.dropDuplicates()
+def drop_exact_duplicates(df: DataFrame, *, total: str | None = None) -> DataFrame:
+    """A5: keep one copy of rows equal in every column (NULLs equal). With
+    ``total``, that column is no part of the comparison; the copy that stays
+    carries its sum over the equal rows."""
+    if total is None:
+        return df.dropDuplicates()
+    rest = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c != total]
+    return df.groupBy(*rest).agg(F.sum(total).alias(total)).select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
+def drop_wide_duplicates(df: DataFrame, *, most: int = 1 << 20) -> DataFrame:
+    """A5 for wide rows with few duplicates: the rows of ``drop_exact_duplicates``
+    without shuffling whole rows.
+
+    Only a 128-bit digest of each row is shuffled. Rows whose digest occurs once
+    are unique and stay where they are; the others, found by a join with the
+    repeated digests, are compared in full. Two different rows of one digest are
+    both kept, so a collision costs time, not rows. ``df`` is read three times: give it
+    a table, not a costly computation. With more than ``most`` repeated digests
+    (16 bytes each; the list is broadcast) rows are shuffled whole instead: then
+    the aggregate removes much before the shuffle anyway.
+    """
+    cells = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    nulls = F.concat(F.lit(""), *[c.isNull().cast("int").cast("string") for c in cells])
+    halves = {f"_digest{i}": F.xxhash64(F.lit(i), nulls, *cells) for i in (0, 1)}
+    keyed = df.withColumns(halves)
+    repeated = written_once(
+        keyed.select(*halves).groupBy(*halves).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*halves),
+        "repeated-digests",
+    )
+    if repeated.limit(most + 1).count() > most:
+        return drop_exact_duplicates(df)
+    listed = F.broadcast(repeated.withColumn("_listed", F.lit(True)))
+    marked = keyed.join(listed, list(halves), "left")
+    unique = marked.where(F.col("_listed").isNull()).select(*cells)
+    return unique.unionAll(drop_exact_duplicates(marked.where("_listed").select(*cells)))
 
 
 def resolve_key(df: DataFrame, spec: TableSpec | None = None) -> str | None:
@@ -60,15 +94,24 @@ def clean(
     defaults: Defaults = Defaults(),
     *,
     mark: str | None = None,
+    bad: str | None = None,
+    seen: Observation | None = None,
 ) -> tuple[DataFrame, str]:
     """O3: the silver table of a raw frame; returns it and its key.
 
     With ``mark``, the frame carries a column of that name counting each
     row's unparsed timestamps (see ``cast_timestamps``); the column is a
     function of the row, so it does not change which rows are duplicates.
+
+    ``bad`` names a column of ``df`` that counts each row's cells that did not fit
+    the schema. It is summed through the duplicate removal and observed by
+    ``seen`` (as ``bad_cells``) before rows without a key go, so a spoiled key is
+    counted too, in the same stage that writes the table.
     """
     out = cast_timestamps(df, defaults.timestamp_columns, defaults.timestamp_format, mark=mark)
     if defaults.drop_duplicates:
-        out = drop_exact_duplicates(out)
+        out = drop_exact_duplicates(out, total=bad)
     key = resolve_key(out, spec)
+    if bad is not None:
+        out = out.observe(seen, F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias("bad_cells")).drop(bad)
     return require_key(out, key), key

@@ -26,6 +26,22 @@ def monthly_trend(spark, sf_dir):
     )
 
 
+def monthly_trend_batches(spark, sf_dir):
+    """The monthly trend from stored states: visits, conversions, a late batch of
+    conversions, and one batch delivered twice."""
+    from strata.operators.period_state import PeriodStore
+    from strata.session import scratch_path
+
+    store = PeriodStore(spark, scratch_path(spark, "periods"))
+    conversions = b.b1_conversions(spark, sf_dir)
+    late = F.coalesce(F.col("price_usd") > 30_000, F.lit(False))
+    store.put("visits", visits=b.b1_visits(spark, sf_dir))
+    store.put("conversions", conversions=conversions.where(~late))
+    store.put("late", conversions=conversions.where(late))
+    store.put("late", conversions=conversions.where(late))
+    return store.trend()
+
+
 def monthly_sessions(spark, sf_dir):
     return trend.visits_per_period(b.b1_visits(spark, sf_dir))
 
@@ -73,6 +89,16 @@ def label_lookup(spark, sf_dir):
     )
 
 
+def label_table(spark, sf_dir):
+    """Labels from a table: the name of each order's customer, for customers
+    that owe nothing; the code itself for all others."""
+    from strata.operators.lookup import with_labels
+
+    names = b.table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("code"))
+    return with_labels(orders, "code", names, code="c_custkey", label="c_name", out="customer")
+
+
 def channel_label(spark, sf_dir):
     v = chan.label_visits(b.b1_visits(spark, sf_dir))
     return v.select("website_session_id", "channel_type", "channel")
@@ -140,6 +166,7 @@ def queries() -> dict[str, Query]:
 def _base_queries() -> dict[str, Query]:
     return {
         "monthly_trend": monthly_trend,
+        "monthly_trend_batches": monthly_trend_batches,
         "monthly_sessions": monthly_sessions,
         "monthly_orders": monthly_orders,
         "null_fill": null_fill,
@@ -148,6 +175,7 @@ def _base_queries() -> dict[str, Query]:
         "channel_type": channel_type,
         "referer_source": referer_source,
         "label_lookup": label_lookup,
+        "label_table": label_table,
         "channel_label": channel_label,
         "channel_sessions": channel_sessions,
         "channel_orders": channel_orders,
@@ -157,6 +185,7 @@ def _base_queries() -> dict[str, Query]:
         "money_sums": money_sums,
         "channel_join": channel_join,
         "sessions_by_device": sessions_by_device,
+        "price_positions": price_positions,
     }
 
 
@@ -322,6 +351,45 @@ def null_sentinel(spark, sf_dir):
     )
 
 
+def _spoiled_orders(spark, sf_dir):
+    """Orders whose price or customer is no number in some rows."""
+    key = F.col("o_orderkey")
+    return _orders(spark, sf_dir).withColumns({
+        "o_custkey": F.when(key % 11 == 0, F.concat(F.col("o_custkey").cast("string"), F.lit("?"))).otherwise(F.col("o_custkey").cast("string")),
+        "o_totalprice": F.when(key % 7 == 0, F.lit("unknown")).otherwise(F.col("o_totalprice").cast("string")),
+    })
+
+
+def csv_bad_cells(spark, sf_dir):
+    """The declared scan of spoiled orders, with each row's bad cells."""
+    from strata.config import TableSpec
+    from strata.sources.csv import read_declared
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _spoiled_orders})
+    return read_declared(spark, f"{raw}/orders.csv", TableSpec.from_dict(ORDERS_SPEC), bad="bad_cells")
+
+
+def bad_cells_audit(spark, sf_dir):
+    """The silver audit of spoiled orders keyed by a column with bad cells: these
+    rows go, their cells are counted."""
+    from strata.plans.pipeline import AUDIT_SCHEMA, Layers, bronze_step, silver_step
+    from strata.session import scratch_path
+
+    raw = _raw_folder(spark, sf_dir, {"orders": _spoiled_orders})
+    layers = Layers.under(scratch_path(spark, "lake"))
+    config = _config(orders={**ORDERS_SPEC, "primary_key": "o_custkey"})
+    audit = silver_step(spark, bronze_step(spark, raw, layers, config), layers, config)
+    return spark.createDataFrame(audit, AUDIT_SCHEMA)
+
+
+def price_positions(spark, sf_dir):
+    """Every order's place by price, most expensive first."""
+    from strata.operators.positions import with_positions
+
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_totalprice")
+    return with_positions(orders, F.desc("o_totalprice"), F.asc("o_orderkey"))
+
+
 def timestamp_cast(spark, sf_dir):
     from strata.operators.silver import cast_timestamps
 
@@ -337,6 +405,16 @@ def dedup_rows(spark, sf_dir):
     return drop_exact_duplicates(profiles)
 
 
+def dedup_wide_rows(spark, sf_dir):
+    """Rows of lines that repeat once order keys are folded, found by digest."""
+    from strata.operators.silver import drop_wide_duplicates
+
+    lines = b.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 5000).alias("l_orderkey"), "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
+    )
+    return drop_wide_duplicates(lines)
+
+
 def pk_not_null(spark, sf_dir):
     from strata.config import TableSpec
     from strata.operators.silver import require_key, resolve_key
@@ -392,10 +470,10 @@ def warehouse_catalog_sql(spark, sf_dir):
 
 def silver_roundtrip(spark, sf_dir):
     from strata.session import scratch_path
-    from strata.sinks.parquet import write_table
+    from strata.sinks.parquet import write_verified
 
     path = scratch_path(spark, "silver")
-    write_table(b.b1_visits(spark, sf_dir), path)
+    write_verified(b.b1_visits(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
@@ -423,7 +501,7 @@ def _manifest_with_rows(spark, manifest):
     from strata.sources.csv import read_inferred
 
     def content(r):
-        df = read_inferred(spark, r["entry"])
+        df = read_inferred(spark, r["entry"], options={"recursiveFileLookup": True})
         return df.agg(
             F.lit(r["table"]).alias("table"),
             F.lit(r["bytes"] > 0).alias("has_bytes"),
@@ -436,16 +514,17 @@ def _manifest_with_rows(spark, manifest):
 
 
 def bronze_landing(spark, sf_dir):
+    """Both raw tables landed in ranges of 64 KB: what the landed tables hold, and
+    whether every landed file, read again, has its source's bytes."""
     from strata.session import scratch_path
-    from strata.sinks.landing import land_files
-    from strata.sources.csv import read_table as read_csv_table
+    from strata.sinks.landing import land_files, landed_differences
+    from strata.sources.files import csv_manifest
 
     raw = _raw_folder(spark, sf_dir, {"orders": _orders, "customers": _customers})
     bronze = scratch_path(spark, "bronze")
-    landed = land_files(spark, raw, bronze)
-    copied = [r["target"] for r in landed.where("target like '%/orders.csv/%'").select("target").collect()]
-    config = _config(orders=ORDERS_SPEC)
-    return read_csv_table(spark, copied, config.spec("orders"), config.defaults)[0]
+    landed = land_files(spark, raw, bronze, split_bytes=1 << 16)
+    same = landed_differences(spark, landed).isEmpty()
+    return _manifest_with_rows(spark, csv_manifest(spark, bronze)).withColumn("same_bytes", F.lit(same))
 
 
 def bronze_manifest(spark, sf_dir):
@@ -513,13 +592,29 @@ def full_run_audit(spark, sf_dir):
     return run_pipeline(spark, raw, Layers.under(scratch_path(spark, "lake")), config)
 
 
+def resumed_run_audit(spark, sf_dir):
+    """A run that stopped after silver, gone on with: its audit is a full run's."""
+    from strata.plans.pipeline import Layers, run_pipeline
+    from strata.session import scratch_path
+
+    tables = {"website_sessions": b.b1_visits, "orders": _pipeline_conversions, "customers": _customers}
+    raw = _raw_folder(spark, sf_dir, tables)
+    config = _config(website_sessions=VISITS_SPEC, orders=CONVERSIONS_SPEC)
+    layers = Layers.under(scratch_path(spark, "lake"))
+    run_pipeline(spark, raw, layers, config, gold=False)
+    return run_pipeline(spark, raw, layers, config, resume=True)
+
+
 def _file_queries() -> dict[str, Query]:
     return {
         "csv_scan_declared": csv_scan_declared,
         "csv_scan_inferred": csv_scan_inferred,
+        "csv_bad_cells": csv_bad_cells,
+        "bad_cells_audit": bad_cells_audit,
         "null_sentinel": null_sentinel,
         "timestamp_cast": timestamp_cast,
         "dedup_rows": dedup_rows,
+        "dedup_wide_rows": dedup_wide_rows,
         "pk_not_null": pk_not_null,
         "silver_clean": silver_clean,
         "parquet_scan": parquet_scan,
@@ -533,4 +628,5 @@ def _file_queries() -> dict[str, Query]:
         "lake_tables": lake_tables,
         "load_audit": load_audit,
         "full_run_audit": full_run_audit,
+        "resumed_run_audit": resumed_run_audit,
     }

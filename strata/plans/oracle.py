@@ -232,6 +232,10 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT page_id, url, regexp_extract(url, '{REFERER_HOST_PATTERN}', 1) "
         "AS referer_source FROM pages"
     )
+    q["label_table"] = """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS code,
+       coalesce(c_name, CAST(o_custkey AS VARCHAR)) AS customer
+FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON c.c_custkey = o_custkey"""
     q["label_lookup"] = b1() + (
         f"SELECT website_session_id, {label_sql('utm_source', SOURCE_LABELS)} AS source_label, "
         f"{label_sql('utm_campaign', CAMPAIGN_LABELS)} AS campaign_label FROM labeled"
@@ -303,7 +307,6 @@ def file_sql() -> dict[str, str]:
         f"SELECT 'customers' AS \"table\", {_count_distinct('SELECT * FROM customer')} AS rows "
         f"UNION ALL SELECT 'orders', {_count_distinct('SELECT * FROM orders')}"
     )
-    q["bronze_landing"] = q["csv_scan_declared"]
     q["raw_manifest"] = (
         "SELECT 'orders' AS \"table\", true AS has_bytes, count(*) AS rows, "
         "CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(sum(length(o_orderpriority)) AS BIGINT) AS last_column_chars "
@@ -311,16 +314,32 @@ def file_sql() -> dict[str, str]:
         "CAST(sum(length(c_mktsegment)) AS BIGINT) FROM customer"
     )
     q["bronze_manifest"] = q["raw_manifest"]
+    q["bronze_landing"] = f"SELECT *, true AS same_bytes FROM ({q['raw_manifest']})"
+    q["csv_bad_cells"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus,
+       CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
+       CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS VARCHAR) AS o_orderdate, o_orderpriority,
+       CAST((o_orderkey % 11 = 0) AS INTEGER) + CAST((o_orderkey % 7 = 0) AS INTEGER) AS bad_cells
+FROM orders"""
+    q["bad_cells_audit"] = """
+SELECT 2 AS step, 'silver' AS layer, 'orders' AS "table", count(*) AS rows, 'declare' AS origin, 'o_custkey' AS key,
+       CAST(0 AS BIGINT) AS unparsed, CAST(NULL AS BIGINT) AS conversions,
+       CAST((SELECT sum(CAST((o_orderkey % 11 = 0) AS INTEGER) + CAST((o_orderkey % 7 = 0) AS INTEGER)) FROM orders) AS BIGINT) AS bad_cells
+FROM orders WHERE o_orderkey % 11 <> 0"""
+    q["price_positions"] = """
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS "position", o_orderkey, o_totalprice FROM orders"""
+    q["dedup_wide_rows"] = """
+SELECT DISTINCT l_orderkey % 5000 AS l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
     q["gold_roundtrip"] = monthly() + "SELECT * FROM monthly"
     silver = (
         "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "
         f"{_count_distinct('SELECT * FROM customer')} AS rows, "
         "'infere' AS origin, 'c_custkey' AS key, CAST(0 AS BIGINT) AS unparsed, "
-        "CAST(NULL AS BIGINT) AS conversions\n"
+        "CAST(NULL AS BIGINT) AS conversions, CAST(0 AS BIGINT) AS bad_cells\n"
     )
     q["load_audit"] = silver + (
         "UNION ALL SELECT 2, 'silver', 'orders', "
-        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey', 0, NULL"
+        f"{_count_distinct('SELECT * FROM orders')}, 'declare', 'o_orderkey', 0, NULL, 0"
     )
     g = gold()[:-1] + "," + _insight_ctes() + "\n"
     conv = "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM lineitem"
@@ -348,9 +367,12 @@ def file_sql() -> dict[str, str]:
             f"UNION ALL SELECT {steps[layer]}, '{layer}', '{table}', CAST({n} AS BIGINT), "
             f"CAST({origin or 'NULL'} AS VARCHAR), CAST({key or 'NULL'} AS VARCHAR), "
             f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT), "
-            f"CAST({conv[0] if conv else 'NULL'} AS BIGINT)\n"
+            f"CAST({conv[0] if conv else 'NULL'} AS BIGINT), "
+            f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT)\n"
         )
     q["full_run_audit"] = g + "".join(union)
+    q["monthly_trend_batches"] = q["monthly_trend"]
+    q["resumed_run_audit"] = q["full_run_audit"]
     return q
 
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.config import Defaults, TableSpec
 
@@ -35,11 +37,33 @@ def _reader(spark: SparkSession, null_value: str, options: Mapping | None):
 
 
 def read_declared(
-    spark: SparkSession, path: str, spec: TableSpec, defaults: Defaults = Defaults(), options=None
+    spark: SparkSession, path: str, spec: TableSpec, defaults: Defaults = Defaults(), options=None, *,
+    bad: str | None = None,
 ) -> DataFrame:
-    """CSV with the declared schema; header names must match it."""
+    """CSV with the declared schema; header names must match it.
+
+    With ``bad``, a column of that name counts each row's cells that are set in
+    the file but do not parse as their declared type and so are NULL here (a row
+    with too few or too many cells counts as one at least). The reader keeps the
+    text of such rows only, and only that text is looked at again."""
     options = {"enforceSchema": False, **dict(options or {})}
-    return _reader(spark, defaults.null_value, options).schema(spec.schema()).csv(path)
+    schema = spec.schema()
+    if bad is None:
+        return _reader(spark, defaults.null_value, options).schema(schema).csv(path)
+    line = "_line_that_does_not_fit"
+    known = {**options, "columnNameOfCorruptRecord": line}
+    df = _reader(spark, defaults.null_value, known).schema(schema.add(line, StringType())).csv(path)
+    typed = [f for f in schema.fields if f.name != line]
+    as_text = StructType([StructField(f"c{i}", StringType()) for i in range(len(typed))])
+    raw = F.from_csv(F.col(line), as_text.simpleString()[len("struct<"):-1].replace(":", " "),
+                     {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in {"nullValue": defaults.null_value, **options}.items()})
+    df = df.withColumn("_raw", F.when(F.col(line).isNotNull(), raw))
+    lost = [
+        (F.col("_raw").getField(f"c{i}").isNotNull() & F.col("`" + f.name.replace("`", "``") + "`").isNull()).cast("int")
+        for i, f in enumerate(typed)
+    ]
+    count = F.greatest(F.lit(1), sum(lost[1:], lost[0]))
+    return df.withColumn(bad, F.when(F.col(line).isNull(), 0).otherwise(count)).drop(line, "_raw")
 
 
 def read_inferred(
@@ -58,14 +82,18 @@ def read_table(
     spec: TableSpec | None = None,
     defaults: Defaults = Defaults(),
     options=None,
+    *,
+    bad: str | None = None,
 ) -> tuple[DataFrame, str]:
     """Declared schema when the table declares columns, else inferred;
-    returns the frame and its origin tag."""
+    returns the frame and its origin tag. ``bad`` as in ``read_declared``; types
+    inferred from all cells fit all cells."""
     spec = spec or TableSpec()
     options = {**dict(defaults.csv_options), **dict(spec.options), **dict(options or {})}
     if spec.declared:
-        return read_declared(spark, path, spec, defaults, options), DECLARED
-    return read_inferred(spark, path, defaults, options), INFERRED
+        return read_declared(spark, path, spec, defaults, options, bad=bad), DECLARED
+    df = read_inferred(spark, path, defaults, options)
+    return (df.withColumn(bad, F.lit(0)) if bad and df.columns else df), INFERRED
 
 
 def write_csv(df: DataFrame, path: str, *, null_value: str = "NULL",

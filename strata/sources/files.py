@@ -3,8 +3,8 @@
 Raw and bronze folders hold one entry per table whose name ends in
 ``.csv`` (any case): a CSV file, or a folder of CSV part files. The table
 name is the entry's stem. The driver lists one level, the entries; tasks list
-the files below each (names, sizes and times, no content) and the listing is a
-DataFrame, so the driver never holds the file names.
+what lies below, level by level (names, sizes and times, no content), and the
+listing is a DataFrame, so the driver never holds the file names.
 
 Lake layers hold one Parquet folder per table; ``lake_tables`` lists the
 folder names one level down through the Hadoop FileSystem of the path (a
@@ -18,10 +18,11 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.stores import listing, store_settings
+from strata.session import written_once
+from strata.sources.stores import children, store_settings
 
 # The listing runs in Python workers: shipped by value (see ``stores``).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -61,25 +62,51 @@ def _entries(spark: SparkSession, root: str) -> list[str]:
     return [f.toString() for f in found if not f.getName().startswith(("_", "."))]
 
 
-def _lister(pattern: str, settings: dict):
-    def files(batches):
+_LEVEL_SCHEMA = f"{LISTING_SCHEMA}, is_folder boolean"
+
+
+def _lister(settings: dict):
+    """Lists one level of each folder it is given."""
+
+    def level(batches):
         for pdf in batches:
-            for entry in pdf["entry"]:
-                rows = [r for r in listing(entry, settings) if fnmatch.fnmatchcase(r[0].rsplit("/", 1)[1], pattern)]
+            for path in pdf["path"]:
+                rows = [(p, size, time, folder) for p, folder, size, time in children(path, settings)]
                 for at in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[at : at + 10_000], columns=["path", "length", "modificationTime"])
+                    yield pd.DataFrame(rows[at : at + 10_000], columns=["path", "length", "modificationTime", "is_folder"]).astype(
+                        {"length": "Int64"}
+                    )
 
-    return files
+    return level
 
 
 def list_files(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFrame:
     """All files matching ``glob`` under ``root`` (any depth; names that begin
-    with ``_`` or ``.`` hidden): ``path, length, modificationTime``. A task lists
-    each entry of ``root``; no content is read."""
+    with ``_`` or ``.`` hidden): ``path, length, modificationTime``. No content is
+    read.
+
+    The folders are walked level by level: a job lists one level, its folders
+    dealt over all tasks anew, so neither one deep entry nor one with many folders
+    is a single task's work; a task holds the names of one folder at a time. Every
+    level is written once, and only how many folders are left reaches the driver.
+    """
     entries = _entries(spark, root)
-    frame = spark.createDataFrame([(e,) for e in entries], "entry string")
-    frame = frame.repartition(max(1, min(len(entries), 64)), "entry")
-    return frame.mapInPandas(_lister(glob, store_settings(spark)), LISTING_SCHEMA)
+    settings, most = store_settings(spark), 4 * max(spark.sparkContext.defaultParallelism, 2)
+    frontier, left = spark.createDataFrame([(e,) for e in entries], "path string"), len(entries)
+    found = spark.createDataFrame([], LISTING_SCHEMA)
+    while left:
+        dealt = frontier.repartition(max(1, min(left, most)), "path")
+        level = written_once(dealt.mapInPandas(_lister(settings), _LEVEL_SCHEMA), "listing")
+        found = found.unionAll(level.where("not is_folder").drop("is_folder"))
+        frontier = level.where("is_folder").select("path")
+        left = frontier.count()
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.where(_matches(name, glob))
+
+
+def _matches(name: Column, glob: str) -> Column:
+    """Whether a file name matches a glob (the whole name, case-sensitive)."""
+    return name.rlike(r"\A(?:" + fnmatch.translate(glob).removesuffix(r"\z").removesuffix(r"\Z") + r")\z")
 
 
 def with_table(files: DataFrame, root_q: str, path_col: str = "path") -> DataFrame:

@@ -66,17 +66,24 @@ def open_store(uri: str, settings: dict[str, str] | None = None):
     return pafs.FileSystem.from_uri(uri)
 
 
-def listing(uri: str, settings: dict[str, str] | None = None) -> list[tuple]:
-    """``(path, bytes, modified)`` of the files at or below ``uri``; names that
-    begin with ``_`` or ``.`` are hidden."""
+def children(uri: str, settings: dict[str, str] | None = None) -> list[tuple]:
+    """``(path, is_folder, bytes, modified)`` of what lies directly in the folder
+    ``uri``, or of the file ``uri`` itself; names that begin with ``_`` or ``.`` are
+    hidden, and a folder that is gone has nothing in it."""
     import pyarrow.fs as pafs
 
     fs, path = open_store(uri, settings)
     at = fs.get_file_info(path)
-    found = [at] if at.type == pafs.FileType.File else fs.get_file_info(pafs.FileSelector(path, recursive=True))
+    if at.type == pafs.FileType.File:
+        return [(uri, False, at.size, _time(at))]
     out = []
-    for f in found:
-        below = f.path[len(path):].lstrip("/")
-        if f.type == pafs.FileType.File and not any(x.startswith(("_", ".")) for x in below.split("/") if x):
-            out.append((uri.rstrip("/") + ("/" + below if below else ""), f.size, f.mtime.replace(tzinfo=None) if f.mtime else None))
+    for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+        name = f.path.rstrip("/").rsplit("/", 1)[-1]
+        if not name.startswith(("_", ".")):
+            folder = f.type == pafs.FileType.Directory
+            out.append((f"{uri.rstrip('/')}/{name}", folder, None if folder else f.size, _time(f)))
     return out
+
+
+def _time(info):
+    return info.mtime.replace(tzinfo=None) if info.mtime else None

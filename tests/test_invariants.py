@@ -146,3 +146,38 @@ def test_every_hot_id_is_found(spark):
     assert len(hot_keys(v, "k", partitions=400)) == 100
     assert set(hot_keys(v, "k", partitions=400).values()) == {4}
     assert hot_keys(v, "k", partitions=100) == {}
+
+
+def test_hot_totals_are_summed_before_they_are_handed_out(spark):
+    """No conversion is copied: the plan has no generator, one exchange of the
+    conversions, and only the hot ids' list and their totals are broadcast."""
+    from strata.operators.channels import _attach_conversions
+
+    v = spark.range(9000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, 11).otherwise(F.col("id")).cast("long").alias("website_session_id"),
+        F.lit("c").alias("channel"))
+    c = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("long").alias("website_session_id"),
+        F.col("id").cast("double").alias("price_usd"))
+    sums = {}
+    for r in c.collect():
+        n, total = sums.get(r[0], (0, 0.0))
+        sums[r[0]] = (n + 1, total + r[1])
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, x in conf.items():
+        spark.conf.set(k, x)
+    try:
+        for how in ("left", "inner"):
+            out = _attach_conversions(v, c, visit_id="website_session_id", amount="price_usd", how=how, salt_hot_visits=True)
+            assert out.columns == ["website_session_id", "channel", "orders", "_exact", "_double"]
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "Generate" not in plan and "ReusedExchange" in plan
+            got = sorted((r[0], r[2] or 0, float(r[3] or 0) + (r[4] or 0)) for r in out.collect())
+            ids = [r[0] for r in v.collect()]
+            want = sorted((i, *sums.get(i, (0, 0.0))) for i in ids if how == "left" or i in sums)
+            assert got == want  # id 11 is hot and has a few conversions, others have none
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
