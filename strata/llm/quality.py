@@ -9,8 +9,11 @@ posterior probability of being good under these estimates.
 The votes of all documents are counted by pattern first, so a round of
 expectation-maximisation is one small aggregate over at most ``3 ** rules``
 patterns, whatever the number of documents. It starts from a plain reading of the
-votes: a document is bad if any rule says so. Only the sums of a
-round (six a rule) reach the driver.
+votes (a document is bad if any rule says so) and ends when the likelihood of the
+votes no longer grows. Every probability starts from ``PRIOR`` documents dealt
+evenly, a fixed number, so that none is 0; the data decide everything else. Of the
+two classes found, the good one is that whose documents get fewer bad votes. Only
+the sums of a round (six a rule) reach the driver.
 
 Base figures (words are split at ASCII white space): ``word_chars``,
 ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``. Windows of eight words are
@@ -37,12 +40,12 @@ SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-ROUNDS = 12
-#: What is believed of a rule before any vote is seen: how often it votes bad,
-#: abstains, votes good on bad and on good documents; this counts as much as
-#: votes on ``BELIEF`` of all documents do.
-BELIEFS = ((0.25, 0.1, 0.65), (0.01, 0.09, 0.9))
-BELIEF = 0.2
+#: Documents that every class and vote is believed to have before any is seen.
+PRIOR = 1.0
+#: The estimate has converged when a round raises the log-likelihood by less than
+#: this share of it; it is an error if ``ROUNDS`` rounds do not get there.
+CONVERGED = 1e-7
+ROUNDS = 1000
 KEEP = 0.5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -81,7 +84,6 @@ def figures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> D
     """The figures of every row (see the module's notes)."""
     t = F.col("text")
     df = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(text).cast("string"), F.lit("")).alias("text"))
-    trimmed = F.regexp_replace(t, rf"^[{SPACE}]+|[{SPACE}]+$", "")
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(rf"[^{SPACE}]"))
     df = df.select(
         "doc_id",
@@ -91,9 +93,8 @@ def figures(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> D
         (F.length(t) - F.length(F.translate(t, "!?", ""))).cast("long").alias("n_marks"),
         F.length(F.regexp_replace(t, r"[\p{L}\p{M}\p{N}\s.,;:'\"()-]+", "")).cast("long").alias("n_odd_chars"),
         lines.alias("lines"),
-        F.when(F.length(F.translate(t, SPACES, "")) > 0, F.transform(F.split(trimmed, rf"[{SPACE}]+", -1), lambda w: F.xxhash64(w)))
-        .otherwise(F.expr("cast(array() as array<bigint>)"))
-        .alias("words"),
+        # space at either end leaves an empty part
+        F.transform(F.filter(F.split(t, rf"[{SPACE}]+", -1), lambda w: w != ""), lambda w: F.xxhash64(w)).alias("words"),
     )
     df = df.select(
         "doc_id",
@@ -146,14 +147,27 @@ class Estimate:
     good: float
     votes: dict[str, list[list[float]]]
 
+    def _logs(self) -> list[Column]:
+        """Log of each class's share times the probability of its votes."""
+        out = []
+        for k, share in enumerate((1 - self.good, self.good)):
+            total = F.lit(math.log(share))
+            for name, classes in self.votes.items():
+                bad, none, good = (math.log(p) for p in classes[k])
+                v = F.col(f"vote_{name}")
+                total = total + F.when(v == -1, bad).when(v == 0, none).otherwise(good)
+            out.append(total)
+        return out
+
     def posterior(self) -> Column:
         """The probability of good, over vote columns."""
-        odds = F.lit(math.log(self.good / (1 - self.good)))
-        for name, (bad, good) in self.votes.items():
-            gain = [math.log(g / b) for g, b in zip(good, bad)]
-            v = F.col(f"vote_{name}")
-            odds = odds + F.when(v == -1, gain[0]).when(v == 0, gain[1]).otherwise(gain[2])
-        return 1 / (1 + F.exp(-odds))
+        bad, good = self._logs()
+        return 1 / (1 + F.exp(bad - good))
+
+    def likelihood(self) -> Column:
+        """The log-likelihood of a row's votes."""
+        bad, good = self._logs()
+        return F.greatest(bad, good) + F.log1p(F.exp(-F.abs(bad - good)))
 
 
 def _start(names: list[str]) -> Column:
@@ -164,32 +178,40 @@ def _start(names: list[str]) -> Column:
     return F.when(bad, 0.1).otherwise(0.9)
 
 
-def estimate(votes: DataFrame, names: list[str], *, rounds: int = ROUNDS) -> Estimate | None:
+def estimate(votes: DataFrame, names: list[str]) -> Estimate | None:
     """Expectation-maximisation over the vote columns; ``None`` for no rows."""
     columns = [f"vote_{n}" for n in names]
     patterns = materialized(votes.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "quality-patterns")
-    posterior, found = _start(names), None
-    for _ in range(rounds):
+    posterior, likelihood, found, before = _start(names), F.lit(0.0), None, None
+    for _ in range(ROUNDS):
         weight = {0: F.col("n") * (1 - F.col("p")), 1: F.col("n") * F.col("p")}
-        sums = [F.sum("n").alias("n"), F.sum(weight[1]).alias("good")]
+        sums = [F.sum("n").alias("n"), F.sum(weight[1]).alias("good"), F.sum(F.col("n") * F.col("l")).alias("likelihood")]
         for name in names:
             for k in (0, 1):
                 for v in (-1, 0, 1):
                     hit = F.col(f"vote_{name}") == v
                     sums.append(F.sum(F.when(hit, weight[k]).otherwise(0.0)).alias(f"{name}_{k}_{v}"))
-        row = patterns.withColumn("p", posterior).agg(*sums).first()
+        row = patterns.withColumns({"p": posterior, "l": likelihood}).agg(*sums).first()
         if not row["n"]:
             return None
-        good = min(max(row["good"] / row["n"], 1e-6), 1 - 1e-6)
+        if before is not None and row["likelihood"] - before < CONVERGED * abs(before):
+            return _oriented(found)
+        before = row["likelihood"] if found else None
         table_ = {}
         for name in names:
-            counts = [
-                [row[f"{name}_{k}_{v}"] + BELIEF * row["n"] * BELIEFS[k][v + 1] for v in (-1, 0, 1)] for k in (0, 1)
-            ]
+            counts = [[row[f"{name}_{k}_{v}"] + PRIOR / 3 for v in (-1, 0, 1)] for k in (0, 1)]
             table_[name] = [[c / sum(cs) for c in cs] for cs in counts]
-        found = Estimate(good, table_)
-        posterior = found.posterior()
-    return found
+        found = Estimate((row["good"] + PRIOR) / (row["n"] + 2 * PRIOR), table_)
+        posterior, likelihood = found.posterior(), found.likelihood()
+    raise RuntimeError(f"no convergence in {ROUNDS} rounds")
+
+
+def _oriented(e: Estimate) -> Estimate:
+    """The estimate with the class of fewer bad votes as the good one."""
+    bad, good = (sum(classes[k][0] for classes in e.votes.values()) for k in (0, 1))
+    if good <= bad:
+        return e
+    return Estimate(1 - e.good, {n: classes[::-1] for n, classes in e.votes.items()})
 
 
 def quality(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep: float = KEEP) -> DataFrame:

@@ -263,7 +263,9 @@ def spread_out(text, chars: int):
         n = F.size(w)
         share = F.lit(float(chars)) / F.length(text)
         count = F.greatest(F.floor(n * share / STRETCH), F.lit(1)).cast("int")
-        starts = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.floor(i * (n / count)).cast("int"))
+        # the first stretch begins the text, the last one ends it
+        apart = F.greatest(n - STRETCH, F.lit(0)) / F.greatest(count - 1, F.lit(1))
+        starts = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.floor(i * apart).cast("int"))
         parts = F.transform(starts, lambda at: F.array_join(F.slice(w, at + 1, F.lit(STRETCH)), " "))
         return F.substring(F.array_join(parts, " "), 1, chars)  # words may be of any length
 

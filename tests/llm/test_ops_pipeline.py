@@ -15,6 +15,7 @@ import pytest
 import tiktoken
 import xxhash
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from helpers import LONG, ROWS, SF, all_pairs, components, frame, words
 from strata.llm import bpe, mixing, registry, secrets, simhash, toxicity
@@ -439,6 +440,57 @@ def test_training_rows_are_bounded_and_not_held_out(spark):
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 for r in rows)
 
 
+def test_long_texts_alone_are_learned_from(spark):
+    plain = "clean words here are nice " * 1000
+    rows = [(i, plain + ("idiotic moronic " if i % 2 else "good kind ") * 50, "s") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    sample = toxicity.training_rows(docs, labels).collect()
+    assert {r["text"] for r in sample} <= {r[1] for r in rows} and {r["toxic"] for r in sample} == {0, 1}
+    got = toxicity.toxicity(docs, labels).collect()
+    assert all((r["score"] > 0.5) == bool(r["doc_id"] % 2) for r in got)
+    thin = toxicity.training_rows(docs, labels, chars=40_000).collect()
+    assert sum(len(r["text"]) for r in thin) <= 40_000 and len(thin) == len(sample)
+    # thinned over the whole text: its end is in it
+    assert all(("idiotic" if r["toxic"] else "kind") in r["text"] for r in thin if len(r["text"]) > 500)
+
+
+def test_common_length():
+    assert toxicity.common_length([], 10) == 0
+    assert toxicity.common_length([1, 2, 3], 10) == 3
+    assert toxicity.common_length([1, 20, 30], 11) == 5
+    assert sum(min(n, toxicity.common_length([7, 7, 7, 100], 50)) for n in (7, 7, 7, 100)) == 50
+
+
+def test_mix_meets_targets_beside_long_documents(spark):
+    """A document of half a source's words: short ones fill the room it leaves."""
+    rows = [(i, "w " * 100, s) for s in "abc" for i in range(500)] + [(9000, "w " * 50_000, s) for s in "bc"]
+    rows = [(n, t, s) for n, (_, t, s) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for seed in (1, 2, 42):
+        p = mixing.plan(docs, seed=seed)
+        taken = mixing.copies(p).groupBy("source_no").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"))
+        got = taken.join(p.sources, "source_no").select("target", "taken").collect()
+        assert all(abs(r["target"] - r["taken"]) <= 100 for r in got), got
+
+
+def test_secrets_of_many_spans_in_one_text(spark):
+    import time
+
+    digits, key = "0123456789abcdef" * 2, "aB3dE6gH9jK2mN5pQ8sT1vW4yZ"
+    rows = [(1, " ".join([digits] * 30_000)), (2, "_".join([digits, key] * 5_000)), (3, "x" * 1_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    t0 = time.perf_counter()
+    got = {r["doc_id"]: r for r in secrets.scan(docs).collect()}
+    assert [got[i]["n_hex"] for i in (1, 2, 3)] == [30_000, 5_000, 0]
+    assert [got[i]["n_entropy"] for i in (1, 2, 3)] == [0, 5_000, 0]
+    assert [(s["start"], s["end"]) for s in got[1]["all"]] == [(33 * i, 33 * i + 32) for i in range(30_000)]
+    assert [(s["start"], s["end"]) for s in got[2]["all"]][:3] == [(0, 32), (32, 60), (60, 92)]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert clean[1] == " ".join(["[SECRET]"] * 30_000) and clean[3] == rows[2][1]
+    assert time.perf_counter() - t0 < 60
+
+
 # Pipeline
 
 
