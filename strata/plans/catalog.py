@@ -410,7 +410,7 @@ def dedup_wide_rows(spark, sf_dir):
     from strata.operators.silver import drop_wide_duplicates
 
     lines = b.table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") % 5000).alias("l_orderkey"), "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
+        (F.col("l_orderkey") % 100).alias("l_orderkey"), "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
     )
     return drop_wide_duplicates(lines)
 

@@ -204,6 +204,7 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per catalog key."""
     q: dict[str, str] = {}
     q["monthly_trend"] = monthly() + "SELECT * FROM monthly"
+    q["monthly_trend_batches"] = q["monthly_trend"]
     q["trend_series"] = q["monthly_trend"]
     q["monthly_sessions"] = with_(_b1_sessions()) + (
         "SELECT strftime(created_at, '%Y-%m') AS year_month, count(*) AS sessions "
@@ -329,7 +330,7 @@ FROM orders WHERE o_orderkey % 11 <> 0"""
     q["price_positions"] = """
 SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS "position", o_orderkey, o_totalprice FROM orders"""
     q["dedup_wide_rows"] = """
-SELECT DISTINCT l_orderkey % 5000 AS l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
+SELECT DISTINCT l_orderkey % 100 AS l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem"""
     q["gold_roundtrip"] = monthly() + "SELECT * FROM monthly"
     silver = (
         "SELECT 2 AS step, 'silver' AS layer, 'customers' AS \"table\", "
@@ -371,7 +372,6 @@ SELECT DISTINCT l_orderkey % 5000 AS l_orderkey, l_linenumber, l_quantity, l_ret
             f"CAST({'0' if layer == 'silver' else 'NULL'} AS BIGINT)\n"
         )
     q["full_run_audit"] = g + "".join(union)
-    q["monthly_trend_batches"] = q["monthly_trend"]
     q["resumed_run_audit"] = q["full_run_audit"]
     return q
 

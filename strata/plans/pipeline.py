@@ -46,7 +46,7 @@ from strata.plans.journal import Journal, fingerprint, manifest_fingerprints
 from strata.sinks.landing import PART_BYTES, land_files, set_aside
 from strata.sinks.parquet import write_observed, write_verified
 from strata.sources.csv import read_table as read_csv_table
-from strata.sources.files import lake_tables, qualified, with_table
+from strata.sources.files import lake_tables, path_exists, qualified, with_table
 from strata.sources.lake import read_table, register_layer
 
 AUDIT_SCHEMA = (
@@ -129,6 +129,7 @@ def bronze_step(
     is not in UTF-8.
     """
     raw_q, bronze_q = qualified(spark, raw), qualified(spark, layers.bronze)
+    before = path_exists(spark, bronze_q)
     landed = land_files(
         spark, raw_q, bronze_q, split_bytes=split_bytes, uncut=_uncut(raw_q, config), changed_only=changed_only
     )
@@ -147,7 +148,8 @@ def bronze_step(
                 f"table {r['table']!r} has two raw entries: {seen[r['table']]} and {r['entry']}"
             )
         seen[r["table"]] = r["entry"]
-    set_aside(spark, bronze_q, landed, seen.values())
+    if before:
+        set_aside(spark, bronze_q, landed, seen.values())
     content = manifest_fingerprints(tables)
     return {t: Source(_literal(entry), content[t]) for t, entry in seen.items()}
 
