@@ -63,8 +63,9 @@ def hot_keys(df: DataFrame, key: str, *, partitions: int | None = None, factor:
 
 def no_salt(key: str) -> Column:
     """0 in a form that is no constant: Spark would drop a constant join key,
-    and with it the spreading of rows without a key."""
-    return F.pmod(F.hash(key), F.lit(1))
+    and with it the spreading of rows without a key. It is never null, so no
+    filter is inferred from it that would keep equal exchanges apart."""
+    return F.coalesce(F.pmod(F.hash(key), F.lit(1)), F.lit(0))
 
 
 def _all(df: DataFrame) -> list[Column]:
