@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import col, connected_components, materialized, table
+from strata.operators.lookup import SALT, attach, no_salt
 
 RADIUS = 4
 SHINGLE = 4
@@ -252,7 +253,9 @@ def _components(
     of = reps.join(linked, "fp", "left").select(
         "fp", F.coalesce("component", "fp").alias("component"), F.coalesce("group_id", "least_id").alias("component_id")
     )
-    return fps.join(of, "fp").select("doc_id", "fp", "component", "component_id")
+    # a fingerprint that many rows share gets its group where the rows are read
+    of = materialized(of, "simhash-named").withColumn(SALT, no_salt("fp"))
+    return attach(fps, of, "fp").select("doc_id", "fp", "component", "component_id")
 
 
 def simhash_groups(docs: DataFrame, **how) -> DataFrame:
