@@ -13,9 +13,11 @@ many whole blocks as fit in the remaining 0.4. What is left of that room goes on
 through the permuted blocks: of the next blocks all documents that fit in the
 room, while they fit together; of the block after that, one document after the
 other as it fits, in hashed order; and so on with the smaller room, until it is
-under ``NEAR`` of the target or no document fits. At last the smallest document
-left out is taken if that brings the source nearer to its target. So the taken
-words miss the target by at most half the smallest document left out, or ``NEAR``.
+under ``NEAR`` of the target or no document fits. If a larger room is left, only
+documents too large for it are left out: the pass is made again with the smallest
+of them taken first (up to ``RETRIES`` times), so that smaller ones make up the
+difference. At last the smallest document left out is taken if that brings the
+source nearer to its target.
 
 Shards. The block draws of all sources are split among the output shards by a
 tree: a node holds the number of draws of every source; its left half gets a
@@ -51,6 +53,8 @@ CAP = 3.0
 BLOCK_WORDS = 50_000
 #: Share of a target that its source may miss though documents that fit are left.
 NEAR = 0.001
+#: Times the partial pass is made again for sources that miss by more.
+RETRIES = 3
 #: Block draws of an output shard.
 SHARD_BLOCKS = 64
 SEED = 42
@@ -192,9 +196,10 @@ def _fitting(items: DataFrame) -> DataFrame:
     return per.select("source_no", F.inline(taken))
 
 
-def _fill(sized: DataFrame, blocks: DataFrame, rooms: DataFrame) -> DataFrame:
+def _fill(sized: DataFrame, blocks: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``source_no, block, hash``: documents that fill the rooms (``source_no,
-    room, target``) from ``blocks`` (``source_no, block, at``; not yet taken).
+    room, target``) from ``blocks`` (``source_no, block, at``; not yet taken); and
+    per source the smallest document left out, with the room that is left.
 
     A document that was passed over was larger than the room then, so it fits in no
     later room either: every block is looked at once."""
@@ -238,13 +243,42 @@ def _fill(sized: DataFrame, blocks: DataFrame, rooms: DataFrame) -> DataFrame:
             ),
             "mix-rooms",
         )
-    found = reduce(DataFrame.unionByName, taken, docs.select("source_no", "block", "hash").limit(0))
+    found = materialized(reduce(DataFrame.unionByName, taken, docs.select("source_no", "block", "hash").limit(0)), "mix-found")
     least = (
         docs.join(found, ["source_no", "hash"], "left_anti").groupBy("source_no")
         .agg(F.min(F.struct("size", "hash", "block")).alias("d")).join(rooms, "source_no")
-        .where(F.col("d.size") - F.col("room") < F.col("room"))
+        .select("source_no", "d.*", "room", "target")
     )
-    return materialized(found.unionByName(least.select("source_no", "d.block", "d.hash")), "mix-fitting")
+    return found, materialized(least, "mix-least")
+
+
+def _partial(sized: DataFrame, numbers: DataFrame, forced: DataFrame, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The partial pass: the blocks, with ``whole`` for those it takes whole; the
+    documents it takes of others (``source_no, block, hash``); and per source the
+    smallest document left out and the room that is left. ``forced`` documents
+    (``source_no, block, hash, size``) are taken in any case."""
+    held = forced.select("source_no", "block").distinct().withColumn("held", F.lit(True))
+    used = forced.groupBy("source_no").agg(F.sum("size").alias("used"))
+    block = sized.groupBy("source_no", "block").agg(F.sum("size").alias("words")).where("words > 0")
+    block = block.join(held, ["source_no", "block"], "left").withColumn("held", F.coalesce("held", F.lit(False)))
+    # whole blocks in a permutation while they fit, then documents
+    shuffled = [F.xxhash64(F.lit(seed), F.lit("partial"), "source_no", "block"), F.asc("block")]
+    counted = F.when(F.col("held"), F.lit(0).cast("long")).otherwise(F.col("words"))
+    block = materialized(
+        running_totals(block, ["source_no"], shuffled, upto=counted, at=F.lit(1).cast("long"))
+        .join(numbers, "source_no")
+        .join(used, "source_no", "left")
+        .withColumn("rest", F.col("rest") - F.coalesce("used", F.lit(0)))
+        .withColumn("whole", ~F.col("held") & (F.col("upto") <= F.col("rest") + 1e-6)),
+        "mix-blocks",
+    )
+    taken = F.coalesce(F.max(F.when(F.col("whole"), F.col("upto"))), F.lit(0))
+    rooms = block.groupBy("source_no").agg(
+        F.floor(F.first("rest") - taken + 0.5).cast("long").alias("room"), F.first("target").alias("target")
+    )
+    free = sized.join(forced.select("source_no", "hash"), ["source_no", "hash"], "left_anti")
+    found, least = _fill(free, block.where("not whole").select("source_no", "block", "at"), rooms.where("room > 0"))
+    return block, found.unionByName(forced.select("source_no", "block", "hash")), least
 
 
 def plan(
@@ -286,20 +320,17 @@ def plan(
         "mix-sized",
     )
     numbers = sources.select("source_no", "passes", "rest", "target")
-    block = sized.groupBy("source_no", "block").agg(F.sum("size").alias("words")).where("words > 0")
-    # the partial pass: whole blocks in a permutation while they fit, then documents
-    shuffled = [F.xxhash64(F.lit(seed), F.lit("partial"), "source_no", "block"), F.asc("block")]
-    block = materialized(
-        running_totals(block, ["source_no"], shuffled, upto=F.col("words"), at=F.lit(1).cast("long"))
-        .join(numbers, "source_no")
-        .withColumn("whole", F.col("upto") <= F.col("rest") + 1e-6),
-        "mix-blocks",
-    )
-    taken = F.coalesce(F.max(F.when(F.col("whole"), F.col("upto"))), F.lit(0))
-    rooms = block.groupBy("source_no").agg(
-        F.floor(F.first("rest") - taken + 0.5).cast("long").alias("room"), F.first("target").alias("target")
-    )
-    fitting = _fill(sized, block.where("not whole").select("source_no", "block", "at"), rooms.where("room > 0"))
+    forced = sized.select("source_no", "block", "hash", "size").limit(0)
+    for attempt in range(1 + RETRIES):
+        block, found, least = _partial(sized, numbers, forced, seed)
+        missed = F.least(F.col("room"), F.abs(F.col("size") - F.col("room"))) > F.col("target") * NEAR
+        again = least.where(missed & (F.col("room") > 0)).join(block.groupBy("source_no").agg(F.first("rest").alias("rest")), "source_no")
+        again = again.where("size <= rest").select("source_no", "block", "hash", "size")
+        if attempt == RETRIES or again.isEmpty():
+            break
+        forced = materialized(forced.unionByName(again), "mix-forced")
+    nearer = least.where(F.col("size") - F.col("room") < F.col("room")).select("source_no", "block", "hash")
+    fitting = materialized(found.unionByName(nearer), "mix-fitting")
     parts = fitting.select("source_no", "block").distinct().withColumn("part", F.lit(True))
     block = block.join(parts, ["source_no", "block"], "left").withColumn("part", F.coalesce("part", F.lit(False)))
     passes = F.col("passes") + (F.col("whole") | F.col("part")).cast("int")
