@@ -98,7 +98,7 @@ class PeriodStore:
         if not states:
             raise ValueError("a batch needs visits or conversions")
         state = merged(states[0] if len(states) == 1 else states[0].unionByName(states[1]))
-        return write_table(state.coalesce(1), self._path(batch))  # at most one row a period
+        return write_table(state.repartition(1), self._path(batch))  # one row a period is left by then
 
     def state(self) -> DataFrame:
         """All batches together."""
