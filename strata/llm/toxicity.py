@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import string
 import zlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -163,18 +164,18 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
     if not len(y) or y.min() == y.max():
         return Model()
     vocabulary: dict[str, int] = {}
-    word, window, doc = [], [], []
+    word, window, doc = array("i"), array("i"), array("i")
     n_windows = 0
     for d, text in enumerate(texts):
         ids = [vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text)] or [
             vocabulary.setdefault("", len(vocabulary))
         ]
-        word += ids
-        window += [n_windows + i // WINDOW for i in range(len(ids))]
+        word.extend(ids)
+        window.extend(n_windows + i // WINDOW for i in range(len(ids)))
         count = -(-len(ids) // WINDOW)
-        doc += [d] * count
+        doc.extend(d for _ in range(count))
         n_windows += count
-    word, window, doc = np.array(word, np.int32), np.array(window, np.int32), np.array(doc, np.int32)
+    word, window, doc = (np.frombuffer(a, np.int32) for a in (word, window, doc))
     first = np.concatenate(([0], 1 + np.nonzero(np.diff(doc))[0]))
     per_window = np.bincount(window, minlength=n_windows).astype(np.float32)[:, None]
     count = np.bincount(word, minlength=len(vocabulary))
