@@ -13,7 +13,7 @@ many whole blocks as fit in the remaining 0.4. What is left of that room goes on
 through the permuted blocks: of the next blocks all documents that fit in the
 room, while they fit together; of the block after that, one document after the
 other as it fits, in hashed order; and so on with the smaller room, until it is
-under ``NEAR`` of the target or no document fits. If a larger room is left, only
+under ``NEAR`` of the target (or ``NEAR_WORDS``) or no document fits. If a larger room is left, only
 documents too large for it are left out: the pass is made again with the smallest
 of them taken first (up to ``RETRIES`` times), so that smaller ones make up the
 difference. At last the smallest document left out is taken if that brings the
@@ -53,6 +53,8 @@ CAP = 3.0
 BLOCK_WORDS = 50_000
 #: Share of a target that its source may miss though documents that fit are left.
 NEAR = 0.001
+#: Words that it may miss at least; tiny sources need no further pass for less.
+NEAR_WORDS = 50
 #: Times the partial pass is made again for sources that miss by more.
 RETRIES = 3
 #: Block draws of an output shard.
@@ -180,6 +182,10 @@ def _hash(doc_id: Column, text: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), doc_id, text)
 
 
+def _tolerance() -> Column:
+    return F.greatest(F.col("target") * NEAR, F.lit(float(NEAR_WORDS)))
+
+
 def _fitting(items: DataFrame) -> DataFrame:
     """Documents of one block a source taken in hashed order while they fit
     (``items``: ``source_no, hash, size, room``)."""
@@ -208,7 +214,7 @@ def _fill(sized: DataFrame, blocks: DataFrame, rooms: DataFrame) -> tuple[DataFr
     rooms = materialized(rooms.withColumn("done", F.lit(-1).cast("long")), "mix-rooms")
     taken = []
     while True:
-        open_ = rooms.where(F.col("room") > F.col("target") * NEAR).select("source_no", "room", "done")
+        open_ = rooms.where(F.col("room") > _tolerance()).select("source_no", "room", "done")
         fits = docs.join(open_, "source_no").where("size <= room and at > done")
         per = materialized(
             running_totals(
@@ -323,7 +329,7 @@ def plan(
     forced = sized.select("source_no", "block", "hash", "size").limit(0)
     for attempt in range(1 + RETRIES):
         block, found, least = _partial(sized, numbers, forced, seed)
-        missed = F.least(F.col("room"), F.abs(F.col("size") - F.col("room"))) > F.col("target") * NEAR
+        missed = F.least(F.col("room"), F.abs(F.col("size") - F.col("room"))) > _tolerance()
         again = least.where(missed & (F.col("room") > 0)).join(block.groupBy("source_no").agg(F.first("rest").alias("rest")), "source_no")
         again = again.where("size <= rest").select("source_no", "block", "hash", "size")
         if attempt == RETRIES or again.isEmpty():
