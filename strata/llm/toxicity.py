@@ -97,10 +97,11 @@ def _spread(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(24)) % np.uint64(BUCKETS)).astype(np.int32)
 
 
-def _sum_by(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+def _sum_by(index: np.ndarray, values: np.ndarray, size: int, rows=slice(None)) -> np.ndarray:
+    """Sums of ``values[rows]`` by ``index``, a column at a time."""
     out = np.empty((size, values.shape[1]), np.float32)
     for k in range(values.shape[1]):
-        out[:, k] = np.bincount(index, values[:, k], size)
+        out[:, k] = np.bincount(index, values[rows, k], size)
     return out
 
 
@@ -178,7 +179,8 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
     word, window, doc = (np.frombuffer(a, np.int32) for a in (word, window, doc))
     first = np.concatenate(([0], 1 + np.nonzero(np.diff(doc))[0]))
     per_window = np.bincount(window, minlength=n_windows).astype(np.float32)[:, None]
-    count = np.bincount(word, minlength=len(vocabulary))
+    n_words = len(vocabulary)
+    count = np.bincount(word, minlength=n_words)
     known = list(vocabulary)
     parts = []
     for at in range(0, len(known), CHUNK):
@@ -188,8 +190,13 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
     rows = np.concatenate([p[0] for p in parts])
     lengths = np.concatenate([p[1] for p in parts])
     ends = np.cumsum(lengths)
-    used, rows = np.unique(rows, return_inverse=True)
-    rows = rows.astype(np.int32)
+    del parts, known, vocabulary
+    # the embedding rows that occur, and their places among these; without a sort,
+    # whose copies would be the largest arrays of all
+    occurs = np.zeros(BUCKETS, bool)
+    occurs[rows] = True
+    used = np.flatnonzero(occurs)
+    rows = (np.cumsum(occurs, dtype=np.int32) - 1)[rows]
     # the bags, some words at a time, so that memory does not follow the sample
     part_of = [
         (slice(a, b), slice(ends[a] - lengths[a], ends[b - 1]), ends[a:b] - lengths[a:b] - (ends[a] - lengths[a]))
@@ -217,7 +224,7 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
     velocity = [np.zeros_like(p) for p in parameters]
     for _ in range(epochs):
         e, w, b = parameters
-        hidden = _sum_by(window, bags(e)[word], n_windows) / per_window
+        hidden = _sum_by(window, bags(e), n_windows, word) / per_window
         logits = hidden @ w + b
         z = logits[:, 1] - logits[:, 0]
         share = _softmax_within(SHARP * z, doc, first)
@@ -225,7 +232,7 @@ def train(texts: list[str], toxic: list[int], *, seed: int = 7, epochs: int = EP
         p = 1 / (1 + np.exp(-np.clip(pooled, -60, 60)))
         dz = share * ((p - y) * weight)[doc]
         dlogits = np.stack([-dz, dz], axis=1)
-        dwords = _sum_by(word, ((dlogits @ w.T) / per_window)[window], len(vocabulary))
+        dwords = _sum_by(word, (dlogits @ w.T) / per_window, n_words, window)
         gradients = [bags_back(dwords), hidden.T @ dlogits, dlogits.sum(0)]
         # One step length for all rows, each against the noise that its number of
         # occurrences leads one to expect: rows that many toxic documents agree
